@@ -11,14 +11,44 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from docweir.llm.token_files import token_file_digest, write_token_files
+    from docweir.storage import new_path
+
+    path = new_path(spark, "token-files")
+    write_token_files(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), path)
+    return token_file_digest(spark, path)
+
+
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from docweir.llm.bpe import bpe_round_trip
+
+    return bpe_round_trip(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docweir.llm.exact_dedup import exact_dedup
 
     return exact_dedup(_documents(spark, sf_dir)).drop("row_id")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from docweir.llm.token_counts import token_counts
+
+    return token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_files": op1_token_files,
+    "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_token_counts": op7_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {

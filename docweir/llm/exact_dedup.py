@@ -35,12 +35,11 @@ def _groups(rows: DataFrame, *keys: str) -> DataFrame:
 def exact_dedup(docs: DataFrame, hash128=content_hash) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, row_id.
 
-    Rows are grouped by a 128-bit hash of the normalized text. Where a hash has several
-    rows, the texts themselves are grouped by their bytes; a hash with more than one text
-    (a collision) is resolved by the texts. The shuffles carry hashes, not texts, except
-    for one text per task and distinct text of the hashes that repeat. Group sizes are
-    summed before the shuffle, and the join back to the rows is a plain sort-merge join
-    whose large partitions the engine can split, so one group may hold any share of rows.
+    Rows are grouped by a 128-bit hash of the normalized text. The texts of each hash are
+    compared by their bytes; a hash with more than one text (a collision) is resolved by
+    the texts. Copies are summed before each shuffle, so texts are shuffled once per task
+    and distinct text, and the join back to the rows is a plain sort-merge join of hashes
+    whose large partitions the engine can split: one group may hold any share of rows.
 
     Null texts count as empty and form one group with texts of white space only. Of rows
     with equal texts, code points and doc_id, exactly one stays. A null doc_id is the
@@ -63,10 +62,8 @@ def exact_dedup(docs: DataFrame, hash128=content_hash) -> DataFrame:
         "exact-rows",
     )
     groups = materialize(_groups(rows, "h"), "exact-groups")
-    repeated = groups.where("group_size > 1").select("h")
-    texts = docs.select(normalized(F.col("text")).alias("norm")).withColumn("h", hash128(F.col("norm")))
     collided = materialize(
-        texts.join(repeated, "h", "left_semi")
+        source.select(hash128(F.col("norm")).alias("h"), "norm")
         .groupBy("h", "norm")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("h")
