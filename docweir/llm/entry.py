@@ -50,12 +50,26 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docweir.llm.embedding_dedup import embedding_groups
+
+    return embedding_groups(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).drop("row_id")
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docweir.llm.quality import score_documents
+
+    return score_documents(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_token_counts": op7_token_counts,
+    "op8_embedding_dedup": op8_embedding_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {
