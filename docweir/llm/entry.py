@@ -22,6 +22,12 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(spark, path)
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docweir.llm.sharding import shard_documents
+
+    return shard_documents(_documents(spark, sf_dir))
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -68,8 +74,17 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from docweir.llm.packing import pack_documents
+
+    return pack_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_sharding": op2_sharding,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
@@ -77,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
