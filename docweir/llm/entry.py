@@ -51,7 +51,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docweir.llm.simhash import simhash_groups
 
-    return simhash_groups(_documents(spark, sf_dir)).drop("row_id")
+    return simhash_groups(_documents(spark, sf_dir)).drop("component", "row_id")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

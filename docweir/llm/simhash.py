@@ -126,7 +126,7 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, n_words: int = 3) -> DataFrame:
-    """One row per document: doc_id, fingerprint, component_id, row_id.
+    """One row per document: doc_id, fingerprint, component_id, component, row_id.
 
     Fingerprints within two bits are linked; component_id is the smallest doc_id that
     links reach. A null or empty text has fingerprint zero and is linked like any other.
@@ -134,7 +134,8 @@ def simhash_groups(docs: DataFrame, n_words: int = 3) -> DataFrame:
     beyond their own row, and the join back is a sort-merge join that the engine can
     split. Repeated rows give a row each. A null doc_id is never a component_id unless
     the whole component has none. Other columns are ignored; an empty table gives an
-    empty result. ``row_id`` is ``monotonically_increasing_id()`` of the scanned row.
+    empty result. ``component`` is a number of the component that is never null, and
+    ``row_id`` is ``monotonically_increasing_id()`` of the scanned row.
     """
     rows = materialize(fingerprints(docs, n_words), "simhash-rows")
     nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "simhash-nodes")
@@ -143,11 +144,17 @@ def simhash_groups(docs: DataFrame, n_words: int = 3) -> DataFrame:
     )
     named = linked.groupBy("root").agg(F.min("first_doc").alias("linked_doc"))
     classes = materialize(
-        nodes.join(linked.select(F.col("node").alias("fp"), "root").join(named, "root").drop("root"), "fp", "left").select(
-            "fp", F.coalesce("linked_doc", "first_doc").alias("component_id")
+        nodes.join(linked.select(F.col("node").alias("fp"), "root").join(named, "root"), "fp", "left").select(
+            "fp", F.coalesce("linked_doc", "first_doc").alias("component_id"), F.coalesce("root", "fp").alias("component")
         ),
         "simhash-classes",
     )
     return rows.join(classes, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "row_id"
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "component", "row_id"
     )
+
+
+def first_of_each_group(groups: DataFrame) -> DataFrame:
+    """The row_id of one document of each component: smallest doc_id (null last), then smallest row_id."""
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id"))
+    return groups.groupBy("component").agg(best.alias("best")).select(F.col("best.row_id").alias("row_id"))
