@@ -1,10 +1,453 @@
-"""All queries over the supplied tables, by name."""
+"""All queries over the supplied tables, by name, and the SQL that gives the same rows."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from docweir.functions import text as T
+from docweir.operators import chunking, graph, manifests, ontology, vectors
+from docweir.operators import extraction as X
+from docweir.operators.upsert import last_wins
+from docweir.plans import samples
+from docweir.plans.samples import table
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+SCOPE = graph.Scope(created_at="2024-01-01T00:00:00+00:00")
+VOCABULARY = ontology.Ontology()
+
+
+def query(sql: str | None = None):
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents")
+
+
+def _doc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.chunk_texts(_docs(spark, sf_dir))
+
+
+CHUNKS = r"""
+    words AS (
+        SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '\s+'), lambda w: w <> '') AS ws FROM documents
+    ), counted AS (
+        SELECT *, CASE WHEN len(ws) = 0 THEN 0 WHEN len(ws) <= 1200 THEN 1 ELSE 1 + CAST(ceil((len(ws) - 1200) / 1100.0) AS INT) END AS k
+        FROM words
+    ), chunks AS (
+        SELECT doc_id, doc_id || '#t' || i AS chunk_id, CAST(i AS INT) AS chunk_index,
+               ws[i * 1100 + 1 : i * 1100 + 1200] AS part
+        FROM (SELECT *, unnest(range(k)) AS i FROM counted)
+    )"""
+TERMS = (
+    CHUNKS
+    + r""", tokens AS (
+        SELECT chunk_id, unnest(toks) AS token, unnest(range(len(toks))) AS place
+        FROM (SELECT chunk_id, regexp_extract_all(lower(array_to_string(part, ' ')), '[A-Za-z0-9_가-힣]+') AS toks FROM chunks)
+    ), tf AS (
+        SELECT chunk_id, token, count(*) AS tf, min(place) AS pos,
+               CAST('0x' || substr(md5(token), 5, 4) AS INT) AS slot, 1 + ln(1 + count(*)) AS raw
+        FROM tokens GROUP BY ALL
+    ), terms AS (SELECT *, raw / sqrt(sum(raw * raw) OVER (PARTITION BY chunk_id)) AS weight FROM tf)"""
+)
+
+
+@query(f"WITH {CHUNKS} SELECT doc_id, chunk_id, chunk_index, len(part) AS n_tokens, md5(array_to_string(part, ' ')) AS text_md5 FROM chunks")
+def chunk_documents(spark, sf_dir):
+    return _doc_chunks(spark, sf_dir).select("doc_id", "chunk_id", "chunk_index", "n_tokens", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query(f"WITH {CHUNKS} SELECT doc_id, k AS n_chunks, len(ws) AS n_words FROM counted")
+def chunk_count_by_doc(spark, sf_dir):
+    n = F.size(T.words(F.col("text")))
+    count = chunking.window_count(n, chunking.CHUNK_TOKENS, chunking.CHUNK_OVERLAP)
+    return _docs(spark, sf_dir).select("doc_id", count.alias("n_chunks"), n.alias("n_words"))
+
+
+@query(
+    r"""WITH seg AS (
+        SELECT lang || '/' || source || '.md' AS path, source AS stem, doc_id AS seg_ord, doc_id % 7 = 3 AS is_table,
+               list_filter(string_split_regex(coalesce(text, ''), '\s+'), lambda w: w <> '') AS ws
+        FROM documents
+    ), counted AS (
+        SELECT *, CASE WHEN is_table OR len(ws) <= 1200 THEN 1 ELSE 1 + CAST(ceil((len(ws) - 1200) / 1100.0) AS INT) END AS k
+        FROM seg WHERE len(ws) > 0
+    ), seeded AS (
+        SELECT *, coalesce(sum(k) OVER (PARTITION BY path ORDER BY seg_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seed FROM counted
+    )
+    SELECT path, seg_ord, CAST(seed + i AS INT) AS chunk_index, stem || '#t' || CAST(seed + i AS INT) AS chunk_id,
+           CASE WHEN is_table THEN 'table' ELSE 'text' END AS modality
+    FROM (SELECT *, unnest(range(k)) AS i FROM seeded)"""
+)
+def chunk_numbering(spark, sf_dir):
+    return chunking.chunk_segments(samples.file_segments(spark, sf_dir)).select("path", "seg_ord", "chunk_index", "chunk_id", "modality")
+
+
+@query(
+    f"""WITH {CHUNKS}, toks AS (
+        SELECT chunk_id, regexp_extract_all(lower(array_to_string(part, ' ')), '[A-Za-z0-9_가-힣]+') AS t FROM chunks)
+    SELECT chunk_id, len(t) AS n_tokens, len(list_distinct(t)) AS n_distinct, md5(array_to_string(t, ' ')) AS tokens_md5 FROM toks"""
+)
+def tokenize_chunks(spark, sf_dir):
+    t = T.tokens(F.col("text"))
+    return _doc_chunks(spark, sf_dir).select(
+        "chunk_id",
+        F.size(t).alias("n_tokens"),
+        F.size(F.array_distinct(t)).alias("n_distinct"),
+        F.md5(F.array_join(t, " ").cast("binary")).alias("tokens_md5"),
+    )
+
+
+@query(f"WITH {TERMS} SELECT chunk_id, token, CAST(pos AS INT) AS pos, tf, slot, round(weight, 9) AS weight FROM terms")
+def sparse_terms(spark, sf_dir):
+    return vectors.sparse_terms(_doc_chunks(spark, sf_dir)).withColumn("weight", F.round("weight", 9))
+
+
+@query(
+    f"""WITH {TERMS} SELECT chunk_id, count(*) AS n_terms, CAST(sum(tf) AS BIGINT) AS n_tokens,
+        count(DISTINCT slot) AS n_slots, round(sqrt(sum(raw * raw)), 6) AS norm FROM terms GROUP BY chunk_id"""
+)
+def chunk_sparse_summary(spark, sf_dir):
+    return vectors.sparse_summary(_doc_chunks(spark, sf_dir))
+
+
+@query(
+    f"""WITH {TERMS} SELECT chunk_id, CAST(count(token) AS INT) AS n,
+        md5(coalesce(string_agg(slot, ',' ORDER BY pos), '')) AS slots_md5, round(coalesce(sum(weight * weight), 0), 6) AS squared
+    FROM chunks LEFT JOIN terms USING (chunk_id) GROUP BY chunk_id"""
+)
+def sparse_vectors(spark, sf_dir):
+    v = vectors.sparse_vectors(_doc_chunks(spark, sf_dir))
+    squares = F.aggregate("sparse.values", F.lit(0.0), lambda a, x: a + x * x)
+    slots = F.array_join("sparse.indices", ",").cast("binary")
+    return v.select("chunk_id", F.size("sparse.indices").alias("n"), F.md5(slots).alias("slots_md5"), F.round(squares, 6).alias("squared"))
+
+
+@query(
+    f"""WITH {TERMS} SELECT chunk_id, slot, count(*) AS n_tokens, string_agg(token, ' ' ORDER BY token) AS tokens
+    FROM terms GROUP BY chunk_id, slot HAVING count(*) > 1"""
+)
+def sparse_slot_collisions(spark, sf_dir):
+    terms = vectors.sparse_terms(_doc_chunks(spark, sf_dir))
+    shared = terms.groupBy("chunk_id", "slot").agg(F.count(F.lit(1)).alias("n_tokens"), F.array_join(F.array_sort(F.collect_list("token")), " ").alias("tokens"))
+    return shared.where("n_tokens > 1")
+
+
+@query(
+    """SELECT * FROM (VALUES
+        (0, 'table', '<table><tr><td>1</td></tr></table>', 'page:3#idx:0'), (1, 'image', 'a leaf', 'asset:1'),
+        (3, 'formula', 'x^2', 'asset:3'), (4, 'formula', 'y', 'page:4#idx:4'), (5, 'text', 'plain text', NULL),
+        (6, 'table', 't', 'asset:6')) v(seg_ord, modality, text, asset_ref)""".replace("\\u00a0", " ")
+)
+def segment_rules(spark, sf_dir):
+    rows = [(k, *e) for k, e in enumerate(samples.ELEMENTS)]
+    raw = spark.createDataFrame(rows, "seg_ord int, category string, text string, page string, table_html string, latex string")
+    kind = chunking.modality(F.col("category"))
+    text = chunking.segment_text(F.col("text"), kind, F.col("table_html"), F.col("latex"))
+    return raw.select("seg_ord", kind.alias("modality"), text.alias("text"), chunking.asset_ref(kind, F.col("page"), F.col("seg_ord")).alias("asset_ref")).where("text IS NOT NULL")
+
+
+@query(
+    f"""WITH {CHUNKS} SELECT chunk_id, 'doc-' || doc_id || '.txt' AS doc_id, 'doc-' || doc_id || '.txt' AS canonical_doc_id,
+        chunk_id AS canonical_chunk_id, 'public' AS tier, 'text' AS modality, 'BAAI/bge-m3' AS embedding_model,
+        '2024-01-01T00:00:00+00:00' AS created_at, md5(array_to_string(part, ' ')) AS basis_md5 FROM chunks"""
+)
+def payload(spark, sf_dir):
+    chunks = _doc_chunks(spark, sf_dir).select(
+        "chunk_id", F.concat(F.lit("doc-"), "doc_id", F.lit(".txt")).alias("source_doc"), F.lit("").alias("path"), "text", F.lit(" Text ").alias("modality"), F.lit(" ").alias("asset_ref")
+    )
+    points = chunking.payload_defaults(chunking.payload(chunks, SCOPE.created_at), "BAAI/bge-m3")
+    points = chunking.canonical_ids(points.withColumn("raw_chunk_id", F.col("chunk_id")))
+    basis = chunking.image_basis(F.col("modality"), F.col("asset_ref"), F.col("text"))
+    return points.select("chunk_id", "doc_id", "canonical_doc_id", "canonical_chunk_id", "tier", "modality", "embedding_model", "created_at", F.md5(basis.cast("binary")).alias("basis_md5"))
+
+
+@query(
+    """SELECT * FROM (VALUES
+        ('a#t0', 'a', 'a#t0', 'a', 'a#t0'), ('b#t1#x', 'b.md', 'b#t1#x', 'b.md', 'b#t1#x'), ('plain', 'd7', 'c#i2', 'd7', 'c#i2'),
+        ('e#t4', 'doc', 'k#t9', 'u', 'c#i2'), ('', '', '#t0', '', '#t0')) v(raw, canonical_doc_id, canonical_chunk_id, doc_id, chunk_id)"""
+)
+def canonical_ids(spark, sf_dir):
+    names = ["raw_chunk_id", "chunk_id", "canonical_chunk_id", "canonical_doc_id", "source_doc_id", "source_doc", "doc_id"]
+    raw = spark.createDataFrame(samples.IDENTIFIERS, ", ".join(f"{n} string" for n in names))
+    return chunking.canonical_ids(raw).select(T.strip(F.col("raw_chunk_id")).alias("raw"), "canonical_doc_id", "canonical_chunk_id", "doc_id", "chunk_id")
+
+
+@query(
+    r"""SELECT p_partkey, regexp_replace(regexp_replace(lower(trim(v)), '\s+', '_', 'g'), '[^a-z0-9_\-:.]+', '', 'g') AS id
+    FROM (SELECT p_partkey, p_type || ' / ' || p_name || ' ' || p_brand AS v FROM part)"""
+)
+def squeezed_ids(spark, sf_dir):
+    value = F.concat("p_type", F.lit(" / "), "p_name", F.lit(" "), "p_brand")
+    return table(spark, sf_dir, "part").select("p_partkey", T.extracted_id(value).alias("id"))
+
+
+@query(
+    f"""SELECT * FROM (VALUES
+        (0, 'tomato_late-blight', 'tomato_late-blight', 'TOMATOLATEBLIGHT'), (1, 'a_b_c', 'a_b_c', 'ABC'), (2, '', '', 'MENTIONS'),
+        (3, '', 'ab', 'AB'), (4, '', '{"x" * 120}', '{"X" * 130}'), (5, 'crop:', 'crop:', 'CROP'), (6, '.t1', '.t1', 'T'),
+        (7, '', '', 'MENTIONS'), (8, 'treated_by2', 'treated_by2', 'TREATED_BY'), (9, 'part_of', 'part_of', 'PARTOF'),
+        (10, 'causes', 'causes', 'CAUSES'), (11, '123', '123', 'MENTIONS')) v(k, extracted, graph, relation)"""
+)
+def identifier_rules(spark, sf_dir):
+    raw = spark.createDataFrame(list(enumerate(samples.NAMES)), "k int, v string")
+    v = F.col("v")
+    return raw.select("k", T.extracted_id(v).alias("extracted"), T.graph_id(v).alias("graph"), T.relation_name(v).alias("relation"))
+
+
+@query("SELECT * FROM (VALUES (0, 0.5), (1, 0.5), (2, 0.3), (3, 1.0), (4, 0.0), (5, 0.9877), (6, 1.0)) v(k, confidence)".replace("0.3)", "CAST(0.3 AS DOUBLE))"))
+def confidence_rules(spark, sf_dir):
+    raw = spark.createDataFrame(list(enumerate(samples.CONFIDENCES)), "k int, v double")
+    return raw.select("k", T.graph_confidence(F.col("v")).alias("confidence"))
+
+
+@query(
+    """SELECT * FROM (VALUES (0, 'ok', 1, 0), (1, 'ok', 0, 1), (2, 'empty', 0, 0), (3, 'empty', 0, 0), (4, 'ok', 1, 0),
+        (5, 'bad_shape', 0, 0), (6, 'empty', 0, 0), (7, 'ok', 4, 0)) v(chunk_id, status, n_entities, n_relations)"""
+)
+def reply_recovery(spark, sf_dir):
+    raw = spark.createDataFrame([(k, r) for k, r in enumerate(samples.REPLIES)], "chunk_id int, reply string")
+    return X.parsed_replies(raw).select("chunk_id", "status", F.size("entities").alias("n_entities"), F.size("relations").alias("n_relations"))
+
+
+_PROMPT = (
+    "You are an agriculture knowledge extractor. Return ONLY JSON with keys: entities, relations. Allowed entity types: "
+    + VOCABULARY.labels_csv
+    + ". Allowed relation types: "
+    + VOCABULARY.relations_csv
+    + ". Entity fields: text,type,canonical_id,confidence,scientific_name,aliases,symptom_keywords,growth_stage,metric,unit. "
+    "Relation fields: source,target,type,confidence,evidence. Focus on text evidence when present.\n\nINPUT:\n"
+)
+
+
+@query(f"WITH {CHUNKS} SELECT chunk_id, md5('{_PROMPT}' || array_to_string(part, ' ') || E'\\n\\nSOURCE_DOC: d' || doc_id) AS prompt_md5 FROM chunks")
+def prompts(spark, sf_dir):
+    chunks = _doc_chunks(spark, sf_dir).withColumns({"modality": F.lit("text"), "source_doc": F.concat(F.lit("d"), "doc_id")})
+    return chunks.select("chunk_id", F.md5(X.prompt(chunks, VOCABULARY).cast("binary")).alias("prompt_md5"))
+
+
+ENTITIES = """
+    raw_entities AS (
+        SELECT 'order#t' || l_orderkey AS chunk_id, l_linenumber * 2 AS ord, trim(p_name) AS text,
+               ['Crop', 'Disease', 'Pest', 'Environment', NULL, 'Category'][p_size % 6 + 1] AS type,
+               'part_' || p_partkey AS canonical_id, l_discount AS confidence
+        FROM lineitem JOIN part ON l_partkey = p_partkey
+        UNION ALL
+        SELECT 'order#t' || l_orderkey, l_linenumber * 2 + 1, s_name, 'Practice', 'supplier_' || s_suppkey, 0.0
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+    ), entities AS (SELECT * FROM raw_entities WHERE type IS NOT NULL)"""
+RELATIONS = """
+    relations AS (
+        SELECT 'order#t' || l_orderkey AS chunk_id, l_linenumber AS ord, 'supplier_' || l_suppkey AS source, 'part_' || l_partkey AS target,
+               CASE l_returnflag WHEN 'A' THEN 'AFFECTS' ELSE 'REQUIRES' END AS type, l_tax AS confidence, l_linestatus AS evidence
+        FROM lineitem WHERE l_returnflag IN ('A', 'R')
+    )"""
+TYPED = f"""{ENTITIES}, {RELATIONS}, known AS (
+        SELECT chunk_id, canonical_id, arg_max(type, (ord, type, text)) AS type, arg_max(text, (ord, type, text)) AS text FROM entities GROUP BY ALL
+    ), typed AS (
+        SELECT r.*, s.type AS source_type, s.text AS source_text, t.type AS target_type, t.text AS target_text
+        FROM relations r LEFT JOIN known s ON r.chunk_id = s.chunk_id AND r.source = s.canonical_id
+                         LEFT JOIN known t ON r.chunk_id = t.chunk_id AND r.target = t.canonical_id
+    )"""
+
+
+def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.valid_entities(samples.raw_entities(spark, sf_dir), VOCABULARY)
+
+
+def _relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.valid_relations(samples.raw_relations(spark, sf_dir), VOCABULARY)
+
+
+def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.typed_relations(_relations(spark, sf_dir), _entities(spark, sf_dir))
+
+
+def _with_seq(df: DataFrame) -> DataFrame:
+    return df.withColumn("seq", F.substring_index("chunk_id", "#t", -1).cast("bigint"))
+
+
+@query(f"WITH {ENTITIES} SELECT * FROM entities")
+def validate_entities(spark, sf_dir):
+    return _entities(spark, sf_dir)
+
+
+@query(f"WITH {RELATIONS} SELECT * FROM relations")
+def validate_relations(spark, sf_dir):
+    return _relations(spark, sf_dir)
+
+
+@query(f"WITH {TYPED} SELECT * FROM typed")
+def typed_relations(spark, sf_dir):
+    return _typed(spark, sf_dir)
+
+
+@query(
+    f"""WITH {TYPED}, rows AS (
+        SELECT type AS label, canonical_id, text AS name, CASE WHEN confidence = 0 THEN 0.5 ELSE round(confidence, 4) END AS confidence,
+               CAST(replace(chunk_id, 'order#t', '') AS BIGINT) AS seq, 0 AS phase, ord * 2 AS ord FROM entities
+        UNION ALL SELECT coalesce(source_type, 'Condition'), source, source_text, NULL, CAST(replace(chunk_id, 'order#t', '') AS BIGINT), 1, ord * 2 FROM typed
+        UNION ALL SELECT coalesce(target_type, 'Condition'), target, target_text, NULL, CAST(replace(chunk_id, 'order#t', '') AS BIGINT), 1, ord * 2 + 1 FROM typed
+    )
+    SELECT label, canonical_id, 'public' AS tier, arg_max(name, (seq, phase, ord, name)) FILTER (name <> '') AS name,
+           arg_max(confidence, (seq, phase, ord, confidence)) FILTER (confidence IS NOT NULL) AS confidence, label AS type
+    FROM rows GROUP BY label, canonical_id"""
+)
+def graph_entities(spark, sf_dir):
+    nodes = graph.entity_nodes(_with_seq(_entities(spark, sf_dir)), _with_seq(_typed(spark, sf_dir)), SCOPE, VOCABULARY)
+    return nodes.select("label", "canonical_id", "tier", "name", "confidence", "type")
+
+
+@query(
+    f"""WITH {ENTITIES} SELECT chunk_id, type AS label, canonical_id, 'entity_extraction' AS evidence,
+        max_by(c, (ord, c)) AS confidence
+    FROM (SELECT *, CASE WHEN confidence = 0 THEN 0.5 ELSE round(confidence, 4) END AS c FROM entities)
+    WHERE chunk_id IN (SELECT 'order#t' || o_orderkey FROM orders) GROUP BY ALL"""
+)
+def graph_mentions(spark, sf_dir):
+    g_chunk = graph.chunk_nodes(samples.order_chunks(spark, sf_dir), SCOPE)
+    edges = graph.mention_edges(_with_seq(_entities(spark, sf_dir)), g_chunk, SCOPE, VOCABULARY)
+    return edges.select("chunk_id", "label", "canonical_id", "evidence", "confidence")
+
+
+@query(
+    f"""WITH {TYPED} SELECT coalesce(source_type, 'Condition') AS src_label, source AS src, type AS rel_type,
+        coalesce(target_type, 'Condition') AS tgt_label, target AS tgt,
+        arg_max(c, (seq, ord, c, evidence)) AS confidence, arg_max(evidence, (seq, ord, c, evidence)) AS evidence
+    FROM (SELECT *, CASE WHEN confidence = 0 THEN 0.5 ELSE round(confidence, 4) END AS c, CAST(replace(chunk_id, 'order#t', '') AS BIGINT) AS seq FROM typed)
+    GROUP BY ALL"""
+)
+def graph_relations(spark, sf_dir):
+    edges = graph.relation_edges(_with_seq(_typed(spark, sf_dir)), SCOPE, VOCABULARY)
+    return edges.select("src_label", "src", "rel_type", "tgt_label", "tgt", "confidence", "evidence")
+
+
+@query(
+    """SELECT 'order#t' || o_orderkey AS chunk_id, o_orderpriority || ' ' || o_orderstatus AS text, 'document' AS source_type, 'public' AS tier,
+        '2024-01-01T00:00:00+00:00' AS created_at FROM orders"""
+)
+def graph_chunks(spark, sf_dir):
+    return graph.chunk_nodes(samples.order_chunks(spark, sf_dir), SCOPE).select("chunk_id", "text", "source_type", "tier", "created_at")
+
+
+@query("SELECT DISTINCT 'customer-' || o_custkey AS doc_id, 'customer-' || o_custkey AS source_doc, 'public' AS tier FROM orders")
+def graph_documents(spark, sf_dir):
+    return graph.document_nodes(samples.order_chunks(spark, sf_dir), SCOPE).select("doc_id", "source_doc", "tier")
+
+
+@query("SELECT 'customer-' || o_custkey AS doc_id, 'order#t' || o_orderkey AS chunk_id, 'public' AS tier FROM orders")
+def graph_has_chunk(spark, sf_dir):
+    chunks = samples.order_chunks(spark, sf_dir)
+    return graph.has_chunk_edges(chunks, graph.chunk_nodes(chunks, SCOPE), SCOPE).select("doc_id", "chunk_id", "tier")
+
+
+@query(
+    f"""WITH {ENTITIES}, {RELATIONS}
+    SELECT (SELECT count(*) FROM orders) AS chunks, (SELECT count(*) FROM entities) AS entities, (SELECT count(*) FROM relations) AS relations"""
+)
+def run_totals(spark, sf_dir):
+    return graph.run_totals(samples.order_chunks(spark, sf_dir), _entities(spark, sf_dir), _relations(spark, sf_dir))
+
+
+@query(f"WITH {ENTITIES}, {RELATIONS} SELECT DISTINCT 'entity' AS kind, type AS name FROM entities UNION SELECT DISTINCT 'relation', type FROM relations")
+def observed_types(spark, sf_dir):
+    return ontology.observed_types(_entities(spark, sf_dir), _relations(spark, sf_dir))
+
+
+@query(
+    f"""WITH {ENTITIES}, {RELATIONS}
+    SELECT DISTINCT 'entity' AS kind, type AS name FROM entities UNION SELECT 'entity', 'Soil' UNION SELECT 'relation', 'CAUSES'
+    UNION SELECT DISTINCT 'relation', type FROM relations"""
+)
+def ontology_merge(spark, sf_dir):
+    baseline = spark.createDataFrame([("entity", "Soil"), ("entity", "Pest"), ("relation", "CAUSES")], "kind string, name string")
+    return ontology.merged_names(baseline, observed_types(spark, sf_dir))
+
+
+_WHOLE = ["the", "and", "with", "der", "une"]
+_PARTS = ["tion", "ung", "eau"]
+
+
+@query(
+    r"""WITH found AS (
+        SELECT 'ko' AS lang, unnest(regexp_extract_all(text, 'tion|ung|eau')) AS keyword FROM documents
+        UNION ALL
+        SELECT 'en', unnest(regexp_extract_all(lower(text), '(?:^|[^\p{L}\p{N}_])(the|and|with|der|une)(?:$|[^\p{L}\p{N}_])', 1))
+        FROM (SELECT replace(regexp_replace(text, '[^\p{L}\p{N}_]+', '  ', 'g'), ' ', ' ') AS text FROM documents)
+    ) SELECT lang, keyword, count(*) AS n FROM found GROUP BY ALL"""
+)
+def keyword_mining(spark, sf_dir):
+    return ontology.mined_keywords(_docs(spark, sf_dir), _PARTS, _WHOLE)
+
+
+@query(
+    """SELECT * FROM (VALUES ('en', 'why', 1), ('en', 'because', 1), ('ko', '왜', 1), ('ko', '원인', 1), ('ko', '이유', 1), ('en', 'compare', 2),
+        ('en', 'versus', 1), ('ko', '증가', 2), ('ko', '감소', 1), ('ko', '개선', 1), ('en', 'how', 2)) v(lang, keyword, n)"""
+)
+def keyword_rules(spark, sf_dir):
+    return ontology.mined_keywords(spark.createDataFrame([(t,) for t in samples.KEYWORD_TEXTS], "text string"))
+
+
+@query(
+    """SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) FILTER (value > 50) AS large_value,
+        max((ts, event_id)).event_id AS event_id FROM (SELECT *, {'ts': ts, 'event_id': event_id} AS s FROM events) GROUP BY user_id""".replace(
+        "max((ts, event_id)).event_id", "max(s).event_id"
+    )
+)
+def upsert_last_wins(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("user_id", "event_type", F.when(F.col("value") > 50, F.col("value")).alias("large_value"), "ts", "event_id")
+    return last_wins(rows, ["user_id"], ["ts", "event_id"], sticky=["large_value"]).select("user_id", "event_type", "large_value", "event_id")
+
+
+@query("SELECT page_id || '.html' AS path, strlen(html) AS size_bytes, sha256(html) AS sha256 FROM pages")
+def file_manifest(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select(F.concat("page_id", F.lit(".html")).alias("path"), F.col("html").cast("binary").alias("content"))
+    return manifests.content_digests(pages)
+
+
+def _digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifests.chunk_digests(chunking.chunk_segments(samples.file_segments(spark, sf_dir)))
+
+
+@query()
+def chunk_digests(spark, sf_dir):
+    return _digests(spark, sf_dir).select("chunk_id", "path", "digest")
+
+
+@query(
+    r"""WITH seg AS (
+        SELECT lang || '/' || source || '.md' AS path, doc_id % 7 = 3 AS is_table,
+               len(list_filter(string_split_regex(coalesce(text, ''), '\s+'), lambda w: w <> '')) AS n FROM documents
+    ) SELECT path, CAST(sum(CASE WHEN is_table OR n <= 1200 THEN 1 ELSE 1 + CAST(ceil((n - 1200) / 1100.0) AS INT) END) AS BIGINT) AS chunks,
+        0 AS entities, 0 AS relations FROM seg WHERE n > 0 GROUP BY path"""
+)
+def repro_rollup(spark, sf_dir):
+    return manifests.repro_rollup(_digests(spark, sf_dir)).drop("chunk_digests")
+
+
+@query()
+def page_segments(spark, sf_dir):
+    from docweir.sources.parsers import parsed_segments
+
+    pages = table(spark, sf_dir, "pages").select(F.concat("page_id", F.lit(".html")).alias("path"), F.col("html").cast("binary").alias("content"))
+    return parsed_segments(pages, "offline").select("path", "seg_ord", "text", "modality", "asset_ref")
+
+
+@query()
+def embedded_texts(spark, sf_dir):
+    from docweir.operators.models import embedded
+    from docweir.sources.providers import HashingEmbedder
+
+    vectors_ = embedded(_docs(spark, sf_dir).select("text"), HashingEmbedder(dim=64))
+    return vectors_.select("text_hash", F.size("vector").alias("dim"), F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x), 6).alias("squared"))
