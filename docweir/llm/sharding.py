@@ -76,8 +76,8 @@ def tree_shard(key: Column, shards: list[Shard]) -> Column:
 
 def place(rows: DataFrame, shards: list[Shard], grown: Shard) -> DataFrame:
     """Add ``shard`` and ``grown_shard`` (with one more shard) to rows with a doc_id."""
-    numbers = {s.number: s for s in [*shards, grown]}
-    leaves = F.array(*[_draw(F.col("doc_id"), numbers[n]) if n in numbers else F.lit(None).cast("double") for n in range(max(numbers) + 1)])
+    numbers = {s.number: s for s in [*shards, grown] if s.weight > 0}
+    leaves = F.array(*[_draw(F.col("doc_id"), numbers[n]) if n in numbers else F.lit(None).cast("double") for n in range(max(numbers, default=0) + 1)])
 
     def with_shard(df: DataFrame, name: str, all_shards: list[Shard]) -> DataFrame:
         racks: dict[int, list[Shard]] = {}
