@@ -1,0 +1,157 @@
+"""Near-duplicates by several SimHash fingerprints, each searched through Golay fuzzy keys.
+
+One fingerprint of 64 bits finds texts that differ in two bits, which is far closer than
+a shingle similarity of 0.8. Several fingerprints of the same shingles give as many
+chances to share a key, and together they are wide enough to verify a candidate.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from docweir.llm.components import connected_components
+from docweir.llm.simhash import PAIRWISE_LIMIT, segment_keys, shingles
+from docweir.storage import materialize
+
+#: Fingerprints of each text.
+N_FINGERPRINTS = 12
+#: Share of bits that may differ. Sets of shingles with similarity 0.8 differ in 0.15 of the bits on average.
+MAX_SHARE = 0.16
+#: Members of a tile of a crowded key.
+TILE = 1024
+
+
+def bit_sums(rows: np.ndarray) -> np.ndarray:
+    """How many rows of bytes have each bit set; up to 255 rows are added as bytes, eight bytes at a time."""
+    total = np.zeros(rows.shape[1] * 8, dtype=np.int64)
+    for k in range(0, len(rows), 255):
+        total += np.unpackbits(rows[k : k + 255], axis=1).view(np.uint64).sum(axis=0).view(np.uint8)
+    return total
+
+
+def wide_fingerprint(text: str | None, n_words: int, n: int) -> bytes:
+    """``n`` fingerprints of 64 bits over the distinct shingles of a whole text; no words give zeros."""
+    found = set(shingles(text, n_words))
+    if not found:
+        return bytes(8 * n)
+    digest = xxhash.xxh3_64_digest
+    base = np.frombuffer(b"".join(map(digest, found)), dtype=">u8").astype(np.uint64)
+    total = np.zeros(64 * n, dtype=np.int64)
+    steps = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for k in range(0, len(base), 1 << 14):
+        # Each further hash is the base moved by a constant and mixed; equal shingles stay equal, others fall apart.
+        x = base[k : k + (1 << 14), None] + steps
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        total += bit_sums(x.view(np.uint8))
+    return np.packbits(2 * total > len(base)).tobytes()
+
+
+def _fingerprints(docs: DataFrame, n_words: int, n: int) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            wide = [wide_fingerprint(t, n_words, n) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row_id"), batch.column("doc_id"), pa.array(wide, pa.binary())], names=["row_id", "doc_id", "wide"]
+            )
+
+    doc_id = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text").mapInArrow(
+        run, f"row_id bigint, doc_id {doc_id}, wide binary"
+    )
+
+
+def _keyed(nodes: DataFrame, n: int) -> DataFrame:
+    """(key, node): the fuzzy keys of each of a node's fingerprints."""
+
+    def run(batches):
+        for batch in batches:
+            ids = batch.column("node").to_numpy(zero_copy_only=False)
+            wide = np.frombuffer(b"".join(batch.column("wide").to_pylist()), dtype=np.int64).reshape(-1, n)
+            for k in range(0, len(ids), 2048):
+                for j in range(n):
+                    keys, owners = segment_keys(np.ascontiguousarray(wide[k : k + 2048, j]))
+                    yield pa.RecordBatch.from_arrays([pa.array(keys | j << 42), pa.array(ids[k : k + 2048][owners])], names=["key", "node"])
+
+    return nodes.select("node", "wide").mapInArrow(run, "key bigint, node bigint")
+
+
+def _links(max_bits: int):
+    """For one pair of tiles of a key: (a, b), each member with the smallest node that links within the tiles reach."""
+
+    def run(key, table):
+        ids, tile = table.column("node").to_numpy(), table.column("tile").to_numpy()
+        bits = np.unpackbits(np.frombuffer(b"".join(table.column("wide").to_pylist()), dtype=np.uint8).reshape(len(ids), -1), axis=1).astype(np.float32)
+        ones = bits.sum(axis=1)
+        near = ones[:, None] + ones - 2 * (bits @ bits.T) <= max_bits
+        lower, upper = key[1].as_py(), key[2].as_py()
+        if lower != upper:
+            near &= (tile == lower)[:, None] ^ (tile == lower)
+        roots, open_ = ids.copy(), np.ones(len(ids), dtype=bool)
+        for start in np.argsort(ids):
+            if not open_[start]:
+                continue
+            open_[start], front = False, np.array([start])
+            while len(front):
+                reached = near[front].any(axis=0) & open_
+                open_ &= ~reached
+                roots[reached] = ids[start]
+                front = np.flatnonzero(reached)
+        some = roots != ids
+        return pa.table({"a": ids[some], "b": roots[some]})
+
+    return run
+
+
+def similar_groups(docs: DataFrame, n_words: int = 5, n: int = N_FINGERPRINTS, max_share: float = MAX_SHARE) -> DataFrame:
+    """(row_id, doc_id, component) of every row; rows of one component are near-duplicates of each other.
+
+    Texts with equal wide fingerprints are one node. Nodes that share a key are
+    candidates, and link if at most ``max_share`` of all bits differ. Keys of few nodes
+    are joined with themselves; keys of many are compared in pairs of tiles, which return
+    one row per member and no pairs. Null and empty texts are one node. Repeated rows are
+    rows of their own, told apart by row_id, which is ``monotonically_increasing_id()``
+    of the scanned row. Other columns are ignored; an empty table gives an empty result.
+    """
+    max_bits = int(max_share * 64 * n)
+    rows = materialize(_fingerprints(docs, n_words, n), "wide-rows")
+    nodes = materialize(rows.groupBy("wide").agg(F.min("row_id").alias("node")), "wide-nodes")
+    keyed = materialize(_keyed(nodes, n), "wide-keys")
+    counts = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "wide-counts")
+    shared = materialize(keyed.join(counts, "key"), "wide-shared")
+    small = shared.where(F.col("size") <= PAIRWISE_LIMIT)
+    candidates = (
+        small.select("key", F.col("node").alias("a"))
+        .join(small.select("key", F.col("node").alias("b")), "key")
+        .where("a < b")
+        .select("a", "b")
+        .distinct()
+    )
+    left, right = (nodes.select(F.col("node").alias(c), F.col("wide").alias(f"wide_{c}")) for c in ("a", "b"))
+
+    def word(side: str, k: int):
+        # Sixteen hexadecimal digits are one word; its bits may be read as a signed number.
+        return F.conv(F.substring(F.hex(f"wide_{side}"), 16 * k + 1, 16), 16, -10).cast("bigint")
+
+    differing = sum((F.bit_count(word("a", k).bitwiseXOR(word("b", k))) for k in range(n)), F.lit(0))
+    pairs = candidates.join(left, "a").join(right, "b").where(differing <= max_bits).select("a", "b")
+    tiles = F.ceil(F.col("size") / TILE).cast("int")
+    crowded = (
+        shared.where(F.col("size") > PAIRWISE_LIMIT)
+        .withColumn("tile", F.pmod(F.xxhash64("node"), tiles).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+        .select("key", "node", "tile", F.least("tile", "other").alias("lower"), F.greatest("tile", "other").alias("upper"))
+        .join(nodes, "node")
+        .groupBy("key", "lower", "upper")
+        .applyInArrow(_links(max_bits), "a bigint, b bigint")
+    )
+    roots = materialize(connected_components(pairs.union(crowded)), "wide-roots")
+    classes = materialize(
+        nodes.join(roots, "node", "left").select("wide", F.coalesce("root", "node").alias("component")), "wide-classes"
+    )
+    return rows.join(classes, "wide").select("row_id", "doc_id", "component")

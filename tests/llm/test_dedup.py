@@ -8,10 +8,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docweir.llm import embedding_dedup, golay, simhash
+from docweir.llm import embedding_dedup, golay, simhash, wide_simhash
 from docweir.llm.components import connected_components
 from docweir.llm.exact_dedup import content_hash, exact_dedup
-from docweir.llm.simhash import first_of_each_group, fingerprint, simhash_groups
+from docweir.llm.simhash import first_of_each_group, fingerprint, shingles, simhash_groups
 
 
 def texts(spark):
@@ -155,3 +155,58 @@ def test_embeddings(spark, dim, tile, monkeypatch):
 
 def test_no_embeddings(spark):
     assert embedding_dedup.embedding_groups(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_wide_fingerprints():
+    text = " ".join(f"w{k}" for k in range(300))
+    bits = np.unpackbits(np.frombuffer(wide_simhash.wide_fingerprint(text, 5, 12), dtype=np.uint8))
+    assert len(bits) == 768 and 0.35 < bits.mean() < 0.65
+    assert wide_simhash.wide_fingerprint(text.upper(), 5, 12) == wide_simhash.wide_fingerprint(text, 5, 12)
+    rows = np.random.default_rng(1).integers(0, 256, (700, 16), dtype=np.uint8)
+    assert (wide_simhash.bit_sums(rows) == np.unpackbits(rows, axis=1).sum(axis=0)).all()
+    assert not any(wide_simhash.wide_fingerprint(None, 5, 2))
+
+
+@pytest.mark.parametrize("tile, limit", [(1024, 32), (16, 2)])
+def test_similar_texts(spark, tile, limit, monkeypatch):
+    monkeypatch.setattr(wide_simhash, "TILE", tile)
+    monkeypatch.setattr(wide_simhash, "PAIRWISE_LIMIT", limit)
+    rnd = random.Random(11)
+    data, family = [(-1, None), (-2, ""), (-3, "two words"), (-4, "Two  WORDS")], {-1: "none", -2: "none", -3: "two", -4: "two"}
+    for f in range(12):
+        base = [f"w{rnd.randrange(4000)}" for _ in range(400)]
+        for _ in range(25 if f == 0 else 3):
+            words = list(base)
+            words[rnd.randrange(400)] = "changed"
+            family[len(data)] = f
+            data.append((len(data), " ".join(words)))
+    for _ in range(60):
+        family[len(data)] = f"alone{len(data)}"
+        data.append((len(data), " ".join(f"w{rnd.randrange(4000)}" for _ in range(120))))
+    data += data[10:12]
+    frame = spark.createDataFrame([(i, t, 0) for i, t in data], "doc_id long, text string, wide int")
+    groups = wide_simhash.similar_groups(frame)
+    found = {}
+    for r in groups.collect():
+        found.setdefault(r.component, set()).add(r.doc_id)
+    expected = {}
+    for i, f in family.items():
+        expected.setdefault(f, set()).add(i)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, expected.values()))
+    assert first_of_each_group(groups).count() == len(expected)
+    assert wide_simhash.similar_groups(frame.limit(0)).count() == 0
+
+
+def test_recall_on_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts_ = {r.doc_id: set(shingles(r.text, 5)) for r in docs.collect()}
+    component = {r.doc_id: r.component for r in wide_simhash.similar_groups(docs).collect()}
+    holders = {}
+    for i, s in texts_.items():
+        for h in s:
+            holders.setdefault(h, []).append(i)
+    pairs = {p for ids in holders.values() if len(ids) < 40 for p in itertools.combinations(sorted(ids), 2)}
+    similarity = {(a, b): len(texts_[a] & texts_[b]) / len(texts_[a] | texts_[b]) for a, b in pairs}
+    near = [p for p, j in similarity.items() if j >= 0.85]
+    assert near and all(component[a] == component[b] for a, b in near)
+    assert not [p for p, j in similarity.items() if j < 0.5 and component[p[0]] == component[p[1]] and not (p[0] in {a for a, _ in near} or p[1] in {b for _, b in near})]
