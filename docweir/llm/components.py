@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweir.storage import drop_path, new_path
@@ -18,15 +18,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
 
-    def written(df: DataFrame, name: str) -> tuple[DataFrame, str, tuple]:
-        seen, path = Observation(), new_path(spark, name)
-        total = F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))
-        df.observe(seen, F.count(F.lit(1)).alias("n"), total.alias("total")).write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path), path, (seen.get["n"], seen.get["total"])
+    def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+        path = new_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path), path
 
-    def star(pairs: DataFrame, large: bool) -> tuple[DataFrame, str, tuple]:
+    def star(pairs: DataFrame, large: bool) -> tuple[DataFrame, str]:
         """pairs (x, y) of neighbours; links the neighbours of each x to the smallest of them and x."""
-        lowest, lowest_path, _ = written(
+        lowest, lowest_path = written(
             pairs.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m")), "cc-lowest"
         )
         joined = pairs.join(lowest, "x")
@@ -38,19 +37,22 @@ def connected_components(edges: DataFrame) -> DataFrame:
         drop_path(spark, lowest_path)
         return out
 
-    links, path, state = written(
+    def are_stars(links: DataFrame) -> bool:
+        """Whether every node has one smaller neighbour or none, and nodes with one are nobody's smaller neighbour."""
+        ends = links.select(F.col("u").alias("n"), F.lit(1).alias("below"), F.lit(0).alias("above"))
+        ends = ends.union(links.select("v", F.lit(0), F.lit(1)))
+        sums = ends.groupBy("n").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+        return not sums.where("below > 1 OR (below = 1 AND above = 1)").agg(F.count("n")).first()[0]
+
+    links, path = written(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "cc-links"
     )
-    while state[0]:
-        one_way = links.select(F.col("u").alias("x"), F.col("v").alias("y"))
-        both = one_way.union(links.select("v", "u"))
-        large, large_path, _ = star(both, large=True)
-        new, new_path_, new_state = star(large.select(F.col("u").alias("x"), F.col("v").alias("y")), large=False)
+    while not are_stars(links):
+        both = links.select(F.col("u").alias("x"), F.col("v").alias("y")).union(links.select("v", "u"))
+        large, large_path = star(both, large=True)
+        new, new_path_ = star(large.select(F.col("u").alias("x"), F.col("v").alias("y")), large=False)
         drop_path(spark, large_path)
         drop_path(spark, path)
         links, path = new, new_path_
-        if new_state == state:
-            break
-        state = new_state
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
