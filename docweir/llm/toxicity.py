@@ -228,29 +228,39 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound
     terms = model.terms
 
     def near_misses(batches):
+        """(term, edits, null) and (null, null, word) with the documents that hold them, for inexact matches."""
         reader = TextReader(terms, frozenset())
         seen: Counter = Counter()
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                seen.update({(term, edits) for _, term, edits in reader.hits(text or "") if edits})
-                seen.update({(-1, 0, w) for w, _, edits in reader.hits(text or "") if edits})
-        for rows in (list(seen.items())[k : k + 10_000] for k in range(0, len(seen), 10_000)):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0][0] for r in rows], pa.int32()), pa.array([r[0][1] for r in rows], pa.int32()), pa.array([r[0][2] if r[0][0] < 0 else None for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())],
-                names=["term", "edits", "word", "n"],
-            )
+                inexact = [h for h in reader.hits(text or "") if h[2]]
+                seen.update({(term, edits, None) for _, term, edits in inexact} | {(None, None, word) for word, _, _ in inexact})
+        rows = list(seen.items())
+        for part in (rows[k : k + 10_000] for k in range(0, len(rows), 10_000)):
+            columns = [*zip(*(key for key, _ in part), strict=True), [n for _, n in part]]
+            kinds = (pa.int32(), pa.int32(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["term", "edits", "word", "n"])
 
     near = (
-        train.where("y = 0").select("text").mapInArrow(near_misses, "term int, edits int, word string, n bigint")
-        .groupBy("term", "edits", "word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "term", "edits", "word").limit(CANDIDATE_BOUND).collect()
-    )
+        train.where("y = 0")
+        .select("text")
+        .mapInArrow(near_misses, "term int, edits int, word string, n bigint")
+        .groupBy("term", "edits", "word")
+        .agg(F.sum("n").alias("n"))
+        .orderBy(F.desc("n"), "term", "edits", "word")
+        .limit(CANDIDATE_BOUND)
+        .collect()
+    )
     # Words of harmless documents that lie close to a term are words of their own.
     model.ordinary = ordinary = frozenset(r.word for r in near if r.word is not None)
     crowd = {(r.term, r.edits): r.n for r in near if r.word is None}
-    model.terms = terms = [
-        replace(t, max_edits=next((e for e in range(t.max_edits) if crowd.get((k, e + 1), 0) > MAX_NEAR_SHARE * n_negative), t.max_edits))
-        for k, t in enumerate(terms)
-    ]
+
+    def allowed(number: int, term: Term) -> int:
+        """The most edits that few harmless documents come up to."""
+        crowded = (e for e in range(1, term.max_edits + 1) if crowd.get((number, e), 0) > MAX_NEAR_SHARE * n_negative)
+        return next(crowded, term.max_edits + 1) - 1
+
+    model.terms = terms = [replace(t, max_edits=allowed(k, t)) for k, t in enumerate(terms)]
 
     def described(batches):
         reader = TextReader(terms, ordinary)
