@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from itertools import chain
 
 import numpy as np
 import regex
@@ -68,8 +69,39 @@ class Vocabulary:
         return out.tolist()
 
 
+#: Marks of chunks that don't follow a blank, and of pieces of a text that is cut up in full.
+BARE, PIECE = "\x01", "\x02"
+#: White space that a byte-level text must not have for its words to stand alone: other than single blanks and line ends inside.
+_BYTE_ODD = re.compile(r"[^\S \n]|[\x00-\x03]|  | \n|\n[ \n]|\A\s|\s\Z")
+#: Characters that Python, but not the library, counts as white space, and the marks.
+_WORD_ODD = re.compile(r"[\x00-\x03\x1c-\x1f]")
+#: A comma or full stop between a letter or digit and white space is always a piece.
+_ALNUM = "A-Za-z0-9\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u024f"
+_STOP = re.compile(rf"(?<=[{_ALNUM}])([.,])(?=[ \n])")
+_OTHER_STOP = re.compile(rf"(?<![{_ALNUM}])[.,]")
+
+
+def _plain(text: str) -> bool:
+    """Whether a text has no control characters and no white space but blanks and line ends."""
+    return text.replace("\n", "").isprintable()
+
+
+def _stops_apart(text: str, mark: str) -> str:
+    """With a blank and a mark before commas and full stops that are pieces of their own."""
+    if _OTHER_STOP.search(text):
+        return _STOP.sub(rf" {mark}\1", text)
+    for stop in (", ", ". ", ",\n", ".\n"):
+        text = text.replace(stop, f" {mark}{stop}")
+    return text
+
+
 class Splitter:
-    """Text to pieces; a special token's string in a text is a piece of its own."""
+    """Text to pieces, by way of chunks.
+
+    A chunk is a stretch of text whose pieces don't depend on what stands around it, as a
+    rule a word between blanks, so that what is known of a chunk can be kept. A special
+    token's string in a text is a piece of its own.
+    """
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.lower = vocabulary.lower
@@ -81,7 +113,34 @@ class Splitter:
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")").split
         self.library = None
 
+    def _odd(self, text: str) -> bool:
+        """Whether a text has to be cut up in full."""
+        if any(s in text for s in self.special):
+            return True
+        if self.lower:
+            return (not _plain(text) and _WORD_ODD.search(text) is not None) or (not text.isascii() and UNCOMMON.search(text) is not None)
+        if not _plain(text):
+            return _BYTE_ODD.search(text) is not None
+        return text[0].isspace() or text[-1].isspace() or any(s in text for s in ("  ", " \n", "\n ", "\n\n"))
+
+    def chunks(self, text: str) -> list[str]:
+        if not text:
+            return []
+        if self._odd(text):
+            return [PIECE + p for p in self.split(text)]
+        if self.lower:
+            return _stops_apart(self._normal(text), "").split()
+        return (BARE + _stops_apart(text, BARE).replace("\n", f" {BARE}\n {BARE}")).split(" ")
+
+    def pieces_of(self, chunk: str) -> list[str]:
+        if chunk[0] == PIECE:
+            return [chunk[1:]]
+        if self.lower:
+            return self.find_ascii(chunk) if chunk.isascii() else self.find(chunk)
+        return self._pieces(chunk[1:] if chunk[0] == BARE else " " + chunk)
+
     def split(self, text: str) -> list[str]:
+        """The pieces of a whole text."""
         if not any(s in text for s in self.special):
             return self._pieces(text)
         out: list[str] = []
@@ -89,15 +148,17 @@ class Splitter:
             out += [part] if k % 2 else self._pieces(part)
         return out
 
+    @staticmethod
+    def _normal(text: str) -> str:
+        # The library lower-cases each character alone, so there is no final sigma.
+        return text.lower() if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
     def _pieces(self, text: str) -> list[str]:
-        if text.isascii():
-            return self.find_ascii(text.lower() if self.lower else text)
-        if UNCOMMON.search(text):
+        if not text.isascii() and UNCOMMON.search(text):
             return self._library_pieces(text)
         if self.lower:
-            # The library lower-cases each character alone, so there is no final sigma.
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return self.find(text)
+            text = self._normal(text)
+        return self.find_ascii(text) if text.isascii() else self.find(text)
 
     def _library_pieces(self, text: str) -> list[str]:
         if self.library is None:
@@ -109,66 +170,84 @@ class Splitter:
         return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
 
-class PieceTable:
-    """Numbers distinct pieces and keeps what ``encode`` made of each, up to a bound.
+class ChunkNumbers:
+    """Numbers distinct chunks; what is known of each lies in arrays by number.
 
-    ``encode`` maps new pieces to lists of ids. The table forgets everything when it
-    holds more than ``limit`` pieces at the start of a batch; results don't depend on it.
+    ``learn`` (of a subclass) appends what it finds out about new chunks. Everything is
+    forgotten when more than ``limit`` chunks are known at the start of a batch; results
+    don't depend on it.
     """
 
-    def __init__(self, vocabulary: Vocabulary, encode, limit: int = 600_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, limit: int) -> None:
         self.vocabulary = vocabulary
         self.splitter = Splitter(vocabulary)
-        self.encode = encode
-        self.special = vocabulary.special
         self.limit = limit
-        self._reset()
+        self.reset()
 
-    def _reset(self) -> None:
+    def reset(self) -> None:
         table = self
 
         class Numbers(dict):
-            def __missing__(self, piece):
-                self[piece] = n = len(self)
-                table.new.append(piece)
+            def __missing__(self, chunk):
+                self[chunk] = n = len(self)
+                table.new.append(chunk)
                 return n
 
         self.numbers, self.new = Numbers(), []
-        self.flat = np.zeros(1 << 16, dtype=np.int32)
-        self.starts, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        self.used = 0
-        self._add([[i] for i in self.special.values()])
-        for k, s in enumerate(self.special):
-            self.numbers[s] = k
-
-    def _add(self, coded) -> None:
-        lengths = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
-        ends = self.used + np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else self.used
-        if total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), total - len(self.flat)), dtype=np.int32)])
-        self.flat[self.used : total] = np.fromiter((i for c in coded for i in c), dtype=np.int32, count=total - self.used)
-        self.starts = np.concatenate([self.starts, ends - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.used = total
+
+    def learn(self, pieces: list[list[str]]) -> None:
+        raise NotImplementedError
 
     def codes(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The numbers of each text's pieces; null counts as empty."""
+        """The numbers of each text's chunks; null counts as empty."""
         if len(self.numbers) > self.limit:
-            self._reset()
+            self.reset()
         out = []
         for text in texts:
-            pieces = self.splitter.split(text) if text else []
-            out.append(np.fromiter(map(self.numbers.__getitem__, pieces), dtype=np.int64, count=len(pieces)))
+            chunks = self.splitter.chunks(text or "")
+            out.append(np.fromiter(map(self.numbers.__getitem__, chunks), dtype=np.int32, count=len(chunks)))
         if self.new:
-            self._add(self.encode(self.new))
+            self.learn(list(map(self.splitter.pieces_of, self.new)))
             self.new = []
         return out
 
+    def known_pieces(self, pieces: list[list[str]], learned) -> dict:
+        """``learned`` of the distinct pieces that are no special tokens, by piece."""
+        distinct = list(set().union(*pieces).difference(self.vocabulary.special))
+        return dict(zip(distinct, learned(distinct), strict=True))
+
+
+class PieceTable(ChunkNumbers):
+    """Keeps the ids of chunks; ``encode`` maps pieces to lists of ids."""
+
+    def __init__(self, vocabulary: Vocabulary, encode, limit: int = 600_000) -> None:
+        self.encode = encode
+        super().__init__(vocabulary, limit)
+
+    def reset(self) -> None:
+        super().reset()
+        self.flat = np.zeros(1 << 16, dtype=np.int32)
+        self.starts, self.lengths = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
+        self.used = 0
+
+    def learn(self, pieces: list[list[str]]) -> None:
+        known = self.known_pieces(pieces, self.encode)
+        known.update((s, [i]) for s, i in self.vocabulary.special.items())
+        coded = [known[ps[0]] if len(ps) == 1 else [i for p in ps for i in known[p]] for ps in pieces]
+        lengths = np.fromiter(map(len, coded), dtype=np.int32, count=len(coded))
+        ends = self.used + np.cumsum(lengths, dtype=np.int32)
+        total = int(ends[-1])
+        if total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat) // 2, total - len(self.flat)), dtype=np.int32)])
+        self.flat[self.used : total] = np.fromiter(chain.from_iterable(coded), dtype=np.int32, count=total - self.used)
+        self.starts = np.concatenate([self.starts, ends - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.used = total
+
     def ids(self, codes: np.ndarray) -> np.ndarray:
-        """The token ids of a text from the numbers of its pieces."""
+        """The token ids of a text from the numbers of its chunks."""
         lengths = self.lengths[codes]
-        ends = np.cumsum(lengths)
+        ends = np.cumsum(lengths, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
         return self.flat[np.repeat(self.starts[codes] - (ends - lengths), lengths) + np.arange(total)]
 

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from docweir.llm.pieces import Splitter, Vocabulary, in_slices
+from docweir.llm.pieces import ChunkNumbers, Vocabulary, in_slices
 
 
 class RankSynchronousCounter:
@@ -71,7 +71,7 @@ class RankSynchronousCounter:
             moved = np.cumsum(keep) - 1
             symbols, piece, rank, places = symbols[keep], piece[keep], rank[keep], moved[places]
             # Only the pairs beside a merged symbol change.
-            touched = np.unique(np.r_[places, places[places > 0] - 1])
+            touched = np.concatenate([places, places[places > 0] - 1])
             rank[touched] = self.none
             touched = touched[touched < len(symbols) - 1]
             touched = touched[piece[touched] == piece[touched + 1]]
@@ -79,24 +79,27 @@ class RankSynchronousCounter:
         return counts
 
 
-class CountTable:
-    """Token counts of pieces seen so far, up to a bound, like ``PieceTable`` without the ids."""
+class CountTable(ChunkNumbers):
+    """Keeps the token counts of chunks."""
 
     def __init__(self, vocabulary: Vocabulary, limit: int = 600_000) -> None:
-        self.splitter = Splitter(vocabulary)
         self.counter = RankSynchronousCounter(vocabulary)
-        self.special = dict.fromkeys(vocabulary.special, 1)
-        self.limit = limit
-        self.known: dict[str, int] = dict(self.special)
+        super().__init__(vocabulary, limit)
+
+    def reset(self) -> None:
+        super().reset()
+        self.sizes = np.zeros(0, dtype=np.int32)
+
+    def learn(self, pieces: list[list[str]]) -> None:
+        known = self.known_pieces(pieces, lambda distinct: self.counter.count(distinct).tolist())
+        known.update(dict.fromkeys(self.vocabulary.special, 1))
+        size = known.__getitem__
+        sizes = (size(ps[0]) if len(ps) == 1 else sum(map(size, ps)) for ps in pieces)
+        self.sizes = np.concatenate([self.sizes, np.fromiter(sizes, dtype=np.int32, count=len(pieces))])
 
     def counts(self, texts: list[str | None]) -> list[int]:
-        if len(self.known) > self.limit:
-            self.known = dict(self.special)
-        pieces = [self.splitter.split(t) if t else [] for t in texts]
-        new = list(set().union(*pieces).difference(self.known))
-        self.known.update(zip(new, self.counter.count(new).tolist(), strict=True))
-        known = self.known.__getitem__
-        return [sum(map(known, p)) for p in pieces]
+        codes = self.codes(texts)
+        return [int(self.sizes[c].sum(dtype=np.int64)) for c in codes]
 
 
 @lru_cache(maxsize=2)
@@ -111,7 +114,7 @@ def count_batches(batches, vocabulary_path: str, extra):
     for batch in batches:
         texts = batch.column("text").to_pylist()
         counts: list[int] = []
-        for a, b in in_slices(texts, 2 << 20):
+        for a, b in in_slices(texts, 4 << 20):
             counts += table.counts(texts[a:b])
         yield extra(batch, texts, counts)
 

@@ -3,20 +3,32 @@
 from __future__ import annotations
 
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from docweir.llm.bpe import piece_table
-from docweir.llm.pieces import in_slices
+from docweir.llm.pieces import PieceTable, Vocabulary, in_slices
 
 #: Rows between two entries of the row index.
 INDEX_STRIDE = 1000
 STRIPE_BYTES = 16 << 20
 
 
+@lru_cache(maxsize=2)
+def library_table(vocabulary_path: str) -> PieceTable:
+    """The table of a worker process, kept from task to task; the tokenizer library encodes new pieces."""
+    library = Tokenizer.from_file(vocabulary_path)
+
+    def encode(pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in library.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    return PieceTable(Vocabulary(vocabulary_path), encode)
+
+
 def write_token_files(docs: DataFrame, vocabulary_path: str, path: str, end_id: int = 2, files: int | None = None) -> None:
     """Encode every whole text and write its ids, with ``end_id`` after them, as ORC.
 
@@ -33,7 +45,7 @@ def write_token_files(docs: DataFrame, vocabulary_path: str, path: str, end_id:
     doc_type = docs.schema["doc_id"].dataType.simpleString()
 
     def encode(batches):
-        table = piece_table(vocabulary_path)
+        table = library_table(vocabulary_path)
         end = np.array([end_id], dtype=np.int32)
         pos = 0
         for batch in batches:
@@ -62,7 +74,7 @@ def write_token_files(docs: DataFrame, vocabulary_path: str, path: str, end_id:
         .option("orc.bloom.filter.fpp", "0.01")
         .option("orc.row.index.stride", str(INDEX_STRIDE))
         .option("orc.stripe.size", str(STRIPE_BYTES))
-        .option("compression", "zstd")
+        .option("compression", "lz4")
         .orc(path)
     )
 

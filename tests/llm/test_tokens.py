@@ -19,7 +19,7 @@ WORD, BYTE = (public_tokenizers.path(f) for f in ("word_bpe_49k.json", "byte_bpe
 ODD = [
     "", " ", "a", "aaaaaaaaaaaaaaa", "  \n\n x", " a", "a ", "a\n b", "a \nb", "a\n\nb", "x\x1cy", "\x01a \x02b", "a b", "́a b ́",
     "<|endoftext|>a<|endoftext|><|startoftext|>", "ΣΑΣ Σ", "日本語 テスト", "é é Å", "՘xᲉy 12345", "a" * 5000, "İi̇", "don't we'll 'S it's,", "end., x. Y",
-    "🙂🙂 ok", "٣٤ १२", "A.\nB,\nC", "tab\tand\r\nline",
+    "🙂🙂 ok", "٣٤ १२", "A.\nB,\nC", "tab\tand\r\nline", "3×. 4÷, é. ÿ, ×, ok. a., b", "end.\n\nx", "x. ", "x.\n",
 ]
 
 
