@@ -9,7 +9,7 @@ from heapq import heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from docweir.llm.pieces import PieceTable, Vocabulary, in_slices
+from docweir.llm.pieces import PieceTable, Vocabulary, flattened, in_slices
 
 
 class PairIndexEncoder:
@@ -91,7 +91,8 @@ class PairIndexEncoder:
 def piece_table(vocabulary_path: str) -> PieceTable:
     """The table of a worker process, kept from task to task."""
     vocabulary = Vocabulary(vocabulary_path)
-    return PieceTable(vocabulary, PairIndexEncoder(vocabulary).encode)
+    encoder = PairIndexEncoder(vocabulary)
+    return PieceTable(vocabulary, lambda pieces: flattened(encoder.encode(pieces)))
 
 
 def decode(tokens: list[str], ids: list[int]) -> str:

@@ -211,14 +211,30 @@ class ChunkNumbers:
             self.new = []
         return out
 
-    def known_pieces(self, pieces: list[list[str]], learned) -> dict:
-        """``learned`` of the distinct pieces that are no special tokens, by piece."""
+    def piece_places(self, pieces: list[list[str]]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The distinct pieces, special tokens last; the place of each piece of each chunk among them; where chunks start."""
         distinct = list(set().union(*pieces).difference(self.vocabulary.special))
-        return dict(zip(distinct, learned(distinct), strict=True))
+        place = {p: k for k, p in enumerate(chain(distinct, self.vocabulary.special))}
+        counts = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        places = np.fromiter(map(place.__getitem__, chain.from_iterable(pieces)), dtype=np.int64, count=int(counts.sum()))
+        return distinct, places, np.cumsum(counts) - counts
+
+
+def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` with these starts and lengths, one after the other."""
+    ends = np.cumsum(lengths, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
+
+
+def flattened(coded: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of ids as one array and their lengths."""
+    lengths = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
+    return np.fromiter(chain.from_iterable(coded), dtype=np.int32, count=int(lengths.sum())), lengths
 
 
 class PieceTable(ChunkNumbers):
-    """Keeps the ids of chunks; ``encode`` maps pieces to lists of ids."""
+    """Keeps the ids of chunks; ``encode`` maps pieces to the ids of all and the number of each."""
 
     def __init__(self, vocabulary: Vocabulary, encode, limit: int = 600_000) -> None:
         self.encode = encode
@@ -231,25 +247,24 @@ class PieceTable(ChunkNumbers):
         self.used = 0
 
     def learn(self, pieces: list[list[str]]) -> None:
-        known = self.known_pieces(pieces, self.encode)
-        known.update((s, [i]) for s, i in self.vocabulary.special.items())
-        coded = [known[ps[0]] if len(ps) == 1 else [i for p in ps for i in known[p]] for ps in pieces]
-        lengths = np.fromiter(map(len, coded), dtype=np.int32, count=len(coded))
-        ends = self.used + np.cumsum(lengths, dtype=np.int32)
-        total = int(ends[-1])
+        distinct, places, chunk_starts = self.piece_places(pieces)
+        flat, lengths = self.encode(distinct)
+        special = np.array(list(self.vocabulary.special.values()), dtype=np.int32)
+        flat, lengths = np.concatenate([flat, special]), np.concatenate([lengths, np.ones(len(special), dtype=np.int64)])
+        starts = np.cumsum(lengths) - lengths
+        ids = gathered(flat, starts[places], lengths[places])
+        sizes = np.add.reduceat(lengths[places], chunk_starts)
+        total = self.used + len(ids)
         if total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat) // 2, total - len(self.flat)), dtype=np.int32)])
-        self.flat[self.used : total] = np.fromiter(chain.from_iterable(coded), dtype=np.int32, count=total - self.used)
-        self.starts = np.concatenate([self.starts, ends - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
+        self.flat[self.used : total] = ids
+        self.starts = np.concatenate([self.starts, (self.used + np.cumsum(sizes) - sizes).astype(np.int32)])
+        self.lengths = np.concatenate([self.lengths, sizes.astype(np.int32)])
         self.used = total
 
     def ids(self, codes: np.ndarray) -> np.ndarray:
         """The token ids of a text from the numbers of its chunks."""
-        lengths = self.lengths[codes]
-        ends = np.cumsum(lengths, dtype=np.int64)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(self.starts[codes] - (ends - lengths), lengths) + np.arange(total)]
+        return gathered(self.flat, self.starts[codes], self.lengths[codes])
 
 
 def in_slices(texts: list[str | None], limit: int = 8 << 20):

@@ -91,11 +91,9 @@ class CountTable(ChunkNumbers):
         self.sizes = np.zeros(0, dtype=np.int32)
 
     def learn(self, pieces: list[list[str]]) -> None:
-        known = self.known_pieces(pieces, lambda distinct: self.counter.count(distinct).tolist())
-        known.update(dict.fromkeys(self.vocabulary.special, 1))
-        size = known.__getitem__
-        sizes = (size(ps[0]) if len(ps) == 1 else sum(map(size, ps)) for ps in pieces)
-        self.sizes = np.concatenate([self.sizes, np.fromiter(sizes, dtype=np.int32, count=len(pieces))])
+        distinct, places, chunk_starts = self.piece_places(pieces)
+        sizes = np.concatenate([self.counter.count(distinct), np.ones(len(self.vocabulary.special), dtype=np.int64)])
+        self.sizes = np.concatenate([self.sizes, np.add.reduceat(sizes[places], chunk_starts).astype(np.int32)])
 
     def counts(self, texts: list[str | None]) -> list[int]:
         codes = self.codes(texts)

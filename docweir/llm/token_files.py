@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
 from docweir.llm.pieces import PieceTable, Vocabulary, in_slices
 
@@ -20,13 +21,24 @@ STRIPE_BYTES = 16 << 20
 
 @lru_cache(maxsize=2)
 def library_table(vocabulary_path: str) -> PieceTable:
-    """The table of a worker process, kept from task to task; the tokenizer library encodes new pieces."""
-    library = Tokenizer.from_file(vocabulary_path)
+    """The table of a worker process, kept from task to task; the tokenizer library encodes new pieces.
 
-    def encode(pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in library.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    return PieceTable(Vocabulary(vocabulary_path), encode)
+    Pieces are already normalized and split, so they go to the library as one text with
+    blanks between them. The last token of a piece is one with a word end, which tells
+    the pieces apart again.
+    """
+    vocabulary = Vocabulary(vocabulary_path)
+    if not vocabulary.word_end:
+        raise ValueError("token files are written with a tokenizer that marks word ends")
+    library = Tokenizer(Tokenizer.from_file(vocabulary_path).model)
+    library.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+    ends_word = np.array([t.endswith(vocabulary.word_end) for t in vocabulary.tokens()])
+
+    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flat = np.array(library.encode(" ".join(pieces), add_special_tokens=False).ids, dtype=np.int32)
+        return flat, np.diff(np.flatnonzero(ends_word[flat]) + 1, prepend=0)
+
+    return PieceTable(vocabulary, encode)
 
 
 def write_token_files(docs: DataFrame, vocabulary_path: str, path: str, end_id: int = 2, files: int | None = None) -> None:
