@@ -14,13 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweir.llm.components import connected_components
-from docweir.llm.simhash import PAIRWISE_LIMIT, segment_keys, shingles
+from docweir.llm.simhash import segment_keys, shingles
 from docweir.storage import materialize
 
 #: Fingerprints of each text.
 N_FINGERPRINTS = 12
 #: Share of bits that may differ. Sets of shingles with similarity 0.8 differ in 0.15 of the bits on average.
 MAX_SHARE = 0.16
+#: A key of more nodes than this is compared in tiles, so that a node meets few others as rows.
+PAIRWISE_LIMIT = 8
 #: Members of a tile of a crowded key.
 TILE = 1024
 
