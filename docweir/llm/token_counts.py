@@ -82,7 +82,7 @@ class RankSynchronousCounter:
 class CountTable(ChunkNumbers):
     """Keeps the token counts of chunks."""
 
-    def __init__(self, vocabulary: Vocabulary, limit: int = 600_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, limit: int = 400_000) -> None:
         self.counter = RankSynchronousCounter(vocabulary)
         super().__init__(vocabulary, limit)
 

@@ -29,7 +29,7 @@ MIN_LOG_RATIO = 3.2
 MAX_NEAR_SHARE = 0.001
 STEM_LENGTHS = range(4, 11)
 WINDOW = 12
-CACHE_BOUND = 400_000
+CACHE_BOUND = 150_000
 #: What a match counts by its edits, and what a quoted or reported match counts of that.
 EDIT_WEIGHTS = (1.0, 0.7, 0.4)
 QUOTED_WEIGHT = 0.25
