@@ -1,12 +1,14 @@
-"""Near-duplicates by several SimHash fingerprints, each searched through Golay fuzzy keys.
+"""Near-duplicates by the similarity of their sets of shingles, found without loss and verified on the shingles.
 
-One fingerprint of 64 bits finds texts that differ in two bits, which is far closer than
-a shingle similarity of 0.8. Several fingerprints of the same shingles give as many
-chances to share a key, and together they are wide enough to verify a candidate.
+Fingerprints only estimate the similarity: ``wide_fingerprint`` differs in 15 % of its
+bits at 0.8 on average, so a limit of bits loses some pairs above 0.8 and takes some
+below. ``similar_groups`` therefore looks for shared rare shingles and counts them.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -14,17 +16,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweir.llm.components import connected_components
-from docweir.llm.simhash import segment_keys, shingles
+from docweir.llm.simhash import shingles
 from docweir.storage import materialize
 
-#: Fingerprints of each text.
-N_FINGERPRINTS = 12
-#: Share of bits that may differ. Sets of shingles with similarity 0.8 differ in 0.15 of the bits on average.
-MAX_SHARE = 0.16
+#: Share of the shingles of two texts that both must have.
+SIMILARITY = Fraction(4, 5)
+#: Hashes of shingles that are counted together, about; rows whose hashes are handed on together.
+BUCKET, RUN = 1 << 19, 1 << 13
 #: A key of more nodes than this is compared in tiles, so that a node meets few others as rows.
 PAIRWISE_LIMIT = 8
-#: Members of a tile of a crowded key.
-TILE = 1024
+#: Members of a tile of a crowded key, and shingles of its members, about.
+TILE, TILE_WEIGHT = 1024, 1 << 20
 
 
 def bit_sums(rows: np.ndarray) -> np.ndarray:
@@ -54,43 +56,99 @@ def wide_fingerprint(text: str | None, n_words: int, n: int) -> bytes:
     return np.packbits(2 * total > len(base)).tobytes()
 
 
-def _fingerprints(docs: DataFrame, n_words: int, n: int) -> DataFrame:
+def shingle_hashes(text: str | None, n_words: int) -> np.ndarray:
+    """The set of shingles of a whole text as sorted hashes of 64 bits; no words give none."""
+    digest = xxhash.xxh3_64_digest
+    return np.unique(np.frombuffer(b"".join(map(digest, shingles(text, n_words))), dtype=">u8").astype(np.uint64))
+
+
+def _sets(docs: DataFrame, n_words: int) -> DataFrame:
+    """(row_id, doc_id, set_id, size): a hash of 128 bits names a text's set of shingles."""
+
     def run(batches):
         for batch in batches:
-            wide = [wide_fingerprint(t, n_words, n) for t in batch.column("text").to_pylist()]
+            found = [shingle_hashes(t, n_words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row_id"), batch.column("doc_id"), pa.array(wide, pa.binary())], names=["row_id", "doc_id", "wide"]
+                [
+                    batch.column("row_id"),
+                    batch.column("doc_id"),
+                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary()),
+                    pa.array([len(s) for s in found], pa.int64()),
+                ],
+                names=["row_id", "doc_id", "set_id", "size"],
             )
 
     doc_id = docs.schema["doc_id"].dataType.simpleString()
     return docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text").mapInArrow(
-        run, f"row_id bigint, doc_id {doc_id}, wide binary"
+        run, f"row_id bigint, doc_id {doc_id}, set_id binary, size bigint"
     )
 
 
-def _keyed(nodes: DataFrame, n: int) -> DataFrame:
-    """(key, node): the fuzzy keys of each of a node's fingerprints."""
+def _dealt(docs: DataFrame, n_words: int, n_buckets: int) -> DataFrame:
+    """(bucket, first, hashes, places): all hashes of a run of rows that fall into a bucket; a place counts from the run's first row_id."""
 
     def run(batches):
         for batch in batches:
-            ids = batch.column("node").to_numpy(zero_copy_only=False)
-            wide = np.frombuffer(b"".join(batch.column("wide").to_pylist()), dtype=np.int64).reshape(-1, n)
-            for k in range(0, len(ids), 2048):
-                for j in range(n):
-                    keys, owners = segment_keys(np.ascontiguousarray(wide[k : k + 2048, j]))
-                    yield pa.RecordBatch.from_arrays([pa.array(keys | j << 42), pa.array(ids[k : k + 2048][owners])], names=["key", "node"])
-
-    return nodes.select("node", "wide").mapInArrow(run, "key bigint, node bigint")
+            ids, texts = batch.column("row_id").to_numpy(zero_copy_only=False), batch.column("text").to_pylist()
+            # Row ids of a batch follow each other; a place has 16 bits.
+            for k in range(0, len(ids), RUN):
+                found = [shingle_hashes(t, n_words) for t in texts[k : k + RUN]]
+                hashes = np.concatenate(found)
+                places = np.repeat(ids[k : k + RUN] - ids[k], [len(s) for s in found]).astype(np.uint16)
+                bucket = (hashes >> np.uint64(32)) % np.uint64(n_buckets)
+                order = np.argsort(bucket, kind="stable")
+                hashes, places = hashes[order], places[order]
+                present, starts = np.unique(bucket[order], return_index=True)
+                for b, start, end in zip(present.tolist(), starts.tolist(), [*starts[1:].tolist(), len(hashes)], strict=True):
+                    columns = [pa.array([b], pa.int64()), pa.array([int(ids[k])], pa.int64())]
+                    columns += [pa.array([part[start:end].tobytes()], pa.binary()) for part in (hashes, places)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["bucket", "first", "hashes", "places"])
+
+    return docs.select(F.monotonically_increasing_id().alias("row_id"), "text").mapInArrow(
+        run, "bucket bigint, first bigint, hashes binary, places binary"
+    )
 
 
-def _links(max_bits: int):
+def _shared_hashes(table):
+    """For one bucket: (row_id, hash, df) of the hashes that several rows hold."""
+    parts = [np.frombuffer(h, dtype=np.uint64) for h in table.column("hashes").to_pylist()]
+    places = np.frombuffer(b"".join(table.column("places").to_pylist()), dtype=np.uint16).astype(np.int64)
+    hashes = np.concatenate(parts)
+    rows = places + np.repeat(table.column("first").to_numpy(), [len(p) for p in parts])
+    _, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+    df = counts[inverse]
+    some = df > 1
+    return pa.table({"row_id": rows[some], "hash": hashes[some].view(np.int64), "df": df[some]})
+
+
+def _common(table) -> np.ndarray:
+    """How many hashes each two rows of a table of sets have in common."""
+    sets = table.column("hashes").combine_chunks()
+    owners = np.repeat(np.arange(len(sets)), sets.value_lengths().to_numpy())
+    _, number, counts = np.unique(sets.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    # What one row holds has no part in it; the rest is numbered anew.
+    new = np.cumsum(counts > 1) - 1
+    some = counts[number] > 1
+    owners, number = owners[some], new[number[some]]
+    order = np.argsort(number, kind="stable")
+    owners, number = owners[order], number[order]
+    common = np.zeros((len(sets), len(sets)), dtype=np.int64)
+    width = 2048
+    for start in range(0, int(number[-1]) + 1 if len(number) else 0, width):
+        low, high = np.searchsorted(number, (start, start + width))
+        part = np.zeros((len(sets), width), dtype=np.float32)
+        part[owners[low:high], number[low:high] - start] = 1
+        common += (part @ part.T).astype(np.int64)
+    return common
+
+
+def _links(similarity: Fraction):
     """For one pair of tiles of a key: (a, b), each member with the smallest node that links within the tiles reach."""
+    over, under = similarity.numerator, similarity.denominator
 
     def run(key, table):
-        ids, tile = table.column("node").to_numpy(), table.column("tile").to_numpy()
-        bits = np.unpackbits(np.frombuffer(b"".join(table.column("wide").to_pylist()), dtype=np.uint8).reshape(len(ids), -1), axis=1).astype(np.float32)
-        ones = bits.sum(axis=1)
-        near = ones[:, None] + ones - 2 * (bits @ bits.T) <= max_bits
+        ids, tile, size = (table.column(c).to_numpy() for c in ("node", "tile", "size"))
+        near = (over + under) * _common(table) >= over * (size[:, None] + size)
         lower, upper = key[1].as_py(), key[2].as_py()
         if lower != upper:
             near &= (tile == lower)[:, None] ^ (tile == lower)
@@ -110,50 +168,77 @@ def _links(max_bits: int):
     return run
 
 
-def similar_groups(docs: DataFrame, n_words: int = 5, n: int = N_FINGERPRINTS, max_share: float = MAX_SHARE) -> DataFrame:
-    """(row_id, doc_id, component) of every row; rows of one component are near-duplicates of each other.
-
-    Texts with equal wide fingerprints are one node. Nodes that share a key are
-    candidates, and link if at most ``max_share`` of all bits differ. Keys of few nodes
-    are joined with themselves; keys of many are compared in pairs of tiles, which return
-    one row per member and no pairs. Null and empty texts are one node. Repeated rows are
-    rows of their own, told apart by row_id, which is ``monotonically_increasing_id()``
-    of the scanned row. Other columns are ignored; an empty table gives an empty result.
+def similar_groups(docs: DataFrame, n_words: int = 5, similarity: Fraction = SIMILARITY) -> DataFrame:
+    """(row_id, doc_id, component) of every row; rows of one component are linked by near-duplicates.
+
+    Two texts link if and only if the Jaccard similarity of their sets of shingles is
+    ``similarity`` or more, and components are those of all links. Texts with equal sets
+    are one node. Candidates come from a prefix filter, which loses no link: with all
+    shingles in one order, rarest first, two sets of n and m shingles that link have a
+    shingle in common among the first n - ceil(similarity * n) + 1 of one and as many by
+    m of the other. Each candidate is then verified on the shingles. These are compared
+    by hashes of 64 bits; what no other row holds is in no intersection and is only
+    counted. Keys of few nodes are joined with themselves; keys of many are compared in
+    pairs of tiles, which return one row per member and no pairs. Null and empty texts
+    are one node. Repeated rows are rows of their own, told apart by row_id, which is
+    ``monotonically_increasing_id()`` of the scanned row. Other columns are ignored; an
+    empty table gives an empty result.
     """
-    max_bits = int(max_share * 64 * n)
-    rows = materialize(_fingerprints(docs, n_words, n), "wide-rows")
-    nodes = materialize(rows.groupBy("wide").agg(F.min("row_id").alias("node")), "wide-nodes")
-    keyed = materialize(_keyed(nodes, n), "wide-keys")
-    counts = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "wide-counts")
+    over, under = similarity.numerator, similarity.denominator
+    rows = materialize(_sets(docs, n_words), "wide-rows")
+    nodes = materialize(rows.groupBy("set_id").agg(F.min("row_id").alias("node"), F.min("size").alias("size")), "wide-nodes")
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    held = (
+        _dealt(docs, n_words, max(1, -(-total // BUCKET)))
+        .groupBy("bucket")
+        .applyInArrow(_shared_hashes, "row_id bigint, hash bigint, df bigint")
+        .withColumnRenamed("row_id", "node")
+        .groupBy("node")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "hash"))).alias("held"))
+    )
+    # Hashes that one row holds come first in the order and take up their part of the prefix.
+    prefix = F.expr(f"size - (size * {over} + {under - 1}) DIV {under} + 1 - (size - size(held))").cast("int")
+    sets = materialize(
+        held.join(nodes, "node").select(
+            "node", "size", F.col("held.hash").alias("hashes"), F.slice("held.hash", F.lit(1), F.greatest(prefix, F.lit(0))).alias("keys")
+        ),
+        "wide-sets",
+    )
+    keyed = sets.select("node", "size", F.explode("keys").alias("key"))
+    counts = materialize(
+        keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum("size").alias("weight")).where("members > 1"), "wide-counts"
+    )
     shared = materialize(keyed.join(counts, "key"), "wide-shared")
-    small = shared.where(F.col("size") <= PAIRWISE_LIMIT)
-    candidates = (
-        small.select("key", F.col("node").alias("a"))
-        .join(small.select("key", F.col("node").alias("b")), "key")
+    small = shared.where(F.col("members") <= PAIRWISE_LIMIT)
+    candidates = materialize(
+        small.select("key", F.col("node").alias("a"), F.col("size").alias("size_a"))
+        .join(small.select("key", F.col("node").alias("b"), F.col("size").alias("size_b")), "key")
         .where("a < b")
+        .where(F.least("size_a", "size_b") * under >= F.greatest("size_a", "size_b") * over)
+        .select("a", "b", "size_a", "size_b")
+        .distinct(),
+        "wide-candidates",
+    )
+    left, right = (sets.select(F.col("node").alias(c), F.col("hashes").alias(f"hashes_{c}")) for c in ("a", "b"))
+    common = F.size(F.array_intersect("hashes_a", "hashes_b"))
+    pairs = (
+        candidates.join(left, "a")
+        .join(right, "b")
+        .where(common * (over + under) >= (F.col("size_a") + F.col("size_b")) * over)
         .select("a", "b")
-        .distinct()
     )
-    left, right = (nodes.select(F.col("node").alias(c), F.col("wide").alias(f"wide_{c}")) for c in ("a", "b"))
-
-    def word(side: str, k: int):
-        # Sixteen hexadecimal digits are one word; its bits may be read as a signed number.
-        return F.conv(F.substring(F.hex(f"wide_{side}"), 16 * k + 1, 16), 16, -10).cast("bigint")
-
-    differing = sum((F.bit_count(word("a", k).bitwiseXOR(word("b", k))) for k in range(n)), F.lit(0))
-    pairs = candidates.join(left, "a").join(right, "b").where(differing <= max_bits).select("a", "b")
-    tiles = F.ceil(F.col("size") / TILE).cast("int")
+    tiles = F.greatest(F.ceil(F.col("members") / TILE), F.ceil(F.col("weight") / TILE_WEIGHT)).cast("int")
     crowded = (
-        shared.where(F.col("size") > PAIRWISE_LIMIT)
+        shared.where(F.col("members") > PAIRWISE_LIMIT)
         .withColumn("tile", F.pmod(F.xxhash64("node"), tiles).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-        .select("key", "node", "tile", F.least("tile", "other").alias("lower"), F.greatest("tile", "other").alias("upper"))
-        .join(nodes, "node")
+        .select("key", "node", "size", "tile", F.least("tile", "other").alias("lower"), F.greatest("tile", "other").alias("upper"))
+        .join(sets.select("node", "hashes"), "node")
         .groupBy("key", "lower", "upper")
-        .applyInArrow(_links(max_bits), "a bigint, b bigint")
+        .applyInArrow(_links(similarity), "a bigint, b bigint")
     )
     roots = materialize(connected_components(pairs.union(crowded)), "wide-roots")
     classes = materialize(
-        nodes.join(roots, "node", "left").select("wide", F.coalesce("root", "node").alias("component")), "wide-classes"
+        nodes.join(roots, "node", "left").select("set_id", F.coalesce("root", "node").alias("component")), "wide-classes"
     )
-    return rows.join(classes, "wide").select("row_id", "doc_id", "component")
+    return rows.join(classes, "set_id").select("row_id", "doc_id", "component")

@@ -210,3 +210,34 @@ def test_recall_on_documents(spark):
     near = [p for p, j in similarity.items() if j >= 0.85]
     assert near and all(component[a] == component[b] for a, b in near)
     assert not [p for p, j in similarity.items() if j < 0.5 and component[p[0]] == component[p[1]] and not (p[0] in {a for a, _ in near} or p[1] in {b for _, b in near})]
+
+
+def exact_links(texts_, least=(4, 5)):
+    sets = {i: set(shingles(t, 5)) for i, t in texts_.items()}
+
+    def linked(a, b):
+        return least[1] * len(sets[a] & sets[b]) >= least[0] * len(sets[a] | sets[b])
+
+    return linked
+
+
+def edited(base, n, rnd):
+    """The text with n words replaced that share no shingle."""
+    words = list(base)
+    for at in rnd.sample(range(4, len(base) - 4, 5), n):
+        words[at] = f"new{rnd.randrange(10**9)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("n_edits, together", [(8, True)])
+def test_pairs_about_the_threshold(spark, n_edits, together):
+    # Of 396 shingles 8 edits leave a similarity of 0.817, and 9 edits one of 0.796.
+    rnd = random.Random(n_edits)
+    data = {}
+    for k in range(0, 120, 2):
+        base = [f"w{rnd.randrange(4000)}" for _ in range(400)]
+        data |= {k: " ".join(base), k + 1: edited(base, n_edits, rnd)}
+    linked = exact_links(data)
+    assert all(linked(k, k + 1) == together for k in range(0, 120, 2))
+    component = {r.doc_id: r.component for r in wide_simhash.similar_groups(spark.createDataFrame(list(data.items()), "doc_id long, text string")).collect()}
+    assert all((component[k] == component[k + 1]) == together for k in range(0, 120, 2))
