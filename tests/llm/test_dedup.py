@@ -229,7 +229,7 @@ def edited(base, n, rnd):
     return " ".join(words)
 
 
-@pytest.mark.parametrize("n_edits, together", [(8, True)])
+@pytest.mark.parametrize("n_edits, together", [(8, True), (9, False)])
 def test_pairs_about_the_threshold(spark, n_edits, together):
     # Of 396 shingles 8 edits leave a similarity of 0.817, and 9 edits one of 0.796.
     rnd = random.Random(n_edits)
@@ -241,3 +241,20 @@ def test_pairs_about_the_threshold(spark, n_edits, together):
     assert all(linked(k, k + 1) == together for k in range(0, 120, 2))
     component = {r.doc_id: r.component for r in wide_simhash.similar_groups(spark.createDataFrame(list(data.items()), "doc_id long, text string")).collect()}
     assert all((component[k] == component[k + 1]) == together for k in range(0, 120, 2))
+
+
+@pytest.mark.parametrize("tile, limit", [(1024, 8), (16, 2)])
+def test_crowded_texts_against_brute_force(spark, tile, limit, monkeypatch):
+    monkeypatch.setattr(wide_simhash, "TILE", tile)
+    monkeypatch.setattr(wide_simhash, "PAIRWISE_LIMIT", limit)
+    rnd = random.Random(5)
+    base = [f"w{rnd.randrange(4000)}" for _ in range(400)]
+    data = {k: edited(base, rnd.choice((2, 5, 9, 14)), rnd) for k in range(90)} | {90: "", 91: "one two"}
+    data |= {100 + k: " ".join(f"w{rnd.randrange(4000)}" for _ in range(60)) + " " + " ".join(base[:90]) for k in range(20)}
+    frame = spark.createDataFrame(list(data.items()), "doc_id long, text string")
+    groups, expected = {}, {}
+    for r in wide_simhash.similar_groups(frame).collect():
+        groups.setdefault(r.component, set()).add(r.doc_id)
+    for i, root in brute_components(sorted(data), exact_links(data)).items():
+        expected.setdefault(root, set()).add(i)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values())) and 20 < len(expected) < len(data)
