@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Term:
-    """A lexicon entry with the edits it may be met with; a stem matches every word that begins with it."""
+    """A lexicon entry with the edits it may be met with; a stem, edits included, matches every word that begins with it."""
 
     text: str
     stem: bool = False
@@ -76,7 +76,7 @@ class LexiconAutomaton:
             ends = [(edits, *self.ends[node]) for node, edits, _ in members if self.ends[node] is not None]
             best = min(((e, k) for e, k, _ in ends), default=None)
             self.accepted.append(best and (best[1], best[0]))
-            # A stem is taken once its last characters stand without an edit still to spend on them.
+            # A stem ends here with so many edits, and any ending may follow.
             stems = min(((e, k) for e, k, stem in ends if stem), default=None)
             self.stem_found.append(stems and (stems[1], stems[0]))
         return self.state_of[members]
@@ -92,7 +92,7 @@ class LexiconAutomaton:
         return self._state(self._closed(reached))
 
     def match(self, word: str) -> tuple[int, int] | None:
-        """(index of the term, edits) of the best match, or None. An exact stem beats an inexact whole word."""
+        """(index of the term, edits) of the best match, or None. Of as many edits a stem beats a whole word."""
         state, stem, alphabet = self.start, None, self.alphabet
         for c in word:
             if c not in alphabet:

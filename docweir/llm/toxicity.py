@@ -25,7 +25,7 @@ THRESHOLD = 0.3
 MIN_POSITIVE, MIN_SHARE = 5, 0.01
 #: How much likelier a term must be in toxic documents (log of the ratio).
 MIN_LOG_RATIO = 3.2
-#: Share of harmless documents that may hold words within some edits of a term; a term that has more neighbours is not met with so many edits.
+#: Share of harmless documents that may hold unknown words within some edits of a term; a term that has more such neighbours is not met with so many edits.
 MAX_NEAR_SHARE = 0.001
 STEM_LENGTHS = range(4, 11)
 WINDOW = 12
@@ -168,6 +168,11 @@ def _count_terms(train: DataFrame, only: frozenset | None = None) -> DataFrame:
     return train.select("text").mapInArrow(run, "term string, stem boolean, n bigint").groupBy("term", "stem").agg(F.sum("n").alias("n"))
 
 
+def _edits(term: str) -> int:
+    """The most edits a term or stem of this length is met with."""
+    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+
+
 def _lexicon(positive: dict, negative: dict, n_positive: int, n_negative: int) -> list[Term]:
     """Terms that tell toxic documents; a stem only where it gathers clearly more of them than any word under it."""
 
@@ -188,10 +193,11 @@ def _lexicon(positive: dict, negative: dict, n_positive: int, n_negative: int) -
     for t in sorted(stems, key=lambda t: (-positive[t, True], -len(t))):
         if not any(t.startswith(k) or k.startswith(t) for k in kept_stems):
             kept_stems.append(t)
-    kept = [(positive[t, True], Term(t, True)) for t in kept_stems]
+    kept = [(positive[t, True], Term(t, True, _edits(t))) for t in kept_stems]
     for t, stem in telling:
-        if not stem and not t.startswith(tuple(kept_stems)):
-            kept.append((positive[t, False], Term(t, max_edits=0 if len(t) < 5 else 1 if len(t) < 9 else 2)))
+        # A word under a stem is met by the stem as it is; it may be met with edits that the stem is not.
+        if not stem and (_edits(t) or not t.startswith(tuple(kept_stems))):
+            kept.append((positive[t, False], Term(t, max_edits=_edits(t))))
     kept.sort(key=lambda k: (-k[0], k[1].text))
     return [term for _, term in kept[:LEXICON_BOUND]]
 
@@ -225,42 +231,41 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound
     positive = {(r.term, r.stem): r.n for r in frequent.orderBy(F.desc("n"), "term", "stem").limit(CANDIDATE_BOUND).collect()}
     negative = {(r.term, r.stem): r.n for r in _count_terms(train.where("y = 0"), frozenset(positive)).collect()}
     model = ToxicityModel(_lexicon(positive, negative, n_positive, n_negative), prior=n_positive / (n_positive + n_negative))
-    terms = model.terms
 
-    def near_misses(batches):
-        """(term, edits, null) and (null, null, word) with the documents that hold them, for inexact matches."""
-        reader = TextReader(terms, frozenset())
-        seen: Counter = Counter()
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                inexact = [h for h in reader.hits(text or "") if h[2]]
-                seen.update({(term, edits, None) for _, term, edits in inexact} | {(None, None, word) for word, _, _ in inexact})
-        rows = list(seen.items())
-        for part in (rows[k : k + 10_000] for k in range(0, len(rows), 10_000)):
-            columns = [*zip(*(key for key, _ in part), strict=True), [n for _, n in part]]
-            kinds = (pa.int32(), pa.int32(), pa.string(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["term", "edits", "word", "n"])
-
-    near = (
-        train.where("y = 0")
-        .select("text")
-        .mapInArrow(near_misses, "term int, edits int, word string, n bigint")
-        .groupBy("term", "edits", "word")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "term", "edits", "word")
-        .limit(CANDIDATE_BOUND)
-        .collect()
-    )
-    # Words of harmless documents that lie close to a term are words of their own.
-    model.ordinary = ordinary = frozenset(r.word for r in near if r.word is not None)
-    crowd = {(r.term, r.edits): r.n for r in near if r.word is None}
-
-    def allowed(number: int, term: Term) -> int:
-        """The most edits that few harmless documents come up to."""
-        crowded = (e for e in range(1, term.max_edits + 1) if crowd.get((number, e), 0) > MAX_NEAR_SHARE * n_negative)
-        return next(crowded, term.max_edits + 1) - 1
-
-    model.terms = terms = [replace(t, max_edits=allowed(k, t)) for k, t in enumerate(terms)]
+    def near_misses(terms: list[Term]) -> DataFrame:
+        """(term, edits, word, n): harmless documents that hold a word, for inexact matches."""
+
+        def run(batches):
+            reader = TextReader(terms, frozenset())
+            seen: Counter = Counter()
+            for batch in batches:
+                for text in batch.column("text").to_pylist():
+                    seen.update({(term, edits, word) for word, term, edits in reader.hits(text or "") if edits})
+            rows = list(seen.items())
+            for part in (rows[k : k + 10_000] for k in range(0, len(rows), 10_000)):
+                columns = [*zip(*(key for key, _ in part), strict=True), [n for _, n in part]]
+                kinds = (pa.int32(), pa.int32(), pa.string(), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["term", "edits", "word", "n"]
+                )
+
+        counted = train.where("y = 0").select("text").mapInArrow(run, "term int, edits int, word string, n bigint")
+        return materialize(counted.groupBy("term", "edits", "word").agg(F.sum("n").alias("n")), "toxicity-near")
+
+    terms, ordinary = model.terms, frozenset()
+    while True:
+        near = near_misses(terms)
+        # Words of harmless documents that lie close to a term are words of their own, and no matches.
+        ordinary |= {r.word for r in near.orderBy(F.desc("n"), "word").limit(CANDIDATE_BOUND).collect()}
+        # As many documents hold a word that is not known yet as hold one that no other holds.
+        unknown = near.where("n = 1").groupBy("term", "edits").agg(F.count(F.lit(1)).alias("n")).collect()
+        crowd = {(r.term, r.edits): r.n for r in unknown if r.n > MAX_NEAR_SHARE * n_negative}
+        # Where too many unknown words come up, fewer edits are allowed; what they were close to may then be another term.
+        fewer = [replace(t, max_edits=next((e - 1 for e in range(1, t.max_edits + 1) if (k, e) in crowd), t.max_edits)) for k, t in enumerate(terms)]
+        if fewer == terms:
+            break
+        terms = fewer
+    model.terms, model.ordinary = terms, ordinary
 
     def described(batches):
         reader = TextReader(terms, ordinary)

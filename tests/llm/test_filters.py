@@ -100,3 +100,42 @@ def test_odd_rows(spark, module, column):
 def test_pooled_levels_never_fall():
     levels = quality._isotonic(np.array([0.0, 3, 1, 4, 2]), np.array([2.0, 4, 4, 4, 4]))
     assert list(levels) == [0, 0.5, 0.5, 0.75, 0.75]
+
+
+def test_misspelled_stems_equal_edit_distance():
+    terms = [Term("achlich", True, 1), Term("bomenteca", True, 2), Term("trash", max_edits=1)]
+    automaton = LexiconAutomaton(terms)
+    rnd = random.Random(4)
+    for _ in range(3000):
+        w = list(rnd.choice(("achlichkeit", "bomentecado", "trash", "bomenteca")))
+        for _ in range(rnd.randint(0, 3)):
+            at = rnd.randrange(len(w) + 1)
+            w[at : at + rnd.randint(0, 1)] = rnd.choice(["", "a", "s", "z", "é"])
+        word = "".join(w)
+        least = [min(distance(word[:n], t.text) for n in range(0 if t.stem else len(word), len(word) + 1)) for t in terms]
+        close = [d for d, t in zip(least, terms, strict=True) if d <= t.max_edits]
+        got = automaton.match(word)
+        assert (got is None) == (not close) and (not close or got[1] == min(close)), word
+
+
+def labelled(spark, toxic, harmless):
+    rows = [(4 * k + 1, t, int(k < len(toxic))) for k, t in enumerate([*toxic, *harmless])]
+    rows = [(i, t, y) for i, t, y in rows if not held_out(i)]
+    return spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+
+
+def test_learned_terms_meet_misspellings(spark):
+    rnd = random.Random(8)
+    filler = [f"{a}{b}{c}" for a in ("ka", "lo", "mi", "nu") for b in ("ver", "tan", "sil") for c in ("do", "ra", "pex")]
+
+    def text(*more):
+        return " ".join(rnd.sample([*rnd.choices(filler, k=60), *more], 60 + len(more)))
+
+    endings = ("an", "ett", "ilo", "omm", "urr", "ysk", "arp", "epp")
+    toxic = [text("grabbelz" + e, "wretchedly") for e in endings * 25]
+    # A tenth of the harmless documents hold one and the same neighbour of a term.
+    harmless = [text("wretchetly") if k % 10 == 0 else text() for k in range(1500)]
+    model = toxicity.fit_toxicity(*labelled(spark, toxic, harmless))
+    match = model.reader().matches
+    assert any(t.stem and t.max_edits for t in model.terms)
+    assert match["grabbelzolf"] and match["grabelzolf"] and match["wretchadly"] and not match["wretchetly"]
