@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass, field, replace
 
@@ -41,9 +42,17 @@ REPORTING = frozenset(
 _WORD = re.compile(r"[^\W_]+(?:[@$0-9*!][^\W_]+)*")
 # Characters that are written for letters.
 _FOLD = str.maketrans("@$013457", "asoieast")
+_MARKS = "\"«»“”„"
+_MARK, _BLACK = re.compile(f"[{_MARKS}]"), re.compile(r"\S")
 _OPEN, _CLOSE = "\"«“„", "\"»”“"
 
 
+def _last(places: list[int], before: int) -> int:
+    """The last of the sorted places before one, or -1."""
+    at = bisect_left(places, before)
+    return places[at - 1] if at else -1
+
+
 def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
@@ -128,16 +137,21 @@ class TextReader:
         """Which matches stand inside quotation marks of their line, or close after a reporting word with a mark near."""
         spans = [m.span() for m in _WORD.finditer(text.lower())]
         lowered = text if len(text.lower()) == len(text) else text.lower()
-        out = []
+        out, line_end, marks = [], -1, {}
         for k in at:
             start, end = spans[k]
-            before = lowered[max(lowered.rfind("\n", 0, start), start - 400) + 1 : start]
-            line_end = lowered.find("\n", end)
-            after = lowered[end : min(line_end if line_end >= 0 else len(lowered), end + 400)]
-            straight = before.count('"') % 2 == 1 and '"' in after
-            curved = any(before.rfind(o) > before.rfind(c) and c in after for o, c in (("«", "»"), ("“", "”"), ("„", "“")))
-            reported = any(w in REPORTING for w in words[max(0, k - 3) : k]) and before[-2:].strip()[-1:] in _OPEN + "':‘"
-            out.append(straight or curved or (reported and bool(before.strip())))
+            if start > line_end:
+                # The marks of a line are looked up once, from its beginning to its end.
+                line_start, line_end = lowered.rfind("\n", 0, start) + 1, lowered.find("\n", end)
+                line_end = line_end if line_end >= 0 else len(lowered)
+                marks = {m: [] for m in _MARKS}
+                for found in _MARK.finditer(lowered, line_start, line_end):
+                    marks[found[0]].append(found.start())
+            straight = bisect_left(marks['"'], start) % 2 == 1 and marks['"'][-1] >= end
+            curved = any(_last(marks[o], start) > _last(marks[c], start) and marks[c] and marks[c][-1] >= end for o, c in (("«", "»"), ("“", "”"), ("„", "“")))
+            before = lowered[max(line_start, start - 2) : start]
+            reported = any(w in REPORTING for w in words[max(0, k - 3) : k]) and before.strip()[-1:] in _OPEN + "':‘"
+            out.append(straight or curved or (reported and (bool(before.strip()) or bool(_BLACK.search(lowered, line_start, start)))))
         return np.array(out, dtype=bool)
 
 

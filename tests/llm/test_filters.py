@@ -139,3 +139,12 @@ def test_learned_terms_meet_misspellings(spark):
     match = model.reader().matches
     assert any(t.stem and t.max_edits for t in model.terms)
     assert match["grabbelzolf"] and match["grabelzolf"] and match["wretchadly"] and not match["wretchetly"]
+
+
+def test_quotes_in_long_lines():
+    reader = toxicity.TextReader([Term("idiot", max_edits=1)], frozenset())
+    far = "thing " * 200
+    cases = {f'"{far}idiot {far}"': 1.0, f'"{far}" idiot {far}"': 0.0, f"«{far}idiot {far}»": 1.0, f"„{far}“ idiot": 0.0, f"„{far}idiot {far}“": 1.0}
+    cases |= {f'"{far}\nidiot {far}"': 0.0, f'"{far}idiot {far}\n"': 0.0, f'"{far}idiot" {far} idiot': 0.5}
+    for text, share in cases.items():
+        assert reader.features(text)[4] == share, text[:20]
