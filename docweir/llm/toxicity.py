@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -19,11 +20,15 @@ from docweir.storage import materialize
 
 #: Labelled documents that the lexicon and the weights are learned from, at most about.
 SAMPLE_BOUND = 16_000
-#: Terms that the lexicon may hold, the most telling first; candidates that are counted for it.
+#: Terms that the lexicon may hold, the most telling first; near words that are known as ordinary.
 LEXICON_BOUND, CANDIDATE_BOUND = 1_000, 50_000
+#: Candidates for the lexicon: a guard of memory, far above the 68,178 of a full sample of `check_l`.
+COUNTED_BOUND = 1_000_000
 THRESHOLD = 0.3
-#: Toxic documents that must hold a term: so many, and such a share of them.
-MIN_POSITIVE, MIN_SHARE = 5, 0.01
+#: Toxic documents that must hold a term, whatever the size of the sample.
+MIN_POSITIVE = 5
+#: The part of the terms that may pass for telling by chance (false discovery rate after Benjamini and Hochberg).
+MAX_FALSE = 0.05
 #: How much likelier a term must be in toxic documents (log of the ratio).
 MIN_LOG_RATIO = 3.2
 #: Share of harmless documents that may hold unknown words within some edits of a term; a term that has more such neighbours is not met with so many edits.
@@ -187,14 +192,27 @@ def _edits(term: str) -> int:
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
+def _by_chance(n_with: int, n_without: int, share: float) -> float:
+    """The chance that of all documents with a term so many or more are toxic, if each is with the same ``share``."""
+    n, log = n_with + n_without, math.lgamma
+    terms = (
+        log(n + 1) - log(k + 1) - log(n - k + 1) + k * math.log(share) + (n - k) * math.log1p(-share) for k in range(n_with, n + 1)
+    )
+    return min(1.0, sum(map(math.exp, terms)))
+
+
 def _lexicon(positive: dict, negative: dict, n_positive: int, n_negative: int) -> list[Term]:
-    """Terms that tell toxic documents; a stem only where it gathers clearly more of them than any word under it."""
+    """Terms that tell toxic documents, as far as chance is no likely cause; a stem only where it gathers clearly more of them than any word under it."""
 
     def ratio(key) -> float:
         return np.log((positive[key] + 0.5) / (n_positive + 1)) - np.log((negative.get(key, 0) + 0.5) / (n_negative + 1))
 
-    least = max(MIN_POSITIVE, MIN_SHARE * n_positive)
-    telling = {k for k in positive if positive[k] >= least and ratio(k) >= MIN_LOG_RATIO}
+    share, n_candidates = n_positive / (n_positive + n_negative), sum(n >= MIN_POSITIVE for n in positive.values())
+    chances = sorted(
+        (_by_chance(n, negative.get(k, 0), share), k) for k, n in positive.items() if n >= MIN_POSITIVE and ratio(k) >= MIN_LOG_RATIO
+    )
+    n_telling = max((i for i, (p, _) in enumerate(chances, 1) if p <= MAX_FALSE * i / n_candidates), default=0)
+    telling = {k for _, k in chances[:n_telling]}
     best_word: Counter = Counter()
     for (text, stem), n in positive.items():
         if not stem:
@@ -232,8 +250,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = SAMPLE_BOUND) -> ToxicityModel:
     """Learn lexicon and weights from at most about ``bound`` labelled documents that are not held out.
 
-    Candidates are counted over partitions; at most ``CANDIDATE_BOUND`` of them, and one
-    row of six features for each sampled document, reach the driver. With no labelled
+    Candidates are counted over partitions; those that several toxic documents hold, and
+    one row of six features for each sampled document, reach the driver. With no labelled
     rows, or labels of one kind only, every text scores the share of label 1 (0.5 if none).
     """
     train = materialize(training_documents(docs, labels, label, bound), "toxicity-train")
@@ -241,8 +259,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound
     n_positive, n_negative = sizes.get(1, 0), sizes.get(0, 0)
     if not n_positive or not n_negative:
         return ToxicityModel(prior=float(n_positive > 0) if sizes else 0.5)
-    frequent = _count_terms(train.where("y = 1")).where(F.col("n") >= max(2, MIN_SHARE * n_positive / 2))
-    positive = {(r.term, r.stem): r.n for r in frequent.orderBy(F.desc("n"), "term", "stem").limit(CANDIDATE_BOUND).collect()}
+    frequent = _count_terms(train.where("y = 1")).where(F.col("n") >= MIN_POSITIVE - 1)
+    positive = {(r.term, r.stem): r.n for r in frequent.orderBy(F.desc("n"), "term", "stem").limit(COUNTED_BOUND).collect()}
     negative = {(r.term, r.stem): r.n for r in _count_terms(train.where("y = 0"), frozenset(positive)).collect()}
     model = ToxicityModel(_lexicon(positive, negative, n_positive, n_negative), prior=n_positive / (n_positive + n_negative))
 

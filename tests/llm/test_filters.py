@@ -148,3 +148,12 @@ def test_quotes_in_long_lines():
     cases |= {f'"{far}\nidiot {far}"': 0.0, f'"{far}idiot {far}\n"': 0.0, f'"{far}idiot" {far} idiot': 0.5}
     for text, share in cases.items():
         assert reader.features(text)[4] == share, text[:20]
+
+
+def test_rare_terms_enter_the_lexicon():
+    # 12 of 2,000 toxic documents hold a term, and none of 14,000 others.
+    positive = {(f"common{k}", False): 30 for k in range(5_000)} | {("rareslur", False): 12}
+    terms = toxicity._lexicon(positive, {k: 210 for k in positive if k != ("rareslur", False)}, 2_000, 14_000)
+    assert [t.text for t in terms] == ["rareslur"]
+    assert toxicity._lexicon({("rareslur", False): 12}, {("rareslur", False): 60}, 2_000, 14_000) == []
+    assert toxicity._by_chance(3, 1, 0.25) == pytest.approx(4 * 0.25**3 * 0.75 + 0.25**4)
