@@ -10,12 +10,12 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from docweir.config import EMBEDDING_MODEL, embedding_token, model_settings
-from docweir.operators.chunking import chunk_segments
-from docweir.operators.manifests import build_artifact_manifest, chunk_digests, import_artifact_manifest, repro_manifest, repro_rollup, same_manifest
+from docweir.operators.manifests import build_artifact_manifest, import_artifact_manifest, same_manifest
+from docweir.operators.ontology import load_ontology
 from docweir.plans.ingest import run_ingest
-from docweir.sources.files import list_input_files, read_listed_files
-from docweir.sources.parsers import CHAINS, parsed_segments
-from docweir.sources.providers import GazetteerExtractor, HashingEmbedder, HttpEmbedder, HttpExtractor
+from docweir.plans.repro import repro_run
+from docweir.sources.parsers import CHAINS
+from docweir.sources.providers import Extractor, GazetteerExtractor, HashingEmbedder, HttpEmbedder, HttpExtractor
 
 
 def _session() -> SparkSession:
@@ -26,6 +26,11 @@ def _pairs(values: list[str]) -> dict[str, str]:
     return dict(v.split("=", 1) for v in values)
 
 
+def _extractor(offline: bool, gazetteer: str) -> Extractor:
+    names = json.loads(Path(gazetteer).read_text(encoding="utf-8")) if gazetteer else {}
+    return GazetteerExtractor(names) if offline else HttpExtractor(model_settings())
+
+
 def public_ingest(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="public-ingest", description="Files to chunks, vectors and graph tables")
     p.add_argument("--input-dir", required=True)
@@ -35,11 +40,10 @@ def public_ingest(argv: list[str] | None = None) -> int:
     p.add_argument("--offline", action="store_true", help="stand-ins instead of models")
     p.add_argument("--gazetteer", default="", help="JSON object of names and their types, for --offline")
     args = p.parse_args(argv)
-    names = json.loads(Path(args.gazetteer).read_text(encoding="utf-8")) if args.gazetteer else {}
     result = run_ingest(
         _session(),
         args.input_dir,
-        extractor=GazetteerExtractor(names) if args.offline else HttpExtractor(model_settings()),
+        extractor=_extractor(args.offline, args.gazetteer),
         embedder=HashingEmbedder() if args.offline else HttpEmbedder(embedding_token()),
         parser=args.parser,
         ontology_path=args.ontology,
@@ -83,17 +87,23 @@ def repro_check(argv: list[str] | None = None) -> int:
     p.add_argument("--out", default="output/repro/manifest.json")
     p.add_argument("--compare-manifest", default="")
     p.add_argument("--parser", choices=sorted(CHAINS), default="auto")
+    p.add_argument("--include-extractor", action="store_true", help="let a model read each chunk and cover what it finds")
+    p.add_argument("--ontology", default="domain_ontology.json")
+    p.add_argument("--offline", action="store_true", help="a stand-in instead of a model")
+    p.add_argument("--gazetteer", default="", help="JSON object of names and their types, for --offline")
     args = p.parse_args(argv)
-    chunks = chunk_segments(parsed_segments(read_listed_files(_session(), args.input_dir), args.parser))
-    manifest = repro_manifest(repro_rollup(chunk_digests(chunks)), args.input_dir, len(list_input_files(args.input_dir)))
-    text = json.dumps(manifest, ensure_ascii=False, indent=2)
-    Path(args.out).parent.mkdir(parents=True, exist_ok=True)
-    Path(args.out).write_text(text, encoding="utf-8")
-    print(text)
-    if args.compare_manifest and not same_manifest(manifest, args.compare_manifest):
-        print("[FAIL] the manifests differ")
-        return 3
-    return 0
+    # Only a run that asks a model needs its settings.
+    extractor = _extractor(args.offline, args.gazetteer) if args.include_extractor else None
+    manifest = repro_run(_session(), args.input_dir, args.parser, extractor, load_ontology(args.ontology))
+    written = json.dumps(manifest, ensure_ascii=False, indent=2)
+    out = Path(args.out)
+    out.parent.mkdir(parents=True, exist_ok=True)
+    out.write_text(written, encoding="utf-8")
+    print(written)
+    agrees = not args.compare_manifest or same_manifest(manifest, args.compare_manifest)
+    if not agrees:
+        print(f"[FAIL] {args.input_dir} doesn't give what {args.compare_manifest} states", file=sys.stderr)
+    return 0 if agrees else 3
 
 
 COMMANDS = {"public-ingest": public_ingest, "artifact-export": artifact_export, "artifact-import": artifact_import, "repro-check": repro_check}

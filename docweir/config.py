@@ -10,11 +10,36 @@ from pathlib import Path
 
 # The settings that exist, the beginnings of names that are taken for settings, and the defaults.
 KNOWN_KEYS = frozenset(
-    "LLM_BACKEND OPENAI_COMPAT_BASE_URL OPENAI_COMPAT_API_KEY OPENAI_COMPAT_MODEL JUDGE_RUNTIME RAGAS_BASE_URL RAGAS_API_KEY HF_TOKEN".split()
+    {
+        "LLM_BACKEND",
+        "OPENAI_COMPAT_BASE_URL",
+        "OPENAI_COMPAT_API_KEY",
+        "OPENAI_COMPAT_MODEL",
+        "JUDGE_RUNTIME",
+        "RAGAS_BASE_URL",
+        "RAGAS_API_KEY",
+        "HF_TOKEN",
+    }
 )
-PREFIXES = tuple(
-    "LLM_ OPENAI_ RAGAS_ JUDGE_ HF_ HUGGING_ EXTRACTOR_ EMBED_ LLMLITE_ QDRANT_ FALKORDB_ PRIVATE_ RETRIEVAL_ SOVEREIGNTY_ "
-    "UNSTRUCTURED_ CHUNK_ DOCLING_ SENSOR_".split()
+PREFIXES = (
+    "LLM_",
+    "OPENAI_",
+    "RAGAS_",
+    "JUDGE_",
+    "HF_",
+    "HUGGING_",
+    "EXTRACTOR_",
+    "EMBED_",
+    "LLMLITE_",
+    "QDRANT_",
+    "FALKORDB_",
+    "PRIVATE_",
+    "RETRIEVAL_",
+    "SOVEREIGNTY_",
+    "UNSTRUCTURED_",
+    "CHUNK_",
+    "DOCLING_",
+    "SENSOR_",
 )
 DEFAULT_MODEL = "openai/gpt-oss-120b"
 FALLBACK_MODELS = ("Qwen/Qwen2.5-32B-Instruct", "Qwen/Qwen2.5-14B-Instruct", "Qwen/Qwen2.5-7B-Instruct", "meta-llama/Llama-3.1-8B-Instruct")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: White space as Unicode and the four ASCII separators define it.
+#: White space: the code points that Unicode calls so, and the four ASCII separators.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+#: The same as a class of a regular expression.
 SPACE = r"(?U)[\s\x1c-\x1f]"
 #: ASCII word characters and Hangul syllables.
 TOKEN = "[A-Za-z0-9_가-힣]+"
@@ -21,7 +23,7 @@ def text_or_empty(value: Column) -> Column:
 
 def strip(value: Column) -> Column:
     """Without Unicode white space at either end; null stays null."""
-    return F.regexp_replace(value, rf"\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(value, F.lit(SPACES))
 
 
 def blank_to_null(value: Column) -> Column:
@@ -52,8 +54,7 @@ def squeezed_id(value: Column) -> Column:
 
 def extracted_id(value: Column) -> Column:
     """An identifier from a model's reply: empty unless it has 3 to 120 characters."""
-    squeezed = squeezed_id(value)
-    return F.when(F.char_length(squeezed).between(MIN_ID_LENGTH, MAX_ID_LENGTH), squeezed).otherwise("")
+    return F.regexp_extract(squeezed_id(value), f"^.{{{MIN_ID_LENGTH},{MAX_ID_LENGTH}}}$", 0)
 
 
 def graph_id(value: Column) -> Column:
@@ -80,7 +81,7 @@ def extracted_confidence(value: Column) -> Column:
 def graph_confidence(value: Column) -> Column:
     """A confidence in the graph, with four decimals: missing or zero is one half."""
     filled = F.coalesce(F.nullif(value, F.lit(0.0)), F.lit(0.5))
-    return F.regexp_replace(F.format_number(clamped(filled), 4), ",", "").cast("double")
+    return F.format_number(clamped(filled), 4).cast("double")
 
 
 def file_name(path: Column) -> Column:
@@ -95,8 +96,3 @@ def file_stem(path: Column) -> Column:
 def base64_line(content: Column) -> Column:
     """Base64 without line breaks."""
     return F.translate(F.base64(content), "\r\n", "")
-
-
-def graph_literal(value: Column) -> Column:
-    """A string for a graph query in single quotes: backslashes and quotes escaped."""
-    return F.replace(F.replace(text_or_empty(value), F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'"))

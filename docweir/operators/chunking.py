@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docweir.functions.text import base64_line, blank_to_null, file_name, file_stem, strip, text_or_empty, words
+from docweir.functions.text import blank_to_null, file_name, file_stem, strip, text_or_empty, words
 
 CHUNK_TOKENS, CHUNK_OVERLAP = 1200, 100
 #: Words in an element's category or class that tell its modality, in order of precedence.
@@ -23,11 +23,6 @@ def modality(category: Column, known: dict[str, list[str]] = CATEGORY_WORDS) ->
     return found
 
 
-def image_base64(as_text: Column, as_bytes: Column) -> Column:
-    """The stripped text form, else the bytes in base64."""
-    return F.coalesce(blank_to_null(as_text), base64_line(as_bytes))
-
-
 def segment_text(text: Column, kind: Column, table_html: Column, latex: Column) -> Column:
     """Stripped text; an empty table is its HTML and an empty formula its LaTeX; null if nothing is there."""
     instead = F.when(kind == "table", blank_to_null(table_html)).when(kind == "formula", blank_to_null(latex))
@@ -52,20 +47,22 @@ def chunk_segments(segments: DataFrame, size: int = CHUNK_TOKENS, overlap: int =
 
     Text is cut into windows of ``size`` tokens that overlap; other modalities give one
     chunk. Chunks of a file are numbered through all its segments. Adds chunk_id,
-    chunk_index and the file's name and stem. Only counts are shuffled for the numbering:
-    a file's segments before each one, never their texts.
+    chunk_index and the file's name and stem. The numbering deals (path, seg_ord, count)
+    by path, never texts, and its result is joined back by path and position, so that a
+    file with very many segments doesn't gather their texts in one task. Segments are read
+    twice for it, so they should be a written table. ``seg_ord`` tells a file's segments
+    apart.
     """
     step = max(1, size - min(overlap, max(0, size - 1)))
-    stripped = strip(text_or_empty(F.col("text")))
-    kept = segments.withColumn("text", stripped).where("text != ''")
-    counted = kept.withColumn("_words", F.when(~F.col("modality").isin(*WHOLE), words(F.col("text")))).withColumn(
-        "_k", F.coalesce(window_count(F.size("_words"), size, overlap), F.lit(1))
-    )
+    kept = segments.withColumn("text", strip(text_or_empty(F.col("text")))).where("text != ''")
+    split = F.when(~F.col("modality").isin(*WHOLE), words(F.col("text")))
+    n_chunks = F.coalesce(window_count(F.size(split), size, overlap), F.lit(1))
     before = Window.partitionBy("path").orderBy("seg_ord").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = counted.withColumn("_seed", F.coalesce(F.sum("_k").over(before), F.lit(0)))
+    starts = kept.select("path", "seg_ord", n_chunks.alias("_k")).withColumn("_seed", F.coalesce(F.sum("_k").over(before), F.lit(0)))
     part = F.slice("_words", F.col("_i") * step + 1, size)
     return (
-        numbered.where("_k > 0")
+        kept.join(starts, ["path", "seg_ord"])
+        .withColumn("_words", split)
         .withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
         .withColumn("text", F.coalesce(F.array_join(part, " "), F.col("text")))
         .withColumn("chunk_index", (F.col("_seed") + F.col("_i")).cast("int"))

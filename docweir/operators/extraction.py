@@ -154,24 +154,19 @@ def valid_relations(raw: DataFrame, ontology: Ontology) -> DataFrame:
 def typed_relations(relations: DataFrame, entities: DataFrame) -> DataFrame:
     """Relations with type and text of their endpoints, where the same chunk has an entity of that identifier.
 
-    Of a chunk's entities with one identifier the last counts. Entities are reduced to one
-    row per (chunk, identifier) first, so the two left joins add no rows.
+    Identifiers are as ``valid_entities`` and ``valid_relations`` give them. Of a chunk's
+    entities with one identifier the last counts. Entities are reduced to one row per
+    (chunk, identifier) first, so the two left joins add no rows, and both joins read the
+    one exchange of that reduction.
     """
     known = (
         entities.where("canonical_id IS NOT NULL")
-        .groupBy("chunk_id", F.lower(strip(F.col("canonical_id"))).alias("_id"))
-        .agg(F.max_by(F.struct("type", "text"), F.struct("ord", "type", "text")).alias("_e"))
+        .groupBy("chunk_id", "canonical_id")
+        .agg(F.max(F.struct("ord", "type", "text")).alias("_e"))
+        .select(F.col("chunk_id").alias("_chunk"), F.col("canonical_id").alias("_key"), F.nullif(F.col("_e.type"), F.lit("")).alias("_type"), F.nullif(F.col("_e.text"), F.lit("")).alias("_text"))
     )
     out = relations
     for end in ("source", "target"):
-        side = known.select(
-            F.col("chunk_id").alias("_chunk"),
-            F.col("_id").alias("_key"),
-            F.nullif(F.col("_e.type"), F.lit("")).alias(f"{end}_type"),
-            F.nullif(F.col("_e.text"), F.lit("")).alias(f"{end}_text"),
-        )
-        matches = (F.col("chunk_id") == F.col("_chunk")) & (F.lower(strip(F.col(end))) == F.col("_key"))
-        out = out.join(side, matches, "left").drop("_chunk", "_key")
+        same = (F.col("chunk_id") == F.col("_chunk")) & (F.col(end) == F.col("_key"))
+        out = out.join(known, same, "left").withColumnsRenamed({"_type": f"{end}_type", "_text": f"{end}_text"}).drop("_chunk", "_key")
     return out
-
-

@@ -59,37 +59,31 @@ def document_nodes(chunks: DataFrame, scope: Scope) -> DataFrame:
 def has_chunk_edges(chunks: DataFrame, g_chunk: DataFrame, scope: Scope) -> DataFrame:
     """g_has_chunk: from documents to those of their chunks that the graph has."""
     rows = chunks.where(text_or_empty(F.col("source_doc")) != "").select(F.col("source_doc").alias("doc_id"), "chunk_id", "seq")
-    found = rows.withColumns(scope.columns()).join(_present(g_chunk), _same_chunk(), "left_semi")
+    found = rows.join(_present(g_chunk, scope), "chunk_id", "left_semi").withColumns(scope.columns())
     return last_wins(found, ["doc_id", "chunk_id", *SCOPE], ["seq"])
 
 
-def _present(g_chunk: DataFrame) -> DataFrame:
-    return g_chunk.select(*[F.col(c).alias(f"_{c}") for c in ("chunk_id", *SCOPE)])
-
-
-def _same_chunk() -> Column:
-    same = F.col("chunk_id") == F.col("_chunk_id")
+def _present(g_chunk: DataFrame, scope: Scope) -> DataFrame:
+    """The identifiers of the chunks that the graph has in a scope."""
+    own = scope.columns()
+    same = F.lit(True)
     for c in SCOPE:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return same
+        same = same & F.col(c).eqNullSafe(own[c])
+    return g_chunk.where(same).select("chunk_id")
 
 
 def _entity_rows(entities: DataFrame, scope: Scope, ontology: Ontology) -> DataFrame:
-    """(keys, name, type, confidence, optional attributes, chunk_id, seq, phase, ord) of entities with an identifier."""
+    """(keys, name, confidence, optional attributes that are given, chunk_id, seq, phase, ord) of entities with an identifier."""
     given = F.coalesce(F.nullif(F.col("canonical_id"), F.lit("")), F.col("text"))
     label = entity_label(F.coalesce(F.nullif(F.col("type"), F.lit("")), F.lit(FALLBACK_LABEL)), ontology)
-    missing = {c: F.lit(None).cast("string") for c in OPTIONAL if c not in entities.columns}
-    for name, source in (("aliases_json", "aliases"), ("symptom_keywords_json", "symptom_keywords")):
-        if source in entities.columns:
-            missing[name] = json_list(F.col(source))
-    identified = entities.withColumns(missing | {"_id": graph_id(given), "label": label}).where("_id != ''")
+    listed = {n: json_list(F.col(c)) for n, c in (("aliases_json", "aliases"), ("symptom_keywords_json", "symptom_keywords")) if c in entities.columns}
+    identified = entities.withColumns(listed | {"_id": graph_id(given), "label": label}).where("_id != ''")
     return identified.select(
         "label",
         F.col("_id").alias("canonical_id"),
         F.coalesce(F.nullif(F.col("text"), F.lit("")), F.col("_id")).alias("name"),
-        F.col("label").alias("type"),
         graph_confidence(F.col("confidence")).alias("confidence"),
-        *OPTIONAL,
+        *[c for c in OPTIONAL if c in identified.columns],
         "chunk_id",
         "seq",
         F.lit(0).alias("phase"),
@@ -128,39 +122,39 @@ def entity_nodes(entities: DataFrame, relations: DataFrame, scope: Scope, ontolo
     (``phase``), then item (``ord``). An endpoint sets type, and name if it has a text;
     all else of an entity stays as it was.
     """
-    full = _entity_rows(entities, scope, ontology).drop("chunk_id")
+    full = _entity_rows(entities, scope, ontology).drop("chunk_id", "created_at")
+    full = full.withColumn("ord", F.col("ord") * 2).withColumn("_made", F.lit(True))
     ends = _relation_rows(relations, scope, ontology)
-    stubs = None
-    for step, (label, key, name) in enumerate((("src_label", "src", "source_text"), ("tgt_label", "tgt", "target_text"))):
-        one = ends.select(
-            F.col(label).alias("label"),
-            F.col(key).alias("canonical_id"),
-            F.col(name).alias("name"),
-            F.col(label).alias("type"),
-            *SCOPE,
-            "seq",
-            "phase",
-            (F.col("ord") * 2 + step).alias("ord"),
-        )
-        stubs = one if stubs is None else stubs.union(one)
-    rows = full.withColumn("ord", F.col("ord") * 2).unionByName(stubs, allowMissingColumns=True)
-    sticky = ["name", "confidence", "created_at", *OPTIONAL]
-    return last_wins(rows, ["label", "canonical_id", *SCOPE], ["seq", "phase", "ord"], keep=["type"], sticky=sticky).drop("seq", "phase", "ord")
+    two = F.array(
+        *[
+            F.struct(F.col(label).alias("label"), F.col(key).alias("canonical_id"), F.col(name).alias("name"), (F.col("ord") * 2 + step).alias("ord"))
+            for step, (label, key, name) in enumerate((("src_label", "src", "source_text"), ("tgt_label", "tgt", "target_text")))
+        ]
+    )
+    stubs = ends.select(*SCOPE, "seq", "phase", F.inline(two))
+    rows = full.unionByName(stubs, allowMissingColumns=True)
+    given = [c for c in OPTIONAL if c in full.columns]
+    nodes = last_wins(rows, ["label", "canonical_id", *SCOPE], ["seq", "phase", "ord"], keep=[], sticky=["name", "confidence", "_made", *given])
+    # An endpoint that no entity names has no creation time; the type is the label, as every row has it.
+    made = F.when(F.col("_made"), scope.columns()["created_at"])
+    absent = {c: F.lit(None).cast("string") for c in OPTIONAL if c not in given}
+    return nodes.withColumns({"type": F.col("label"), "created_at": made} | absent).drop("seq", "phase", "ord", "_made")
 
 
 def mention_edges(entities: DataFrame, g_chunk: DataFrame, scope: Scope, ontology: Ontology) -> DataFrame:
     """g_mentions: from chunks that the graph has to the entities found in them."""
     rows = _entity_rows(entities, scope, ontology).where(text_or_empty(F.col("chunk_id")) != "")
-    found = rows.join(_present(g_chunk), _same_chunk(), "left_semi").withColumn("evidence", F.lit("entity_extraction"))
-    keys = ["chunk_id", "label", "canonical_id", *SCOPE]
-    return last_wins(found, keys, ["seq", "ord"], keep=["confidence", "evidence", "created_at"]).drop("seq", "ord")
+    found = rows.join(_present(g_chunk, scope), "chunk_id", "left_semi")
+    edges = last_wins(found, ["chunk_id", "label", "canonical_id", *SCOPE], ["seq", "ord"], keep=["confidence"]).drop("seq", "ord")
+    return edges.withColumns({"evidence": F.lit("entity_extraction"), "created_at": scope.columns()["created_at"]})
 
 
 def relation_edges(relations: DataFrame, scope: Scope, ontology: Ontology) -> DataFrame:
     """g_relation: typed edges between entities."""
     keys = ["src_label", "src", "rel_type", "tgt_label", "tgt", *SCOPE]
     rows = _relation_rows(relations, scope, ontology)
-    return last_wins(rows, keys, ["seq", "ord"], keep=["confidence", "evidence", "created_at"]).drop("seq", "ord")
+    edges = last_wins(rows, keys, ["seq", "ord"], keep=["confidence", "evidence"]).drop("seq", "ord")
+    return edges.withColumn("created_at", scope.columns()["created_at"])
 
 
 def run_totals(chunks: DataFrame, entities: DataFrame, relations: DataFrame) -> DataFrame:

@@ -171,8 +171,11 @@ def _digest(rows):
     return rows.assign(_digest=[text_sha256(stable_json(plain(r))) for r in records])["_digest"]
 
 
-def chunk_digests(chunks: DataFrame, entities: DataFrame | None = None, relations: DataFrame | None = None) -> DataFrame:
-    """Chunks with ``digest``, over id, text, metadata and what was extracted from them (nothing, by default)."""
+def chunk_digests(chunks: DataFrame, entities: DataFrame | None = None, relations: DataFrame | None = None, key: str = "chunk_id") -> DataFrame:
+    """Chunks with ``digest``, over id, text, metadata and what was extracted from them (nothing, by default).
+
+    ``key`` names the column of the chunks that the chunk_id of entities and relations means.
+    """
     entity = "array<struct<text:string,type:string,canonical_id:string,confidence:double>>"
     relation = "array<struct<source:string,target:string,type:string,confidence:double,evidence:string>>"
     out = chunks
@@ -182,7 +185,7 @@ def chunk_digests(chunks: DataFrame, entities: DataFrame | None = None, relation
             continue
         fields = [f.split(":")[0] for f in kind[len("array<struct<") : -2].split(",")]
         listed = df.groupBy("chunk_id").agg(F.array_sort(F.collect_list(F.struct("ord", F.struct(*fields).alias("_i")))).alias("_l"))
-        out = out.join(listed.select("chunk_id", F.col("_l._i").alias(name)), "chunk_id", "left")
+        out = out.join(listed.select(F.col("chunk_id").alias("_of"), F.col("_l._i").alias(name)), F.col(key) == F.col("_of"), "left").drop("_of")
         out = out.withColumn(name, F.coalesce(name, F.from_json(F.lit("[]"), kind)))
     whole = F.struct(
         "chunk_id",

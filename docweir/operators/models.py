@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweir.functions.text import text_or_empty
+from docweir.functions.text import strip, text_or_empty
 from docweir.operators.chunking import image_basis
 from docweir.operators.extraction import prompt
 from docweir.operators.ontology import Ontology
@@ -53,7 +53,7 @@ def dense_vectors(chunks: DataFrame, embedder: Embedder, cache: DataFrame | None
 
 def model_replies(chunks: DataFrame, extractor: Extractor, ontology: Ontology, require_success: bool = False) -> DataFrame:
     """(chunk_id, reply, model, error) of chunks with a text that is not blank, written once."""
-    asked = chunks.withColumn("_prompt", prompt(chunks, ontology)).where(F.regexp_replace("text", r"(?U)[\s\x1c-\x1f]+", "") != "")
+    asked = chunks.withColumn("_prompt", prompt(chunks, ontology)).where(strip(F.col("text")) != "")
 
     def run(batches):
         for pdf in batches:

@@ -6,7 +6,7 @@ import json
 from dataclasses import dataclass, field
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweir.functions.text import strip, text_or_empty
@@ -17,8 +17,47 @@ DEFAULT_RELATIONS = ("AFFECTS", "CAUSES", "MENTIONS", "PART_OF", "REQUIRES", "SU
 DEFAULT_MODALITIES = ("text", "table", "image", "formula")
 FALLBACK_LABEL = "Condition"
 # Words that hint at relations.
-HINTS_KO = "원인 관계 연관 비교 왜 이유 어떻게 영향 방지 예방 발생 때문 결과 유발 억제 촉진 증가 감소 악화 개선".split()
-HINTS_EN = "why cause because relation compare versus affect prevent how increase decrease result trigger inhibit promote worsen improve".split()
+HINTS_KO = [
+    "원인",
+    "관계",
+    "연관",
+    "비교",
+    "왜",
+    "이유",
+    "어떻게",
+    "영향",
+    "방지",
+    "예방",
+    "발생",
+    "때문",
+    "결과",
+    "유발",
+    "억제",
+    "촉진",
+    "증가",
+    "감소",
+    "악화",
+    "개선",
+]
+HINTS_EN = [
+    "why",
+    "cause",
+    "because",
+    "relation",
+    "compare",
+    "versus",
+    "affect",
+    "prevent",
+    "how",
+    "increase",
+    "decrease",
+    "result",
+    "trigger",
+    "inhibit",
+    "promote",
+    "worsen",
+    "improve",
+]
 SCHEMA_VERSION = "ontology_v1"
 
 
@@ -79,6 +118,17 @@ def mined_keywords(texts: DataFrame, ko: list[str] = HINTS_KO, en: list[str] = H
     return texts.select(F.explode(found).alias("k")).groupBy("k.lang", "k.keyword").agg(F.count(F.lit(1)).alias("n"))
 
 
+def ranked_keywords(texts: DataFrame, seq: str, ko: list[str] = HINTS_KO, en: list[str] = HINTS_EN) -> DataFrame:
+    """(lang, keyword, n, rank): by number, then by first occurrence in the order of ``seq``. Only distinct keywords are ranked."""
+    first = None
+    for lang, found in (("ko", substring_keywords(F.col("text"), ko)), ("en", whole_keywords(F.col("text"), en))):
+        one = texts.select(F.lit(lang).alias("lang"), F.col(seq).alias("_seq"), F.posexplode(found).alias("_at", "keyword"))
+        first = one if first is None else first.union(one)
+    counted = first.groupBy("lang", "keyword").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_seq", "_at")).alias("_first"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "_first"))
+    return counted.select("lang", "keyword", "n", rank.alias("rank"))
+
+
 def observed_types(entities: DataFrame, relations: DataFrame) -> DataFrame:
     """(kind, name): distinct stripped entity types and upper-case relation types that are not empty."""
     labels = entities.select(F.lit("entity").alias("kind"), strip(text_or_empty(F.col("type"))).alias("name"))

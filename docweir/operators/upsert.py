@@ -12,18 +12,15 @@ def last_wins(rows: DataFrame, keys: list[str], seq: list[str], keep: list[str]
     ``keep`` columns come from the last row. ``sticky`` columns come from the last row
     that has a value that is neither null nor empty, so that an empty value doesn't erase
     an earlier one. Rows with equal ``seq`` are ordered by their values, so that the result
-    is the same however the rows are dealt. Both are aggregates with partial sums, so a key
-    with very many rows is reduced before the shuffle.
+    is the same however the rows are dealt. Each is the greatest of one struct, which is
+    aggregated before the shuffle as well, so a key with very many rows moves once per task.
     """
-    keep = [c for c in rows.columns if c not in {*keys, *seq, *(sticky or [])}] if keep is None else keep
+    sticky = sticky or []
+    keep = [c for c in rows.columns if c not in {*keys, *seq, *sticky}] if keep is None else keep
     order = [F.col(c) for c in seq]
-    picked = [F.max_by(F.struct(*[F.col(c) for c in keep]), F.struct(*order, *[F.col(c) for c in keep])).alias("_last")] if keep else []
-    picked += [
-        F.max_by(F.col(c), F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) != "", F.struct(*order, F.col(c)))).alias(c)
-        for c in sticky or []
-    ]
-    out = rows.groupBy(*keys).agg(*picked, F.max(F.struct(*order)).alias("_seq"))
-    return out.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in keep], *(sticky or []), *[F.col(f"_seq.{c}").alias(c) for c in seq])
+    held = [F.max(F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) != "", F.struct(*order, F.col(c)))).alias(c) for c in sticky]
+    out = rows.groupBy(*keys).agg(F.max(F.struct(*order, *[F.col(c) for c in keep])).alias("_last"), *held)
+    return out.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in keep], *[F.col(f"{c}.{c}").alias(c) for c in sticky], *[F.col(f"_last.{c}").alias(c) for c in seq])
 
 
 def upsert(existing: DataFrame | None, incoming: DataFrame, keys: list[str], seq: list[str], sticky: list[str] | None = None) -> DataFrame:

@@ -9,15 +9,16 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docweir.config import EMBEDDING_DIM
 from docweir.operators import graph
 from docweir.operators.chunking import canonical_ids, chunk_segments, payload, payload_defaults
 from docweir.operators.extraction import exploded, parsed_replies, typed_relations, valid_entities, valid_relations
 from docweir.operators.models import dense_vectors, model_replies
 from docweir.operators.ontology import Ontology, build_ontology, load_ontology
 from docweir.operators.upsert import last_wins, upsert
-from docweir.operators.vectors import sparse_vectors
+from docweir.operators.vectors import ensure_collection, sparse_vectors
 from docweir.sources.files import EXTENSIONS, read_listed_files
-from docweir.sources.parsers import Parser, parsed_segments
+from docweir.sources.parsers import Parser, element_segments, parse_failures, parsed_elements
 from docweir.sources.providers import Embedder, Extractor
 from docweir.storage import materialize
 
@@ -42,6 +43,7 @@ class IngestResult:
     relations: DataFrame
     ontology: dict
     totals: dict[str, int]
+    failures: DataFrame
 
     def summary(self) -> str:
         t, o = self.totals, self.ontology
@@ -94,51 +96,64 @@ def run_ingest(
 ) -> IngestResult:
     """Ingest all input files of a folder and merge what they show into the vocabulary file.
 
-    Chunks and model replies are written once, since three branches read the former and
-    the latter cost requests. With ``output_dir`` the tables are upserted into it.
+    Parsed elements, chunks, replies, and what is found in those are written once, since
+    several tables read them and replies cost requests. Parsers that failed on a file are
+    in ``failures``. With ``output_dir`` the tables are upserted into it.
     """
     created_at = created_at or datetime.now(timezone.utc).isoformat()
     scope = scope or graph.Scope(created_at=created_at)
     ontology = load_ontology(ontology_path)
-    segments = parsed_segments(read_listed_files(spark, input_dir), parser)
-    chunks = sequenced(materialize(chunk_segments(segments), "chunks"))
+    elements = materialize(parsed_elements(read_listed_files(spark, input_dir), parser), "elements")
+    chunks = sequenced(materialize(chunk_segments(element_segments(elements)), "chunks"))
     # Chunks of files with one stem share ids; what is extracted from each counts, in order.
     numbered = chunks.withColumn("_key", F.concat_ws("|", "path", "chunk_index")).withColumn("_id", F.col("chunk_id"))
     replies = model_replies(numbered.withColumn("chunk_id", F.col("_key")), extractor, ontology)
     parsed = materialize(parsed_replies(replies), "extractions")
     places = numbered.select(F.col("_key").alias("chunk_id"), F.col("_id"), "seq")
-    found = valid_entities(exploded(parsed, "entities"), ontology).where("confidence IS NOT NULL")
+    found = materialize(valid_entities(exploded(parsed, "entities"), ontology).where("confidence IS NOT NULL"), "entities-by-key")
     typed = typed_relations(valid_relations(exploded(parsed, "relations"), ontology).where("confidence IS NOT NULL"), found)
-    entities = found.join(places, "chunk_id").withColumn("chunk_id", F.col("_id")).drop("_id")
-    relations = typed.join(places, "chunk_id").withColumn("chunk_id", F.col("_id")).drop("_id")
+    entities, relations = (
+        materialize(df.join(places, "chunk_id").withColumn("chunk_id", F.col("_id")).drop("_id"), name) for df, name in ((found, "entities"), (typed, "relations"))
+    )
     tables = graph_tables(chunks, entities, relations, ontology, scope)
     points = vector_points(chunks, embedder, created_at)
     merged = build_ontology(ontology_path, chunks, entities, relations)
-    result = IngestResult(chunks, points, tables, entities, relations, merged, graph.run_totals(chunks, entities, relations).first().asDict())
+    result = IngestResult(chunks, points, tables, entities, relations, merged, graph.run_totals(chunks, entities, relations).first().asDict(), parse_failures(elements))
     if output_dir:
         save(spark, result, output_dir)
     return result
 
 
+#: Buckets of a new table; an upsert rewrites those that its keys fall into. Large tables want more.
+N_BUCKETS = 16
+_BUCKET = "key_bucket_of_"
+
+
 def save(spark: SparkSession, result: IngestResult, output_dir: str) -> None:
-    """Upsert a run's tables into Parquet tables under a folder."""
+    """Upsert a run's tables into Parquet tables under a folder, and state the contract of the vectors beside them."""
+    dims = result.vector_points.select(F.max(F.size("dense_text"))).first()[0]
+    ensure_collection(spark, f"{output_dir}/vector_points.collection.json", dims or EMBEDDING_DIM)
     for name, df in {"vector_points": result.vector_points, **result.tables}.items():
         save_table(spark, df, f"{output_dir}/{name}", GRAPH_KEYS.get(name, ["chunk_id"]), graph.OPTIONAL if name == "g_entity" else None)
 
 
-def save_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str], sticky: list[str] | None = None) -> None:
-    """Replace a Parquet table by its upsert with ``incoming``; the new table is written beside it before the old one goes."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    target, fresh, old = hadoop(path), hadoop(f"{path}.new"), hadoop(f"{path}.old")
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(target) and fs.exists(old):
-        fs.rename(old, target)
-    existing = spark.read.parquet(path) if fs.exists(target) else None
-    stamped = incoming.withColumn("updated_at", F.current_timestamp())
-    merged = upsert(existing, stamped.withColumn("_seq_", F.lit(0)), keys, ["_seq_"], sticky)
-    merged.drop("_seq_").write.mode("overwrite").parquet(f"{path}.new")
-    fs.delete(old, True)
-    if existing is not None:
-        fs.rename(target, old)
-    fs.rename(fresh, target)
-    fs.delete(old, True)
+def save_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str], sticky: list[str] | None = None, buckets: int = N_BUCKETS) -> None:
+    """Upsert ``incoming`` into a Parquet table that is partitioned by a hash of the keys.
+
+    The partition column's name ends in the number of buckets, which a table keeps for
+    good. Only buckets that incoming keys fall into are read and replaced, each by a
+    finished copy, after all copies have been written; the others stay as they are. If a
+    run ends half-way, buckets are old or new, and the same upsert again completes it.
+    """
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    existing = spark.read.option("mergeSchema", True).parquet(path) if there else None
+    bucket = next(c for c in existing.columns if c.startswith(_BUCKET)) if there else f"{_BUCKET}{buckets}"
+    number = F.pmod(F.xxhash64(*keys), F.lit(int(bucket.removeprefix(_BUCKET)))).cast("int")
+    stamped = materialize(incoming.withColumns({"updated_at": F.current_timestamp(), bucket: number}), "upsert-incoming")
+    if there:
+        touched = [r[0] for r in stamped.select(bucket).distinct().collect()]
+        existing = existing.where(F.col(bucket).isin(touched)).withColumn("_seq_", F.lit(0))
+    merged = upsert(existing, stamped.withColumn("_seq_", F.lit(0)), [*keys, bucket], ["_seq_"], sticky).drop("_seq_")
+    done = materialize(merged, "upsert")
+    done.repartition(bucket).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(bucket).parquet(path)

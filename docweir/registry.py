@@ -13,6 +13,7 @@ from docweir.operators import extraction as X
 from docweir.operators.upsert import last_wins
 from docweir.plans import samples
 from docweir.plans.samples import table
+from docweir.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -145,17 +146,28 @@ def sparse_slot_collisions(spark, sf_dir):
 
 
 @query(
-    """SELECT * FROM (VALUES
-        (0, 'table', '<table><tr><td>1</td></tr></table>', 'page:3#idx:0'), (1, 'image', 'a leaf', 'asset:1'),
-        (3, 'formula', 'x^2', 'asset:3'), (4, 'formula', 'y', 'page:4#idx:4'), (5, 'text', 'plain text', NULL),
-        (6, 'table', 't', 'asset:6')) v(seg_ord, modality, text, asset_ref)""".replace("\\u00a0", " ")
+    r"""WITH e AS (
+        SELECT doc_id, ['Table', 'FigureCaption', 'Image', 'MathFormula', 'Formula', 'NarrativeText', 'TableOfPictures', ''][doc_id % 8 + 1] AS category,
+               CASE WHEN doc_id % 3 = 0 THEN '' ELSE regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g') END AS own,
+               CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id % 50 AS VARCHAR) END AS page,
+               '<table><tr><td>' || lang || '</td></tr></table>' AS html, CASE WHEN doc_id % 5 <> 0 THEN 'x^' || doc_id END AS latex
+        FROM documents
+    ), k AS (
+        SELECT *, CASE WHEN category LIKE 'Table%' THEN 'table' WHEN category IN ('FigureCaption', 'Image') THEN 'image'
+                       WHEN category LIKE '%Formula' THEN 'formula' ELSE 'text' END AS modality FROM e
+    ), t AS (
+        SELECT *, coalesce(nullif(own, ''), CASE modality WHEN 'table' THEN html WHEN 'formula' THEN latex END) AS found FROM k
+    )
+    SELECT doc_id AS seg_ord, modality, md5(found) AS text_md5,
+           CASE WHEN modality <> 'text' THEN CASE WHEN page IS NULL THEN 'asset:' || doc_id ELSE 'page:' || page || '#idx:' || doc_id END END AS asset_ref
+    FROM t WHERE found IS NOT NULL"""
 )
 def segment_rules(spark, sf_dir):
-    rows = [(k, *e) for k, e in enumerate(samples.ELEMENTS)]
-    raw = spark.createDataFrame(rows, "seg_ord int, category string, text string, page string, table_html string, latex string")
+    raw = samples.elements(spark, sf_dir)
     kind = chunking.modality(F.col("category"))
     text = chunking.segment_text(F.col("text"), kind, F.col("table_html"), F.col("latex"))
-    return raw.select("seg_ord", kind.alias("modality"), text.alias("text"), chunking.asset_ref(kind, F.col("page"), F.col("seg_ord")).alias("asset_ref")).where("text IS NOT NULL")
+    rows = raw.select("seg_ord", kind.alias("modality"), text.alias("text"), chunking.asset_ref(kind, F.col("page"), F.col("seg_ord")).alias("asset_ref"))
+    return rows.where("text IS NOT NULL").select("seg_ord", "modality", F.md5(F.col("text").cast("binary")).alias("text_md5"), "asset_ref")
 
 
 @query(
@@ -174,14 +186,19 @@ def payload(spark, sf_dir):
 
 
 @query(
-    """SELECT * FROM (VALUES
-        ('a#t0', 'a', 'a#t0', 'a', 'a#t0'), ('b#t1#x', 'b.md', 'b#t1#x', 'b.md', 'b#t1#x'), ('plain', 'd7', 'c#i2', 'd7', 'c#i2'),
-        ('e#t4', 'doc', 'k#t9', 'u', 'c#i2'), ('', '', '#t0', '', '#t0')) v(raw, canonical_doc_id, canonical_chunk_id, doc_id, chunk_id)"""
+    """WITH p AS (
+        SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE o_orderpriority || '#t' || o_orderkey END AS raw,
+               CASE WHEN o_orderkey % 3 = 0 THEN 'c' || o_orderkey || '#i2' END AS c,
+               CASE WHEN o_orderkey % 4 <> 0 AND o_orderkey % 11 = 0 THEN 'k' || o_orderkey || '#x#y' END AS cc,
+               CASE WHEN o_orderkey % 5 = 0 THEN 'doc-' || o_custkey END AS cd, CASE WHEN o_orderkey % 9 = 0 THEN 's.md' END AS sd,
+               CASE WHEN o_orderkey % 6 = 0 THEN 'd' || o_orderkey END AS d
+        FROM orders
+    ), n AS (SELECT *, coalesce(cc, c, raw) AS chunk FROM p), m AS (SELECT *, coalesce(cd, sd, d, nullif(split_part(chunk, '#', 1), ''), raw) AS doc FROM n)
+    SELECT k AS o_orderkey, doc AS canonical_doc_id, chunk AS canonical_chunk_id, coalesce(d, doc) AS doc_id, coalesce(c, nullif(raw, ''), chunk) AS chunk_id FROM m"""
 )
 def canonical_ids(spark, sf_dir):
-    names = ["raw_chunk_id", "chunk_id", "canonical_chunk_id", "canonical_doc_id", "source_doc_id", "source_doc", "doc_id"]
-    raw = spark.createDataFrame(samples.IDENTIFIERS, ", ".join(f"{n} string" for n in names))
-    return chunking.canonical_ids(raw).select(T.strip(F.col("raw_chunk_id")).alias("raw"), "canonical_doc_id", "canonical_chunk_id", "doc_id", "chunk_id")
+    raw = samples.identified_points(spark, sf_dir)
+    return chunking.canonical_ids(raw).select("o_orderkey", "canonical_doc_id", "canonical_chunk_id", "doc_id", "chunk_id")
 
 
 @query(
@@ -194,31 +211,38 @@ def squeezed_ids(spark, sf_dir):
 
 
 @query(
-    f"""SELECT * FROM (VALUES
-        (0, 'tomato_late-blight', 'tomato_late-blight', 'TOMATOLATEBLIGHT'), (1, 'a_b_c', 'a_b_c', 'ABC'), (2, '', '', 'MENTIONS'),
-        (3, '', 'ab', 'AB'), (4, '', '{"x" * 120}', '{"X" * 130}'), (5, 'crop:', 'crop:', 'CROP'), (6, '.t1', '.t1', 'T'),
-        (7, '', '', 'MENTIONS'), (8, 'treated_by2', 'treated_by2', 'TREATED_BY'), (9, 'part_of', 'part_of', 'PARTOF'),
-        (10, 'causes', 'causes', 'CAUSES'), (11, '123', '123', 'MENTIONS')) v(k, extracted, graph, relation)"""
+    r"""WITH n AS (
+        SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN '  ' || p_name || ' ' WHEN 1 THEN p_type WHEN 2 THEN p_brand || ' 딸기' WHEN 3 THEN repeat(p_type || '  ', 8)
+                                             WHEN 4 THEN substr(p_brand, 1, 2) ELSE '딸기' END AS v FROM part
+    ), q AS (
+        SELECT *, regexp_replace(regexp_replace(lower(trim(v)), '\s+', '_', 'g'), '[^a-z0-9_\-:.]+', '', 'g') AS id FROM n
+    )
+    SELECT p_partkey, CASE WHEN length(id) BETWEEN 3 AND 120 THEN id ELSE '' END AS extracted, substr(id, 1, 120) AS graph,
+           coalesce(nullif(regexp_replace(upper(v), '[^A-Z_]+', '', 'g'), ''), 'MENTIONS') AS relation FROM q"""
 )
 def identifier_rules(spark, sf_dir):
-    raw = spark.createDataFrame(list(enumerate(samples.NAMES)), "k int, v string")
     v = F.col("v")
-    return raw.select("k", T.extracted_id(v).alias("extracted"), T.graph_id(v).alias("graph"), T.relation_name(v).alias("relation"))
+    return samples.names(spark, sf_dir).select("p_partkey", T.extracted_id(v).alias("extracted"), T.graph_id(v).alias("graph"), T.relation_name(v).alias("relation"))
 
 
-@query("SELECT * FROM (VALUES (0, 0.5), (1, 0.5), (2, 0.3), (3, 1.0), (4, 0.0), (5, 0.9877), (6, 1.0)) v(k, confidence)".replace("0.3)", "CAST(0.3 AS DOUBLE))"))
+@query(
+    """WITH v AS (
+        SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN NULL WHEN 1 THEN l_tax - 0.04 WHEN 2 THEN l_quantity / 10 ELSE l_discount END AS v FROM lineitem
+    ) SELECT l_orderkey, l_linenumber, CASE WHEN v IS NULL OR v = 0 THEN 0.5 ELSE round(greatest(0.0, least(1.0, v)), 4) END AS confidence FROM v""".replace("0.04", "CAST(0.04 AS DOUBLE)")
+)
 def confidence_rules(spark, sf_dir):
-    raw = spark.createDataFrame(list(enumerate(samples.CONFIDENCES)), "k int, v double")
-    return raw.select("k", T.graph_confidence(F.col("v")).alias("confidence"))
+    return samples.confidences(spark, sf_dir).select("l_orderkey", "l_linenumber", T.graph_confidence(F.col("v")).alias("confidence"))
 
 
 @query(
-    """SELECT * FROM (VALUES (0, 'ok', 1, 0), (1, 'ok', 0, 1), (2, 'empty', 0, 0), (3, 'empty', 0, 0), (4, 'ok', 1, 0),
-        (5, 'bad_shape', 0, 0), (6, 'empty', 0, 0), (7, 'ok', 4, 0)) v(chunk_id, status, n_entities, n_relations)"""
+    """SELECT o_orderkey AS chunk_id, ['ok', 'ok', 'empty', 'empty', 'ok', 'bad_shape', 'empty', 'ok'][o_orderkey % 8 + 1] AS status,
+        [1, 0, 0, 0, 1, 0, 0, 2][o_orderkey % 8 + 1] AS n_entities, [0, 1, 0, 0, 0, 0, 0, 0][o_orderkey % 8 + 1] AS n_relations,
+        CASE o_orderkey % 8 WHEN 0 THEN o_orderpriority WHEN 1 THEN CAST(o_custkey AS VARCHAR) WHEN 4 THEN 'b' WHEN 7 THEN '' END AS first_value FROM orders"""
 )
 def reply_recovery(spark, sf_dir):
-    raw = spark.createDataFrame([(k, r) for k, r in enumerate(samples.REPLIES)], "chunk_id int, reply string")
-    return X.parsed_replies(raw).select("chunk_id", "status", F.size("entities").alias("n_entities"), F.size("relations").alias("n_relations"))
+    parsed = X.parsed_replies(samples.replies(spark, sf_dir))
+    first = F.coalesce(F.get("entities", F.lit(0))["text"], F.get("relations", F.lit(0))["source"])
+    return parsed.select("chunk_id", "status", F.size("entities").alias("n_entities"), F.size("relations").alias("n_relations"), first.alias("first_value"))
 
 
 _PROMPT = (
@@ -270,8 +294,10 @@ def _relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.valid_relations(samples.raw_relations(spark, sf_dir), VOCABULARY)
 
 
-def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.typed_relations(_relations(spark, sf_dir), _entities(spark, sf_dir))
+def _found(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Entities and typed relations; the former are written once, as in an ingest, since both ends of relations and the graph read them."""
+    entities = materialize(_entities(spark, sf_dir), "entities")
+    return entities, X.typed_relations(_relations(spark, sf_dir), entities)
 
 
 def _with_seq(df: DataFrame) -> DataFrame:
@@ -290,7 +316,7 @@ def validate_relations(spark, sf_dir):
 
 @query(f"WITH {TYPED} SELECT * FROM typed")
 def typed_relations(spark, sf_dir):
-    return _typed(spark, sf_dir)
+    return _found(spark, sf_dir)[1]
 
 
 @query(
@@ -305,7 +331,8 @@ def typed_relations(spark, sf_dir):
     FROM rows GROUP BY label, canonical_id"""
 )
 def graph_entities(spark, sf_dir):
-    nodes = graph.entity_nodes(_with_seq(_entities(spark, sf_dir)), _with_seq(_typed(spark, sf_dir)), SCOPE, VOCABULARY)
+    entities, typed = map(_with_seq, _found(spark, sf_dir))
+    nodes = graph.entity_nodes(entities, typed, SCOPE, VOCABULARY)
     return nodes.select("label", "canonical_id", "tier", "name", "confidence", "type")
 
 
@@ -329,7 +356,7 @@ def graph_mentions(spark, sf_dir):
     GROUP BY ALL"""
 )
 def graph_relations(spark, sf_dir):
-    edges = graph.relation_edges(_with_seq(_typed(spark, sf_dir)), SCOPE, VOCABULARY)
+    edges = graph.relation_edges(_with_seq(_found(spark, sf_dir)[1]), SCOPE, VOCABULARY)
     return edges.select("src_label", "src", "rel_type", "tgt_label", "tgt", "confidence", "evidence")
 
 
@@ -392,11 +419,26 @@ def keyword_mining(spark, sf_dir):
 
 
 @query(
-    """SELECT * FROM (VALUES ('en', 'why', 1), ('en', 'because', 1), ('ko', '왜', 1), ('ko', '원인', 1), ('ko', '이유', 1), ('en', 'compare', 2),
-        ('en', 'versus', 1), ('ko', '증가', 2), ('ko', '감소', 1), ('ko', '개선', 1), ('en', 'how', 2)) v(lang, keyword, n)"""
+    """SELECT lang, keyword, CAST(sum(times) AS BIGINT) AS n FROM orders JOIN (VALUES (0, 'en', 'why', 1), (0, 'en', 'because', 1), (1, 'ko', '왜', 1), (1, 'ko', '원인', 1),
+        (1, 'ko', '이유', 1), (2, 'en', 'compare', 2), (2, 'en', 'versus', 1), (3, 'ko', '증가', 2), (3, 'ko', '감소', 1), (3, 'ko', '개선', 1), (4, 'en', 'how', 2))
+        v(kind, lang, keyword, times) ON o_orderkey % 5 = kind GROUP BY ALL"""
 )
 def keyword_rules(spark, sf_dir):
-    return ontology.mined_keywords(spark.createDataFrame([(t,) for t in samples.KEYWORD_TEXTS], "text string"))
+    return ontology.mined_keywords(samples.hinting_texts(spark, sf_dir))
+
+
+@query(
+    r"""WITH found AS (
+        SELECT 'ko' AS lang, doc_id, unnest(ks) AS keyword, unnest(range(len(ks))) AS place FROM (SELECT doc_id, regexp_extract_all(text, 'tion|ung|eau') AS ks FROM documents)
+        UNION ALL
+        SELECT 'en', doc_id, unnest(ks), unnest(range(len(ks))) FROM (
+            SELECT doc_id, regexp_extract_all(lower(regexp_replace(text, '[^\p{L}\p{N}_]+', '  ', 'g')), '(?:^|[^\p{L}\p{N}_])(the|and|with|der|une)(?:$|[^\p{L}\p{N}_])', 1) AS ks
+            FROM documents)
+    ), counted AS (SELECT lang, keyword, count(*) AS n, min({'d': doc_id, 'p': place}) AS first FROM found GROUP BY ALL)
+    SELECT lang, keyword, n, CAST(row_number() OVER (PARTITION BY lang ORDER BY n DESC, first) AS INT) AS rank FROM counted"""
+)
+def keyword_ranking(spark, sf_dir):
+    return ontology.ranked_keywords(_docs(spark, sf_dir), "doc_id", _PARTS, _WHOLE)
 
 
 @query(
@@ -420,20 +462,38 @@ def _digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifests.chunk_digests(chunking.chunk_segments(samples.file_segments(spark, sf_dir)))
 
 
-@query()
+DIGESTS = r"""
+    seg AS (
+        SELECT lang || '/' || source || '.md' AS path, source AS stem, doc_id AS seg_ord, doc_id % 7 = 3 AS is_table,
+               regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g') AS own, list_filter(string_split_regex(coalesce(text, ''), '\s+'), lambda w: w <> '') AS ws
+        FROM documents
+    ), counted AS (
+        SELECT *, CASE WHEN is_table OR len(ws) <= 1200 THEN 1 ELSE 1 + CAST(ceil((len(ws) - 1200) / 1100.0) AS INT) END AS k FROM seg WHERE len(ws) > 0
+    ), seeded AS (
+        SELECT *, coalesce(sum(k) OVER (PARTITION BY path ORDER BY seg_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seed FROM counted
+    ), numbered AS (
+        SELECT *, CAST(seed + i AS INT) AS chunk_index, stem || '#t' || CAST(seed + i AS INT) AS chunk_id,
+               CASE WHEN is_table THEN own ELSE array_to_string(ws[i * 1100 + 1 : i * 1100 + 1200], ' ') END AS part
+        FROM (SELECT *, unnest(range(k)) AS i FROM seeded)
+    ), digested AS (
+        SELECT path, chunk_id, chunk_index, sha256('{"chunk_id":' || to_json(chunk_id) || ',"entities":[],"metadata":{"asset_ref":null,"formula_latex_ref":null,"image_b64_ref":null,"modality":"'
+            || CASE WHEN is_table THEN 'table' ELSE 'text' END || '","source_doc":' || to_json(stem || '.md') || ',"table_html_ref":null},"relations":[],"text":' || to_json(part) || '}') AS digest
+        FROM numbered
+    )"""
+
+
+@query(f"WITH {DIGESTS} SELECT chunk_id, path, digest FROM digested")
 def chunk_digests(spark, sf_dir):
     return _digests(spark, sf_dir).select("chunk_id", "path", "digest")
 
 
 @query(
-    r"""WITH seg AS (
-        SELECT lang || '/' || source || '.md' AS path, doc_id % 7 = 3 AS is_table,
-               len(list_filter(string_split_regex(coalesce(text, ''), '\s+'), lambda w: w <> '')) AS n FROM documents
-    ) SELECT path, CAST(sum(CASE WHEN is_table OR n <= 1200 THEN 1 ELSE 1 + CAST(ceil((n - 1200) / 1100.0) AS INT) END) AS BIGINT) AS chunks,
-        0 AS entities, 0 AS relations FROM seg WHERE n > 0 GROUP BY path"""
+    f"""WITH {DIGESTS} SELECT path, count(*) AS chunks, 0 AS entities, 0 AS relations, md5(string_agg(digest, ',' ORDER BY chunk_index)) AS digests_md5
+    FROM digested GROUP BY path"""
 )
 def repro_rollup(spark, sf_dir):
-    return manifests.repro_rollup(_digests(spark, sf_dir)).drop("chunk_digests")
+    rollup = manifests.repro_rollup(_digests(spark, sf_dir))
+    return rollup.withColumn("digests_md5", F.md5(F.array_join("chunk_digests", ",").cast("binary"))).drop("chunk_digests")
 
 
 @query()
@@ -444,10 +504,17 @@ def page_segments(spark, sf_dir):
     return parsed_segments(pages, "offline").select("path", "seg_ord", "text", "modality", "asset_ref")
 
 
-@query()
+@query(
+    r"""WITH w AS (
+        SELECT DISTINCT sha256(coalesce(text, '')) AS text_hash, list_filter(string_split_regex(lower(coalesce(text, '')), '\s+'), lambda w: w <> '') AS ws FROM documents
+    ), h AS (SELECT text_hash, md5(unnest(ws)) AS m FROM w), s AS (
+        SELECT text_hash, CAST(CAST('0x' || substr(m, 1, 8) AS BIGINT) % 64 AS INT) AS place, sum(CASE WHEN substr(m, 9, 1) < '8' THEN 1 ELSE -1 END) AS v FROM h GROUP BY ALL
+    ), f AS (SELECT text_hash, place, v FROM s WHERE v <> 0 UNION ALL SELECT text_hash, 0, 1 FROM w WHERE text_hash NOT IN (SELECT text_hash FROM s WHERE v <> 0))
+    SELECT text_hash, place, round(v / sqrt(sum(v * v) OVER (PARTITION BY text_hash)), 9) AS value FROM f"""
+)
 def embedded_texts(spark, sf_dir):
     from docweir.operators.models import embedded
     from docweir.sources.providers import HashingEmbedder
 
     vectors_ = embedded(_docs(spark, sf_dir).select("text"), HashingEmbedder(dim=64))
-    return vectors_.select("text_hash", F.size("vector").alias("dim"), F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x), 6).alias("squared"))
+    return vectors_.select("text_hash", F.posexplode("vector").alias("place", "value")).where("value != 0").withColumn("value", F.round("value", 9))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import io
 import re
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
@@ -14,7 +15,10 @@ from pyspark.sql import functions as F
 
 from docweir.operators.chunking import CATEGORY_WORDS, CLASS_WORDS, asset_ref, modality, segment_text
 
-ELEMENT = "path string, seg_ord int, text string, category string, page_no string, table_html string, formula_latex string, image_b64 string, by_class boolean"
+ELEMENT = (
+    "path string, seg_ord int, text string, category string, page_no string, table_html string, formula_latex string, image_b64 string, "
+    "by_class boolean, failed_parser string, error string"
+)
 
 
 @dataclass
@@ -142,7 +146,10 @@ class MarkdownParser:
 
 
 class PartitionParser:
-    """A file partitioner from an optional package, called as ``partition(filename=..., **options)``."""
+    """A file partitioner from an optional package, called as ``partition(file=stream, metadata_filename=..., **options)``.
+
+    It is given the content, since a task has no file of that path.
+    """
 
     by_class = False
 
@@ -164,7 +171,7 @@ class PartitionParser:
         if run is None:
             return []
         found = []
-        for e in run(filename=path, **self.options) or ():
+        for e in run(file=io.BytesIO(content), metadata_filename=path, **self.options) or ():
             meta = getattr(e, "metadata", None)
             found.append(
                 Element(
@@ -179,8 +186,16 @@ class PartitionParser:
         return found
 
 
+@dataclass
+class NamedStream:
+    """A file's name and content, where the converter's package has no such class of its own."""
+
+    name: str
+    stream: io.BytesIO
+
+
 class ConverterParser:
-    """A document converter from an optional package; items are told apart by the names of their classes."""
+    """A document converter from an optional package, given named streams; items are told apart by the names of their classes."""
 
     by_class = True
 
@@ -196,9 +211,17 @@ class ConverterParser:
             self.converter = DocumentConverter()
         return self.converter
 
+    @staticmethod
+    def _stream(path: str, content: bytes):
+        try:
+            from docling.datamodel.base_models import DocumentStream
+        except ImportError:
+            return NamedStream(path, io.BytesIO(content))
+        return DocumentStream(name=path, stream=io.BytesIO(content))
+
     def elements(self, path: str, content: bytes) -> list[Element]:
         converter = self._object()
-        document = getattr(converter.convert(path), "document", None) if converter else None
+        document = getattr(converter.convert(self._stream(path, content)), "document", None) if converter else None
         if document is None:
             return []
         try:
@@ -207,7 +230,8 @@ class ConverterParser:
             return [Element(str(document.export_to_markdown() or ""), "text")]
         out = []
         for item in items:
-            part = item[1] if isinstance(item, tuple) and len(item) > 1 else item
+            # Items may come with their level, before or after it.
+            part = next((p for p in reversed(item) if not isinstance(p, int)), None) if isinstance(item, tuple) else item
             html = getattr(part, "export_to_html", None)
             out.append(
                 Element(
@@ -230,16 +254,18 @@ CHAINS: dict[str, Callable[[], list[Parser]]] = {
 }
 
 
-def first_elements(parsers: Iterable[Parser], path: str, content: bytes) -> tuple[list[Element], bool]:
-    """The elements of the first parser that finds any text, and whether their categories are class names."""
+def first_elements(parsers: Iterable[Parser], path: str, content: bytes) -> tuple[list[Element], bool, list[tuple[str, str]]]:
+    """The elements of the first parser that finds any text, whether their categories are class names, and (parser, error) of those that failed."""
+    failures = []
     for parser in parsers:
         try:
             found = parser.elements(path, content)
-        except Exception:  # noqa: BLE001  one parser's failure passes the file to the next
+        except Exception as e:  # noqa: BLE001  one parser's failure passes the file to the next
+            failures.append((type(parser).__name__, f"{type(e).__name__}: {e}"))
             continue
         if any(e.text.strip() or (e.table_html or "").strip() or (e.formula_latex or "").strip() for e in found):
-            return found, parser.by_class
-    return [], False
+            return found, parser.by_class, failures
+    return [], False, failures
 
 
 def _base64(image: bytes | str | None) -> str | None:
@@ -248,8 +274,8 @@ def _base64(image: bytes | str | None) -> str | None:
     return image.strip() or None if isinstance(image, str) else None
 
 
-def parsed_segments(files: DataFrame, chain: str | list[Parser] = "auto") -> DataFrame:
-    """Segments of (path, content) rows: (path, seg_ord, text, modality, asset_ref, table_html, formula_latex, image_b64).
+def parsed_elements(files: DataFrame, chain: str | list[Parser] = "auto") -> DataFrame:
+    """What parsers find in (path, content) rows, a row per element, and a row per failure of a parser.
 
     Parsing runs in Python, a file at a time; all rules on its output are columns.
     """
@@ -258,18 +284,34 @@ def parsed_segments(files: DataFrame, chain: str | list[Parser] = "auto") -> Dat
     def run(batches):
         parsers = CHAINS[chain]() if isinstance(chain, str) else chain
         for pdf in batches:
-            rows = []
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                found, by_class = first_elements(parsers, path, bytes(content))
-                rows += [(path, k, e.text, e.category, e.page_no, e.table_html, e.formula_latex, _base64(e.image), by_class) for k, e in enumerate(found)]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in ELEMENT.split(", ")])
+                found, by_class, failures = first_elements(parsers, path, bytes(content))
+                rows = [(path, k, e.text, e.category, e.page_no, e.table_html, e.formula_latex, _base64(e.image), by_class, None, None) for k, e in enumerate(found)]
+                rows += [(path, None, None, None, None, None, None, None, None, *failure) for failure in failures]
+                frame = pd.DataFrame(rows, columns=[c.split()[0] for c in ELEMENT.split(", ")])
+                yield frame.astype({"seg_ord": "Int32", "by_class": "boolean"})
+
+    return files.select("path", "content").mapInPandas(run, ELEMENT)
+
+
+def parse_failures(elements: DataFrame) -> DataFrame:
+    """(path, parser, error) of parsers that failed on a file, which then went to the next parser."""
+    return elements.where("error IS NOT NULL").select("path", F.col("failed_parser").alias("parser"), "error")
 
-    raw = files.select("path", "content").mapInPandas(run, ELEMENT)
+
+def element_segments(elements: DataFrame) -> DataFrame:
+    """Segments of parsed elements: (path, seg_ord, text, modality, asset_ref, table_html, formula_latex, image_b64)."""
     kind = F.when(F.col("by_class"), modality(F.col("category"), CLASS_WORDS)).otherwise(modality(F.col("category"), CATEGORY_WORDS))
     return (
-        raw.withColumn("modality", kind)
+        elements.where("error IS NULL")
+        .withColumn("modality", kind)
         .withColumn("asset_ref", F.when(~F.col("by_class"), asset_ref(F.col("modality"), F.col("page_no"), F.col("seg_ord"))))
         .withColumn("text", segment_text(F.col("text"), F.col("modality"), F.col("table_html"), F.col("formula_latex")))
         .where("text IS NOT NULL")
         .select("path", "seg_ord", "text", "modality", "asset_ref", "table_html", "formula_latex", "image_b64")
     )
+
+
+def parsed_segments(files: DataFrame, chain: str | list[Parser] = "auto") -> DataFrame:
+    """Segments of (path, content) rows."""
+    return element_segments(parsed_elements(files, chain))

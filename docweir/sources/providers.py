@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import http.client
 import json
 import math
 import re
@@ -36,9 +37,40 @@ class Reply:
     error: str = ""
 
 
-def post_json(url: str, body: dict, headers: dict[str, str], timeout: float) -> object:
+def _connection(kind: type, read: float) -> type:
+    """A connection that waits for an answer as long as ``read`` says, however long it may wait to be made."""
+
+    class Connection(kind):
+        def connect(self) -> None:
+            super().connect()
+            self.sock.settimeout(read)
+
+    return Connection
+
+
+class _Http(urllib.request.HTTPHandler):
+    def __init__(self, read: float) -> None:
+        super().__init__()
+        self.read = read
+
+    def http_open(self, request):
+        return self.do_open(_connection(http.client.HTTPConnection, self.read), request)
+
+
+class _Https(urllib.request.HTTPSHandler):
+    def __init__(self, read: float) -> None:
+        super().__init__()
+        self.read = read
+
+    def https_open(self, request):
+        return self.do_open(_connection(http.client.HTTPSConnection, self.read), request, context=self._context)
+
+
+def post_json(url: str, body: dict, headers: dict[str, str], timeout: tuple[float, float]) -> object:
+    """The JSON answer to a JSON request; ``timeout`` has the seconds to connect and to wait for the answer."""
+    connect, read = timeout
     request = urllib.request.Request(url, json.dumps(body).encode(), {"Content-Type": "application/json", **headers})
-    with urllib.request.urlopen(request, timeout=timeout) as response:
+    with urllib.request.build_opener(_Http(read), _Https(read)).open(request, timeout=connect) as response:
         return json.loads(response.read())
 
 
@@ -64,7 +96,7 @@ class HttpEmbedder:
     dim: int = EMBEDDING_DIM
     batch_size: int = 8
     retries: int = 2
-    timeout: float = 30.0
+    timeout: tuple[float, float] = (5.0, 30.0)
     url: str = ""
     post: object = post_json
 
@@ -93,8 +125,8 @@ class HashingEmbedder:
         for text in texts:
             v = [0.0] * self.dim
             for word in text.lower().split():
-                h = hashlib.blake2b(word.encode(), digest_size=8).digest()
-                v[int.from_bytes(h[:7], "big") % self.dim] += 1.0 if h[7] & 1 else -1.0
+                h = hashlib.md5(word.encode()).hexdigest()
+                v[int(h[:8], 16) % self.dim] += 1.0 if h[8] < "8" else -1.0
             norm = math.sqrt(math.fsum(x * x for x in v))
             out.append([x / norm for x in v] if norm else [1.0] + v[1:])
         return out
@@ -106,7 +138,7 @@ class HttpExtractor:
 
     settings: ModelSettings
     models: list[str] = field(default_factory=list)
-    timeout: float = 45.0
+    timeout: tuple[float, float] = (8.0, 45.0)
     max_tokens: int = 1024
     temperature: float = 0.0
     referer: str = ""

@@ -48,6 +48,68 @@ def test_chunk_ids_run_through_a_file(spark):
     assert [r.chunk_id for r in got] == ["a#t0", "a#t1", "a#i2", "a#t3"]
 
 
+def test_white_space_is_that_of_python(spark):
+    import sys
+
+    points = spark.range(1, sys.maxunicode + 1).where("id NOT BETWEEN 55296 AND 57343")
+    c = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    found = points.select("id", c.alias("c")).where(F.regexp_replace("c", T.SPACE, "") == "")
+    stripped = points.select("id", c.alias("c")).where(T.strip(F.col("c")) == "")
+    spaces = {i for i in range(1, sys.maxunicode + 1) if chr(i).isspace()}
+    # A byte order mark is no character to the decoder.
+    assert {r.id for r in found.collect()} - {0xFEFF} == {r.id for r in stripped.collect()} - {0xFEFF} == spaces == set(map(ord, T.SPACES))
+
+
+def test_numbering_shuffles_no_texts(spark, tmp_path):
+    rows = [(f"f{k % 2}", k, f"word{k} " * 30, "text") for k in range(20)]
+    spark.createDataFrame(rows, "path string, seg_ord int, text string, modality string").selectExpr(
+        "*", *[f"CAST(NULL AS string) AS {c}" for c in ("asset_ref", "table_html", "formula_latex", "image_b64")]
+    ).write.parquet(str(tmp_path / "s"))
+    chunks = chunking.chunk_segments(spark.read.parquet(str(tmp_path / "s")), size=10, overlap=0)
+    assert chunks.count() == 60 and chunks.select("path", "chunk_index").distinct().count() == 60
+    plan = chunks._jdf.queryExecution().optimizedPlan()
+    windows, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        windows += [node] if node.nodeName() == "Window" else []
+        todo += [node.children().apply(k) for k in range(node.children().size())]
+    below = windows[0].children().apply(0).output()
+    assert [below.apply(k).name() for k in range(below.size())] == ["path", "seg_ord", "_k"]
+
+
+def test_one_exchange_of_entities_serves_both_ends(spark):
+    from docweir.operators.extraction import typed_relations
+
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "-1")
+    try:
+        entities = spark.range(50).selectExpr("'c' AS chunk_id", "id AS ord", "'t' AS text", "'Crop' AS type", "CAST(id % 7 AS string) AS canonical_id")
+        relations = spark.range(50).selectExpr("'c' AS chunk_id", "id AS ord", "CAST(id % 9 AS string) AS source", "CAST(id % 5 AS string) AS target", "'CAUSES' AS type")
+        out = typed_relations(relations, entities)
+        assert out.count() == 50
+        out.collect()
+        assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(conf, before)
+
+
+def test_ranked_keywords(spark):
+    texts = spark.createDataFrame([(2, "how why how"), (1, "why trigger 원인"), (3, "cause cause 이유")], "seq int, text string")
+    got = ontology.ranked_keywords(texts, "seq").orderBy("lang", "rank").collect()
+    assert [(r.lang, r.keyword, r.n) for r in got] == [("en", "why", 2), ("en", "how", 2), ("en", "cause", 2), ("en", "trigger", 1), ("ko", "원인", 1), ("ko", "이유", 1)]
+
+
+def test_stated_queries_against_all_chunks(spark):
+    from docweir.operators import vectors
+
+    chunks = spark.createDataFrame([("a", "red apple"), ("b", "green apple"), ("c", "stone")], "chunk_id string, text string")
+    terms = sparse_terms(chunks)
+    weights = vectors.idf(terms, 3)
+    got = {(r.query_id, r.chunk_id): r.score for r in vectors.sparse_dot(terms.where("chunk_id = 'a'"), terms, weights).collect()}
+    assert set(got) == {("a", "a"), ("a", "b")} and got["a", "a"] > got["a", "b"] > 0
+
+
 def test_file_stem(spark):
     names = ["a/b.tar.gz", ".md", "x", "d/.a.txt"]
     got = spark.createDataFrame([(n,) for n in names], "p string").select(T.file_stem(F.col("p"))).collect()

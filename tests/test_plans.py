@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from docweir import cli, config
 from docweir.operators.manifests import build_artifact_manifest, import_artifact_manifest, manifest_hash, source_root
 from docweir.operators.models import embedded
-from docweir.plans.ingest import run_ingest
+from docweir.operators.vectors import ensure_collection
+from docweir.plans.ingest import run_ingest, save_table
 from docweir.sources.files import list_files, list_input_files, read_files, read_listed_files, utf8_text
-from docweir.sources.parsers import Element, parsed_segments
-from docweir.sources.providers import GazetteerExtractor, HashingEmbedder, HttpEmbedder, HttpExtractor, coerced_vectors
+from docweir.sources.parsers import ConverterParser, Element, PartitionParser, TextParser, element_segments, parse_failures, parsed_elements, parsed_segments
+from docweir.sources.providers import GazetteerExtractor, HashingEmbedder, HttpEmbedder, HttpExtractor, coerced_vectors, post_json
 from docweir.streaming.ingest import stream_chunks
 
 MARKDOWN = "# Tomato blight\n\nWhy does tomato blight spread? Use copper spray.\n\n| a | b |\n|---|---|\n| 1 | 2 |\n\n![a leaf](leaf.png)\n\n$$x^2$$\n"
@@ -30,8 +31,14 @@ def corpus(tmp_path):
 
 
 def test_files(spark, corpus):
-    assert list_input_files(corpus) == [".hidden.txt", "empty.txt", "sub/b.txt", "a.md"]
-    assert {r.path for r in read_listed_files(spark, corpus).collect()} == set(list_input_files(corpus))
+    (corpus / "_drafts").mkdir()
+    (corpus / "_drafts/d 1.md").write_text("draft")
+    listed = list_input_files(spark, corpus)
+    assert listed == [(".hidden.txt", 12), ("empty.txt", 0), ("sub/b.txt", 35), ("_drafts/d 1.md", 5), ("a.md", len(MARKDOWN))]
+    for root in (corpus, f"file://{corpus}/"):
+        contents = {r.path: bytes(r.content) for r in read_listed_files(spark, root).collect()}
+        assert contents == {n: (corpus / n).read_bytes() for n, _ in listed}
+    assert list_input_files(spark, corpus / "none") == [] and read_listed_files(spark, corpus / "none").count() == 0
     assert {r.path for r in read_files(spark, corpus).collect()} == {"a.md", "sub/b.txt"}
     assert list_files(corpus / "none") == []
     texts = {r.path: r.t for r in read_files(spark, corpus).select("path", utf8_text(F.col("content")).alias("t")).collect()}
@@ -43,7 +50,7 @@ def test_parsers(spark, corpus):
         by_class = True
 
         def elements(self, path, content):
-            raise RuntimeError
+            raise RuntimeError("no such thing")
 
     class Items:
         by_class = True
@@ -54,10 +61,99 @@ def test_parsers(spark, corpus):
     got = parsed_segments(read_files(spark, corpus).where("path = 'a.md'"), "offline").orderBy("seg_ord").collect()
     assert [(r.modality, r.asset_ref) for r in got] == [("text", None), ("text", None), ("table", "asset:2"), ("image", "asset:3"), ("formula", "asset:4")]
     assert got[2].text == "<table><tr><td>a</td><td>b</td></tr><tr><td>1</td><td>2</td></tr></table>" and got[4].text == "x^2"
-    by_class = parsed_segments(read_files(spark, corpus).where("path = 'a.md'"), [Broken(), Items()]).orderBy("seg_ord").collect()
+    elements = parsed_elements(read_files(spark, corpus).where("path = 'a.md'"), [Broken(), Items()])
+    assert [tuple(r) for r in parse_failures(elements).collect()] == [("a.md", "Broken", "RuntimeError: no such thing")]
+    by_class = element_segments(elements).orderBy("seg_ord").collect()
     assert [(r.seg_ord, r.modality, r.text, r.asset_ref) for r in by_class] == [(1, "table", "<t/>", None), (2, "text", "m", None)]
 
 
+def test_packages_are_given_the_content(spark, corpus, monkeypatch, tmp_path):
+    """Both packages open what they are given, in a task whose working folder is another one."""
+    monkeypatch.chdir(tmp_path)
+
+    class Found:
+        def __init__(self, text):
+            self.text, self.category, self.metadata = text, "NarrativeText", None
+
+    def partition(file, metadata_filename, **options):
+        assert options["strategy"] == "hi_res"
+        return [Found(f"{metadata_filename}: {len(file.read())} bytes")]
+
+    class TextItem:
+        def __init__(self, text):
+            self.text = text
+
+    class Converter:
+        def convert(self, source):
+            items = [(TextItem(f"{source.name} has {len(source.stream.read())}"), 0)]
+            return type("Result", (), {"document": type("Document", (), {"iterate_items": lambda self: items})()})()
+
+    files = read_files(spark, corpus).where("path = 'sub/b.txt'")
+    assert parsed_segments(files, [PartitionParser(partition), TextParser()]).first().text == "sub/b.txt: 35 bytes"
+    assert parsed_segments(files, [ConverterParser(Converter()), TextParser()]).first().text == "sub/b.txt has 35"
+    failing = [PartitionParser(lambda **_: open("sub/b.txt")), TextParser()]
+    elements = parsed_elements(files, failing)
+    assert parse_failures(elements).first().error.startswith("FileNotFoundError") and "copper" in element_segments(elements).first().text
+
+
+def test_saved_tables_touch_the_buckets_of_their_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(500).selectExpr("CAST(id AS string) AS k", "id AS v")
+    save_table(spark, rows, path, ["k"])
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    save_table(spark, rows.where("k = '7'").withColumn("v", F.lit(-1).cast("long")).withColumn("more", F.lit("x")), path, ["k"])
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    assert len(before.items() - after.items()) == 1
+    got = {r.k: r.v for r in spark.read.parquet(path).collect()}
+    assert len(got) == 500 and got["7"] == -1 and got["8"] == 8
+    save_table(spark, rows.limit(0), path, ["k"])
+    assert spark.read.parquet(path).count() == 500
+
+
+def test_collection_contract(spark, tmp_path):
+    path = str(tmp_path / "c.json")
+    first = ensure_collection(spark, path, 16)
+    assert first["vectors"]["dense_text"] == {"size": 16, "distance": "cosine"} and first["sparse_vectors"]["sparse"]["modifier"] == "idf"
+    assert ensure_collection(spark, path, 16) == first
+    with pytest.raises(ValueError):
+        ensure_collection(spark, path, 8)
+
+
+def test_exports():
+    import docweir
+
+    assert docweir.run_ingest is run_ingest and all(hasattr(docweir, n) for n in docweir.__all__)
+    with pytest.raises(AttributeError):
+        docweir.nothing
+
+
+def test_connecting_and_reading_have_limits_of_their_own():
+    import threading
+    import time
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Slow(BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = self.rfile.read(int(self.headers["Content-Length"]))
+            time.sleep(0.6)
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Slow)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}/x"
+    try:
+        assert post_json(url, {"a": 1}, {}, (0.2, 10.0)) == {"a": 1}
+        with pytest.raises(OSError):
+            post_json(url, {"a": 1}, {}, (10.0, 0.2))
+    finally:
+        server.shutdown()
+
+
 def test_ingest_twice(spark, corpus, tmp_path):
     names = {"Tomato": "Crop", "copper spray": "Practice", "blight": "Disease", "banana": "Planet"}
     run = dict(
@@ -67,7 +163,7 @@ def test_ingest_twice(spark, corpus, tmp_path):
     assert first.totals["chunks"] == 7 and first.totals["entities"] >= 5
     assert first.ontology["allowed_entity_labels"] == ["Crop", "Disease", "Practice"]
     assert first.ontology["relation_hint_tokens"]["en"] == ["why"]
-    assert "chunks=7" in first.summary()
+    assert "chunks=7" in first.summary() and first.failures.count() == 0
     tables = ("vector_points", "g_chunk", "g_document", "g_has_chunk", "g_entity", "g_mentions", "g_relation")
     counts = {t: spark.read.parquet(f"{tmp_path}/out/{t}").count() for t in tables}
     assert counts["vector_points"] == 7 and counts["g_document"] == 3 and counts["g_entity"] == 3
@@ -116,7 +212,21 @@ def test_repro_check(spark, corpus, tmp_path, capsys):
     assert cli.repro_check(same) == 0
     (corpus / "sub/b.txt").write_text("changed")
     assert cli.repro_check(same) == 3
-    assert "[FAIL]" in capsys.readouterr().out
+    assert "[FAIL]" in capsys.readouterr().err
+
+
+def test_repro_check_with_extraction(spark, corpus, tmp_path):
+    names = tmp_path / "names.json"
+    names.write_text(json.dumps({"Tomato": "Crop", "copper spray": "Practice"}))
+    plain, full = tmp_path / "plain.json", tmp_path / "full.json"
+    given = ["--input-dir", str(corpus), "--parser", "text", "--ontology", str(tmp_path / "none.json")]
+    assert cli.repro_check([*given, "--out", str(plain)]) == 0
+    model = ["--include-extractor", "--offline", "--gazetteer", str(names)]
+    assert cli.repro_check([*given, "--out", str(full), *model]) == 0
+    assert cli.repro_check([*given, "--out", str(tmp_path / "again.json"), *model, "--compare-manifest", str(full)]) == 0
+    a, b = (json.loads(p.read_text()) for p in (plain, full))
+    assert (a["include_extractor"], a["entity_total"]) == (False, 0) and b["include_extractor"] and b["entity_total"] == 5 and b["relation_total"] == 2
+    assert a["files"]["a.md"]["chunk_digests"] != b["files"]["a.md"]["chunk_digests"]
 
 
 def test_vectors_of_a_service(spark):
