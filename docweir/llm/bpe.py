@@ -9,7 +9,8 @@ from heapq import heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from docweir.llm.pieces import PieceTable, Vocabulary, flattened, in_slices
+from docweir.llm.batches import bounded
+from docweir.llm.pieces import PieceTable, Vocabulary, flattened
 
 
 class PairIndexEncoder:
@@ -105,22 +106,21 @@ def bpe_round_trip(docs: DataFrame, vocabulary_path: str) -> DataFrame:
 
     Null texts count as empty: no tokens, and the digests of the empty string. Special
     tokens' strings in a text become their ids. Each row stands alone, so repeated rows
-    and repeated or null doc_ids give a row each; other columns are ignored.
+    and repeated or null doc_ids give a row each; other columns are ignored. An empty
+    table gives an empty result. Memory is bounded by a part of a batch and the longest text.
     """
 
     def run(batches):
         table = piece_table(vocabulary_path)
         tokens = table.vocabulary.tokens()
         numerals = [str(i) for i in range(len(tokens))]
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
+        for batch in bounded(batches):
             counts, id_digests, text_digests = [], [], []
-            for a, b in in_slices(texts):
-                for codes in table.codes(texts[a:b]):
-                    ids = table.ids(codes).tolist()
-                    counts.append(len(ids))
-                    id_digests.append(hashlib.sha256(" ".join(map(numerals.__getitem__, ids)).encode()).hexdigest())
-                    text_digests.append(hashlib.sha256(decode(tokens, ids).encode()).hexdigest())
+            for codes in table.codes(batch.column("text").to_pylist()):
+                ids = table.ids(codes).tolist()
+                counts.append(len(ids))
+                id_digests.append(hashlib.sha256(" ".join(map(numerals.__getitem__, ids)).encode()).hexdigest())
+                text_digests.append(hashlib.sha256(decode(tokens, ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

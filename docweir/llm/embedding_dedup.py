@@ -6,18 +6,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweir.llm.components import connected_components
 from docweir.storage import materialize
 
-#: Members of a tile; a task compares two tiles of one cell.
-TILE = 1024
-#: Room for rounding in squared distances and cosines; what lies within it is computed again, pair by pair.
-SLACK = 1e-9
-#: A cell also meets the half of its neighbours that comes after it, so that each pair of cells meets once.
-LATER = ((0, 1), (1, -1), (1, 0), (1, 1))
+#: Vectors of a tile; a task joins two tiles of one label, so it holds twice as many.
+TILE = 8192
+#: Edges by which each coordinate of a tile is indexed, and vectors that are looked up together.
+EDGES, LOOKUP = 128, 256
+#: Pairs whose distances are computed together.
+RUN = 1 << 14
 
 
 @lru_cache(maxsize=8)
@@ -34,157 +35,144 @@ def block_budgets(dim: int, blocks: int, min_cosine: float) -> np.ndarray:
     """What each block may contribute to the squared distance: its share by dimensions.
 
     The distance of linked unit vectors is 2 - 2 cos at most, so at least one block is
-    within its share. The addend covers the float32 rounding of the rotated vectors.
+    within its share. The addend is room for rounding, far above any there is.
     """
     return (2 - 2 * min_cosine + 1e-5) * np.diff(block_edges(dim, blocks)) / dim
 
 
 def _prepared(vectors: DataFrame) -> DataFrame:
-    """(row_id, vec_id, label, dim, raw, rotated): raw doubles, rotated unit vector as float32; dim null if it can't link."""
+    """(row_id, vec_id, label, dim, raw): doubles scaled to a largest component of 1; dim and raw are null if the vector can't link."""
 
     def run(batches):
         for batch in batches:
-            dims, raws, turned = [], [], []
-            for v, label in zip(batch.column("embedding").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                x = np.array([np.nan if c is None else c for c in v or ()], dtype=np.float64)
-                if label is None or not len(x) or not np.isfinite(x).all() or not x.any():
-                    dims.append(None), raws.append(None), turned.append(None)
-                    continue
-                x /= np.abs(x).max()
-                dims.append(len(x))
-                raws.append(x.tobytes())
-                turned.append((rotation(len(x)) @ (x / np.sqrt((x * x).sum()))).astype(np.float32).tobytes())
+            lists, labels = batch.column("embedding"), batch.column("label")
+            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            starts, labelled = np.cumsum(lengths) - lengths, labels.is_valid().to_numpy(zero_copy_only=False)
+            raws: list[bytes | None] = [None] * batch.num_rows
+            for dim in np.unique(lengths[labelled & (lengths > 0)]):
+                at = np.flatnonzero(labelled & (lengths == dim))
+                x = values[starts[at][:, None] + np.arange(dim)]
+                usable = np.isfinite(x).all(axis=1) & x.any(axis=1)
+                at, x = at[usable], x[usable]
+                # Adding zero gives both zeros one form.
+                for k, scaled in zip(at.tolist(), x / np.abs(x).max(axis=1, keepdims=True) + 0.0, strict=True):
+                    raws[k] = scaled.tobytes()
+            dims = [n if raw is not None else None for n, raw in zip(lengths.tolist(), raws, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("row_id", "vec_id", "label")), pa.array(dims, pa.int32()), pa.array(raws, pa.binary()), pa.array(turned, pa.binary())],
-                names=["row_id", "vec_id", "label", "dim", "raw", "rotated"],
+                [*(batch.column(c) for c in ("row_id", "vec_id", "label")), pa.array(dims, pa.int32()), pa.array(raws, pa.binary())],
+                names=["row_id", "vec_id", "label", "dim", "raw"],
             )
 
     kinds = {c: vectors.schema[c].dataType.simpleString() for c in ("vec_id", "label")}
     return vectors.select(F.monotonically_increasing_id().alias("row_id"), "vec_id", "label", "embedding").mapInArrow(
-        run, f"row_id bigint, vec_id {kinds['vec_id']}, label {kinds['label']}, dim int, raw binary, rotated binary"
+        run, f"row_id bigint, vec_id {kinds['vec_id']}, label {kinds['label']}, dim int, raw binary"
     )
 
 
-def _cells(rows: DataFrame, blocks: int, min_cosine: float) -> DataFrame:
-    """(row_id, label, dim, cell, home): for each block the vector's own grid cell and the earlier cells that it meets.
+class RangeIndex:
+    """Bitmaps over the vectors of a block, from which all those within a box around a point are read.
 
-    The grid has the width of the block's distance limit on the first two coordinates of
-    the block, so vectors within the limit lie in the same or in neighbouring cells.
+    Bitmap ``k`` of a coordinate marks the vectors below its edge ``k``, so an interval is
+    one bitmap without another, and a box is the intersection of as many as the block has
+    coordinates. The edges are quantiles: an interval is read too wide by one part in
+    ``EDGES`` at either end, never too narrow.
     """
 
-    def run(batches):
-        for batch in batches:
-            for row_id, label, dim, raw in zip(*(batch.column(c).to_pylist() for c in ("row_id", "label", "dim", "rotated")), strict=True):
-                x = np.frombuffer(raw, dtype=np.float32).astype(np.float64)
-                edges, budgets = block_edges(dim, blocks), block_budgets(dim, blocks, min_cosine)
-                cells, homes = [], []
-                for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-                    p = int(np.floor(x[a] / np.sqrt(budgets[k] + SLACK)))
-                    q = int(np.floor(x[a + 1] / np.sqrt(budgets[k] + SLACK))) if b - a > 1 else 0
-                    for i, j in ((0, 0), *LATER):
-                        cells.append(f"{k}/{p - i}/{q - j}")
-                        homes.append(i == j == 0)
-                n = len(cells)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row_id] * n, pa.int64()), pa.array([label] * n, batch.column("label").type), pa.array([dim] * n, pa.int32()), pa.array(cells), pa.array(homes)],
-                    names=["row_id", "label", "dim", "cell", "home"],
-                )
-
-    def gathered(batches):
-        held: list[pa.RecordBatch] = []
-        for b in run(batches):
-            held.append(b)
-            if len(held) == 512:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held = []
-        if held:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-
-    label = rows.schema["label"].dataType.simpleString()
-    return rows.where("dim IS NOT NULL").select("row_id", "label", "dim", "rotated").mapInArrow(
-        gathered, f"row_id bigint, label {label}, dim int, cell string, home boolean"
-    )
-
-
-def _within(a: np.ndarray, b: np.ndarray, limit: float) -> np.ndarray:
-    """Which rows of a and b lie within a squared distance, decided alike in every task."""
-    d = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1) - 2 * (a @ b.T)
-    out = d <= limit
-    near = np.nonzero(np.abs(d - limit) <= SLACK)
-    if len(near[0]):
-        out[near] = ((a[near[0]] - b[near[1]]) ** 2).sum(axis=1) <= limit
-    return out
-
-
-def _cosine_links(a: np.ndarray, b: np.ndarray, min_cosine: float) -> np.ndarray:
-    norm_a, norm_b = np.sqrt((a * a).sum(axis=1)), np.sqrt((b * b).sum(axis=1))
-    cos = (a @ b.T) / norm_a[:, None] / norm_b
-    out = cos >= min_cosine
-    i, j = np.nonzero(np.abs(cos - min_cosine) <= SLACK)
-    if len(i):
-        out[i, j] = (a[i] * b[j]).sum(axis=1) / (norm_a[i] * norm_b[j]) >= min_cosine
-    return out
-
-
-def tile_links(block: int, home_a, home_b, raw_a, raw_b, turned_a, turned_b, same_tile: bool, blocks: int, min_cosine: float) -> np.ndarray:
-    """The links that two tiles of a cell of ``block`` account for, as a matrix.
-
-    A pair belongs to the first block whose budget it keeps, so that the union over the
-    blocks has it once.
+    def __init__(self, vectors: np.ndarray) -> None:
+        self.n = len(vectors)
+        at = np.unique(np.linspace(0, self.n - 1, min(EDGES, self.n)).astype(int))
+        self.edges = np.sort(vectors, axis=0)[at].T.copy()
+        words = -(-self.n // 64)
+        self.below = np.zeros((vectors.shape[1], len(at) + 2, words), dtype=np.uint64)
+        for c, edges in enumerate(self.edges):
+            marks = np.zeros((len(at) + 2, words * 64), dtype=bool)
+            marks[1:-1, : self.n] = vectors[:, c] < edges[:, None]
+            marks[-1, : self.n] = True
+            self.below[c] = np.packbits(marks, axis=1, bitorder="little").view(np.uint64)
+
+    def inside(self, points: np.ndarray, radius: float, first: int = 0) -> np.ndarray:
+        """For each point, which vectors from ``first`` (a multiple of 64) on are within ``radius`` in every coordinate, and maybe a few that are not."""
+        found, skip = None, first // 64
+        for c, edges in enumerate(self.edges):
+            low = np.searchsorted(edges, points[:, c] - radius, side="right")
+            high = np.searchsorted(edges, points[:, c] + radius, side="right") + 1
+            band = self.below[c, high, skip:] & ~self.below[c, low, skip:]
+            found = band if found is None else found & band
+        return np.unpackbits(found.view(np.uint8), axis=1, bitorder="little")[:, : self.n - first].view(bool)
+
+
+def _in_runs(i: np.ndarray, j: np.ndarray, test) -> np.ndarray:
+    """``test`` of all pairs, some at a time."""
+    parts = [test(i[k : k + RUN], j[k : k + RUN]) for k in range(0, len(i), RUN)]
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=bool)
+
+
+def linked_pairs(a: np.ndarray, b: np.ndarray, same: bool, blocks: int, min_cosine: float, compared: list[int] | None = None):
+    """(i, j) arrays of the linked pairs of two tiles, each pair once; of one tile, those with i < j.
+
+    Each block of the rotated unit vectors is range-joined: its index gives the pairs
+    within the block's budget in every coordinate, and those that keep the budget as a
+    squared distance are candidates. The union over the blocks is verified by the cosine
+    of the vectors as they are, computed alike for a pair in every task. ``compared``
+    collects how many pairs the indexes gave.
     """
-    dim = raw_a.shape[1]
+    dim = a.shape[1]
     edges, budgets = block_edges(dim, blocks), block_budgets(dim, blocks, min_cosine)
-
-    def keeps(k: int) -> np.ndarray:
-        return _within(turned_a[:, edges[k] : edges[k + 1]], turned_b[:, edges[k] : edges[k + 1]], budgets[k])
-
-    found = keeps(block) & (home_a[:, None] | home_b)
-    if same_tile:
-        found &= np.triu(np.ones(found.shape, dtype=bool), 1)
-    if found.any():
-        found &= _cosine_links(raw_a, raw_b, min_cosine)
-    for k in range(block):
-        if not found.any():
-            break
-        found &= ~keeps(k)
-    return found
-
-
-def _local_roots(ids: np.ndarray, linked: np.ndarray) -> np.ndarray:
-    """The smallest id of each member's component within a symmetric link matrix."""
-    roots, open_ = ids.copy(), np.ones(len(ids), dtype=bool)
-    for start in np.argsort(ids):
-        if not open_[start]:
-            continue
-        open_[start], front = False, [start]
-        while len(front):
-            reached = linked[front].any(axis=0) & open_
-            open_ &= ~reached
-            roots[reached] = ids[start]
-            front = np.flatnonzero(reached)
-    return roots
+    spans = list(zip(edges.tolist(), edges[1:].tolist(), strict=False))
+    norm_a, norm_b = (np.sqrt((x * x).sum(axis=1)) for x in (a, b))
+    turned_a, turned_b = (x / norm[:, None] @ rotation(dim).T for x, norm in ((a, norm_a), (b, norm_b)))
+    indexes = [RangeIndex(turned_b[:, low:high]) for low, high in spans]
+    for start in range(0, len(a), LOOKUP):
+        first = start if same else 0
+        union = np.zeros((len(a[start : start + LOOKUP]), len(b) - first), dtype=bool)
+        later = np.arange(len(union))[:, None] < np.arange(union.shape[1]) if same else True
+        for (low, high), budget, index in zip(spans, budgets, indexes, strict=True):
+            points, others = turned_a[start : start + LOOKUP, low:high], turned_b[first:, low:high]
+            i, j = np.nonzero(index.inside(points, np.sqrt(budget), first) & ~union & later)
+            if compared is not None:
+                compared.append(len(i))
+            kept = _in_runs(i, j, lambda p, q, x=points, y=others, limit=budget: ((x[p] - y[q]) ** 2).sum(axis=1) <= limit)
+            union[i[kept], j[kept]] = True
+        i, j = np.nonzero(union)
+        i, j = i + start, j + first
+        linked = _in_runs(i, j, lambda p, q: (a[p] * b[q]).sum(axis=1) / (norm_a[p] * norm_b[q]) >= min_cosine)
+        if linked.any():
+            yield i[linked], j[linked]
+
+
+class Roots:
+    """Components of the members of a task, joined link by link."""
+
+    def __init__(self, n: int) -> None:
+        self.root = np.arange(n)
+
+    def join(self, node: int, others: np.ndarray) -> None:
+        roots = np.unique(self.root[others])
+        roots = np.union1d(roots, self.root[node])
+        if len(roots) > 1:
+            self.root[np.isin(self.root, roots[1:])] = roots[0]
 
 
 def _compare(blocks: int, min_cosine: float):
-    """For one pair of tiles of a cell: (row_id, n, root), links counted per vector and a star that spans them."""
+    """For one pair of tiles of a label: (node, n, root), vectors linked to each node and a star that spans them."""
 
     def run(key, table):
-        block, lower, upper = int(key[2].as_py().split("/")[0]), key[3].as_py(), key[4].as_py()
-        ids, tile, home = (table.column(c).to_numpy() for c in ("row_id", "tile", "home"))
-        dim = key[1].as_py()
+        dim, lower, upper = (k.as_py() for k in key[1:])
+        table = table.sort_by("node")
+        ids, tile, copies = (table.column(c).to_numpy() for c in ("node", "tile", "copies"))
         raw = np.frombuffer(b"".join(table.column("raw").to_pylist()), dtype=np.float64).reshape(-1, dim)
-        turned = np.frombuffer(b"".join(table.column("rotated").to_pylist()), dtype=np.float32).reshape(-1, dim).astype(np.float64)
         a, b = np.flatnonzero(tile == lower), np.flatnonzero(tile == upper)
-        found = tile_links(block, home[a], home[b], raw[a], raw[b], turned[a], turned[b], lower == upper, blocks, min_cosine)
-        counts, roots = np.zeros(len(ids), dtype=np.int64), ids
-        if found.any():
-            counts[a] += found.sum(axis=1)
-            counts[b] += found.sum(axis=0)
-            linked = np.zeros((len(ids), len(ids)), dtype=bool)
-            linked[np.ix_(a, b)] = found
-            roots = _local_roots(ids, linked | linked.T)
+        counts, roots = np.zeros(len(ids), dtype=np.int64), Roots(len(ids))
+        for i, j in linked_pairs(raw[a], raw[b], lower == upper, blocks, min_cosine):
+            i, j = a[i], b[j]
+            np.add.at(counts, i, copies[j])
+            np.add.at(counts, j, copies[i])
+            starts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+            for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(i)], strict=True):
+                roots.join(i[start], j[start:end])
         some = counts > 0
-        return pa.table({"row_id": ids[some], "n": counts[some], "root": roots[some]})
+        return pa.table({"node": ids[some], "n": counts[some], "root": ids[roots.root[some]]})
 
     return run
 
@@ -197,43 +185,53 @@ def embedding_groups(vectors: DataFrame, min_cosine: float = 0.93, blocks: int =
     components, and vectors without a label, have no links. n_links counts the other
     vectors linked directly; component_id is the smallest vec_id that links reach.
 
-    Rotated unit vectors are split into blocks; two linked vectors keep the distance
-    budget of at least one block, so each block is range-joined on a grid and the pairs
-    that keep a budget are verified. Pairs never become rows: a task compares two tiles of
-    a cell and returns one count and one link per vector, so a cell may hold any share of
-    all vectors. Repeated rows are vectors of their own, told apart by ``row_id``
-    (``monotonically_increasing_id()``). Other columns are ignored.
+    Copies of a vector are one node with a count, so that a group of copies costs no pairs.
+    Rotated unit vectors are split into blocks; two linked vectors keep the distance budget
+    of at least one block, so each block is range-joined under its budget and the union of
+    the candidates is verified. The nodes of a label are dealt to tiles by a hash; a task
+    joins two tiles, finds candidates in bitmap indexes of the blocks, and returns one count
+    and one link per node, never pairs. Its memory is that of two tiles, whatever share of
+    all vectors a label holds. The work within a label still grows with the square of its
+    distinct vectors, by one machine word for 64 pairs and coordinate; rows grow so only
+    beyond a tile. Repeated rows are vectors of their own, told apart by ``row_id``. Ties
+    (cosines that equal the limit) are links. Other columns are ignored; an empty table
+    gives an empty result.
     """
     rows = materialize(_prepared(vectors), "vectors")
-    cells = materialize(_cells(rows, blocks, min_cosine), "vector-cells")
-    cell = ["label", "dim", "cell"]
-    sizes = cells.groupBy(cell).agg(F.count(F.lit(1)).alias("size"), F.max("home").alias("any")).where("size > 1 AND any").drop("any")
-    tiles = F.ceil(F.col("size") / TILE).cast("int")
-    members = (
-        cells.join(materialize(sizes, "vector-cell-sizes"), cell)
-        .withColumn("tile", F.pmod(F.xxhash64("row_id"), tiles).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-        .select("row_id", *cell, "home", "tile", F.least("tile", "other").alias("lower"), F.greatest("tile", "other").alias("upper"))
+    same = ["label", "dim", "raw"]
+    nodes = materialize(
+        rows.where("dim IS NOT NULL")
+        .groupBy(*same)
+        .agg(F.min("row_id").alias("node"), F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies")),
+        "vector-nodes",
     )
+    sizes = nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("size"))
+    tiles = F.ceil(F.col("size") / TILE).cast("int")
     found = materialize(
-        members.join(rows.select("row_id", "raw", "rotated"), "row_id")
-        .groupBy(*cell, "lower", "upper")
-        .applyInArrow(_compare(blocks, min_cosine), "row_id bigint, n bigint, root bigint"),
+        nodes.join(sizes, ["label", "dim"])
+        .withColumn("tile", F.pmod(F.xxhash64("node"), tiles).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+        .select("node", "copies", *same, "tile", F.least("tile", "other").alias("lower"), F.greatest("tile", "other").alias("upper"))
+        .groupBy("label", "dim", "lower", "upper")
+        .applyInArrow(_compare(blocks, min_cosine), "node bigint, n bigint, root bigint"),
         "vector-links",
     )
-    roots = connected_components(found.select(F.col("row_id").alias("a"), F.col("root").alias("b")))
-    linked = materialize(roots.join(rows.select(F.col("row_id").alias("node"), "vec_id"), "node"), "vector-classes")
-    named = linked.groupBy("root").agg(F.min("vec_id").alias("linked_id"))
-    return (
-        rows.select("row_id", "vec_id")
-        .join(found.groupBy("row_id").agg(F.sum("n").alias("n")), "row_id", "left")
-        .join(linked.select(F.col("node").alias("row_id"), "root").join(named, "root"), "row_id", "left")
-        .withColumn("component_id", F.coalesce("linked_id", "vec_id"))
-        .select(
-            "vec_id",
-            F.coalesce("n", F.lit(0)).cast("bigint").alias("n_links"),
-            "component_id",
-            F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"),
-            "row_id",
-        )
+    linked = nodes.select("node", "first_id").join(
+        connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b"))), "node", "left"
+    )
+    linked = materialize(linked.withColumn("root", F.coalesce("root", "node")), "vector-classes")
+    named = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # Between copies of one vector the cosine is 1, whatever rounding makes of it.
+    classes = materialize(
+        nodes.join(found.groupBy("node").agg(F.sum("n").alias("n")), "node", "left")
+        .join(linked.select("node", "root").join(named, "root"), "node")
+        .select(*same, (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"),
+        "vector-named",
+    )
+    return rows.join(classes, same, "left").select(
+        "vec_id",
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        F.coalesce("component_id", "vec_id").alias("component_id"),
+        F.col("vec_id").eqNullSafe(F.coalesce("component_id", "vec_id")).alias("kept"),
+        "row_id",
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections import Counter
+from functools import reduce
+from operator import and_
 
 import pyarrow as pa
 import xxhash
@@ -14,16 +16,38 @@ from docweir.llm.token_counts import count_batches
 from docweir.storage import materialize
 
 CAPACITY = 2048
+_WHITE = b" \t\n\v\f\r"
 #: Documents that are packed together on average; bins never reach over such a group.
 GROUP_ROWS = 20_000
 
 
+class _Run:
+    """A stretch of the open bins, with the sources and the clusters that all its bins are known to hold."""
+
+    def __init__(self, entries: list[tuple[int, int]], bins: ConflictBins) -> None:
+        self.entries = entries
+        self.learn(bins)
+
+    def learn(self, bins: ConflictBins) -> None:
+        self.sources = reduce(and_, (bins.sources[number] for _, number in self.entries))
+        self.clusters = reduce(and_, (bins.clusters[number] for _, number in self.entries))
+
+
 class ConflictBins:
-    """Open bins in order of their residual; each carries a bitmap of the sources and one of the clusters it holds."""
+    """Open bins in order of their residual; each carries a bitmap of the sources and one of the clusters it holds.
+
+    The order is kept in runs of up to ``2 * RUN`` bins. A run knows bits that all its
+    bins have, so that the search for the successor steps over runs of which no bin can
+    take a document. What a run knows may be less than all, never more: bins that leave it
+    take nothing away, and a run that was searched in vain is looked at anew.
+    """
+
+    RUN = 128
 
     def __init__(self, capacity: int) -> None:
         self.capacity = capacity
-        self.open: list[tuple[int, int]] = []  # (residual, bin), sorted
+        self.runs: list[_Run] = []
+        self.lasts: list[tuple[int, int]] = []  # the last (residual, bin) of each run
         self.sources: list[int] = []
         self.clusters: list[int] = []
         self.source_places: dict[object, int] = {}
@@ -34,24 +58,54 @@ class ConflictBins:
         """The bit of a source or cluster, dealt in the order of first use; null conflicts with nothing."""
         return 0 if key is None else 1 << places.setdefault(key, len(places))
 
+    def _taken(self, length: int, source_bit: int, cluster_bit: int) -> tuple[int, int] | None:
+        """Remove and return the first open bin with room for a document that holds neither bit."""
+        first = bisect_left(self.lasts, (length, -1))
+        for k in range(first, len(self.runs)):
+            run = self.runs[k]
+            if run.sources & source_bit or run.clusters & cluster_bit:
+                continue
+            entries = run.entries
+            for at in range(bisect_left(entries, (length, -1)) if k == first else 0, len(entries)):
+                number = entries[at][1]
+                if not (self.sources[number] & source_bit or self.clusters[number] & cluster_bit):
+                    found = entries.pop(at)
+                    if not entries:
+                        del self.runs[k], self.lasts[k]
+                    elif at == len(entries):
+                        self.lasts[k] = entries[-1]
+                    return found
+            run.learn(self)
+        return None
+
+    def _opened(self, entry: tuple[int, int]) -> None:
+        k = min(bisect_left(self.lasts, entry), len(self.runs) - 1)
+        if k < 0:
+            self.runs, self.lasts = [_Run([entry], self)], [entry]
+            return
+        run, number = self.runs[k], entry[1]
+        insort(run.entries, entry)
+        run.sources &= self.sources[number]
+        run.clusters &= self.clusters[number]
+        self.lasts[k] = run.entries[-1]
+        if len(run.entries) > 2 * self.RUN:
+            parts = run.entries[: self.RUN], run.entries[self.RUN :]
+            self.runs[k : k + 1] = [_Run(part, self) for part in parts]
+            self.lasts[k : k + 1] = [part[-1] for part in parts]
+
     def place(self, length: int, source, cluster) -> tuple[int, int]:
         """(bin, offset): the tightest bin that has room and holds neither source nor cluster, or a new one."""
         source_bit, cluster_bit = self._bit(self.source_places, source), self._bit(self.cluster_places, cluster)
-        at = bisect_left(self.open, (length, -1))
-        while at < len(self.open):
-            residual, number = self.open[at]
-            if not (self.sources[number] & source_bit or self.clusters[number] & cluster_bit):
-                del self.open[at]
-                break
-            at += 1
-        else:
-            residual, number = self.capacity, len(self.sources)
+        found = self._taken(length, source_bit, cluster_bit)
+        if found is None:
+            found = self.capacity, len(self.sources)
             self.sources.append(0)
             self.clusters.append(0)
+        residual, number = found
         self.sources[number] |= source_bit
         self.clusters[number] |= cluster_bit
         if residual > length:
-            insort(self.open, (residual - length, number))
+            self._opened((residual - length, number))
         return number, self.capacity - residual
 
 
@@ -125,7 +179,7 @@ def sized_documents(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """(row_id, doc_id, source, n_tokens, cluster) of whole texts; cluster hashes the text without ASCII white space."""
 
     def columns(batch, texts, counts):
-        clusters = [xxhash.xxh64_intdigest(b"".join(t.encode().split())) if t else None for t in texts]
+        clusters = [xxhash.xxh64_intdigest(t.encode().translate(None, _WHITE)) if t else None for t in texts]
         return pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in ("row_id", "doc_id", "source")), pa.array(counts, pa.int64()), pa.array(clusters, pa.uint64()).view(pa.int64())],
             names=["row_id", "doc_id", "source", "n_tokens", "cluster"],

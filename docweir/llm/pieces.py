@@ -265,15 +265,3 @@ class PieceTable(ChunkNumbers):
     def ids(self, codes: np.ndarray) -> np.ndarray:
         """The token ids of a text from the numbers of its chunks."""
         return gathered(self.flat, self.starts[codes], self.lengths[codes])
-
-
-def in_slices(texts: list[str | None], limit: int = 8 << 20):
-    """Ranges of a batch that hold about ``limit`` characters, so that memory is bounded by that and the longest text."""
-    start = size = 0
-    for k, text in enumerate(texts):
-        size += len(text or "")
-        if size >= limit:
-            yield start, k + 1
-            start, size = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)

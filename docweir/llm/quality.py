@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from docweir.llm.batches import bounded
 from docweir.llm.labelled import is_held_out, training_documents
 from docweir.storage import materialize
 
@@ -47,7 +48,6 @@ def statistics(text: str | None) -> list[float]:
     lengths = np.fromiter(map(len, words), dtype=np.float64, count=m)
     lines = [line for line in text.split("\n") if line.strip()]
     distinct_words = len(set(words))
-    triples = list(zip(words, words[1:], words[2:], strict=False))
     shapes = _CLASS_ROWS @ np.bincount(np.frombuffer(data, dtype=np.uint8), minlength=256) / n
     letters = sum(map(str.isalpha, words))
     return [
@@ -62,7 +62,7 @@ def statistics(text: str | None) -> list[float]:
         sum(map(str.istitle, words)) / m,
         distinct_words / m,
         np.log1p(m) - np.log1p(distinct_words),
-        len(set(triples)) / max(len(triples), 1),
+        len(set(zip(words, words[1:], words[2:], strict=False))) / max(m - 2, 1),
         len(set(lines)) / len(lines),
         np.log1p(m / len(lines)),
         len(_ENDED.findall(text)) / len(lines),
@@ -138,7 +138,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", boun
     """
 
     def described(batches):
-        for batch in batches:
+        for batch in bounded(batches):
             stats = np.array([statistics(t) for t in batch.column("text").to_pylist()], dtype=np.float64)
             offsets = np.arange(0, stats.size + 1, N_STATISTICS, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -189,7 +189,7 @@ def quality_scores(docs: DataFrame, model: QualityModel, threshold: float = THRE
     """Every row of ``docs`` with ``score`` (0 to 1) and ``predicted`` after its own columns, which must not have these names."""
 
     def run(batches):
-        for batch in batches:
+        for batch in bounded(batches):
             stats = np.array([statistics(t) for t in batch.column("text").to_pylist()], dtype=np.float64).reshape(-1, N_STATISTICS)
             score = np.clip(model.score(stats), 0, 1)
             yield pa.RecordBatch.from_arrays(
@@ -204,8 +204,9 @@ def quality_scores(docs: DataFrame, model: QualityModel, threshold: float = THRE
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted.
 
-    Only the text is an input of a score. Null and empty texts have the score of a text
-    without words. Each row stands alone: repeated rows, ties and null doc_ids give a row
+    Only the text is an input of a score, and all of it, however long. Null and empty
+    texts have the score of a text without words. Without labels every score is 0.5; an
+    empty table gives an empty result. Each row stands alone: repeated rows, ties and null doc_ids give a row
     each (a null doc_id is not held out). Other columns are ignored.
     """
     model = fit_quality(docs, labels)

@@ -8,6 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docweir.llm.batches import bounded
 from docweir.llm.components import connected_components
 from docweir.llm.golay import fuzzy_keys
 from docweir.storage import materialize
@@ -31,22 +32,35 @@ def shingles(text: str | None, n_words: int) -> list[bytes]:
     return [joined[a:b] for a, b in zip(starts, (ends[n_words - 1 :] - 1).tolist(), strict=True)]
 
 
+def digests(text: str | None, n_words: int) -> np.ndarray:
+    """The hashes of a text's shingles as rows of eight bytes, the high one first."""
+    digest = xxhash.xxh64_digest
+    return np.frombuffer(b"".join([digest(s, SEED) for s in shingles(text, n_words)]), dtype=np.uint8).reshape(-1, 8)
+
+
+def bit_sums(rows: np.ndarray) -> np.ndarray:
+    """How many rows of bytes have each bit set; up to 255 rows are added as bytes, eight bytes at a time."""
+    total = np.zeros(rows.shape[1] * 8, dtype=np.int64)
+    for k in range(0, len(rows), 255):
+        total += np.unpackbits(rows[k : k + 255], axis=1).view(np.uint64).sum(axis=0).view(np.uint8)
+    return total
+
+
+def majority(rows: np.ndarray) -> int:
+    """64 bits, each set if it is set in over half the rows; as a signed long."""
+    return int.from_bytes(np.packbits(2 * bit_sums(rows) > len(rows)).tobytes(), "big", signed=True)
+
+
 def fingerprint(text: str | None, n_words: int) -> int:
     """64 bits, each set if it is set in over half the hashes of the shingles; as a signed long."""
-    digest = xxhash.xxh64_digest
-    hashed = [digest(s, SEED) for s in shingles(text, n_words)]
-    votes = np.zeros(64, dtype=np.int64)
-    for k in range(0, len(hashed), 1 << 16):
-        rows = np.frombuffer(b"".join(hashed[k : k + (1 << 16)]), dtype=np.uint8).reshape(-1, 8)
-        votes += np.unpackbits(rows, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * votes > len(hashed)).tobytes(), "big", signed=True)
+    return majority(digests(text, n_words))
 
 
 def fingerprints(docs: DataFrame, n_words: int = 3) -> DataFrame:
     """(row_id, doc_id, fp) of every whole text."""
 
     def run(batches):
-        for batch in batches:
+        for batch in bounded(batches):
             fps = [fingerprint(t, n_words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row_id"), batch.column("doc_id"), pa.array(fps, pa.int64())], names=["row_id", "doc_id", "fp"]
@@ -133,8 +147,8 @@ def simhash_groups(docs: DataFrame, n_words: int = 3) -> DataFrame:
     Equal fingerprints become one node before any link is sought, so copies cost nothing
     beyond their own row, and the join back is a sort-merge join that the engine can
     split. Repeated rows give a row each. A null doc_id is never a component_id unless
-    the whole component has none. Other columns are ignored; an empty table gives an
-    empty result. ``component`` is a number of the component that is never null, and
+    the whole component has none. Texts may be of any length. Other columns are ignored;
+    an empty table gives an empty result. ``component`` is a number of the component that is never null, and
     ``row_id`` is ``monotonically_increasing_id()`` of the scanned row.
     """
     rows = materialize(fingerprints(docs, n_words), "simhash-rows")

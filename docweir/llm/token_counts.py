@@ -8,7 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from docweir.llm.pieces import ChunkNumbers, Vocabulary, in_slices
+from docweir.llm.batches import bounded
+from docweir.llm.pieces import ChunkNumbers, Vocabulary
 
 
 class RankSynchronousCounter:
@@ -109,12 +110,9 @@ def count_table(vocabulary_path: str) -> CountTable:
 def count_batches(batches, vocabulary_path: str, extra):
     """Add token counts to Arrow batches; ``extra`` gives the rest of the columns from (batch, texts, counts)."""
     table = count_table(vocabulary_path)
-    for batch in batches:
+    for batch in bounded(batches, 4 << 20):
         texts = batch.column("text").to_pylist()
-        counts: list[int] = []
-        for a, b in in_slices(texts, 4 << 20):
-            counts += table.counts(texts[a:b])
-        yield extra(batch, texts, counts)
+        yield extra(batch, texts, table.counts(texts))
 
 
 def token_counts(docs: DataFrame, vocabulary_path: str, limit: int = 1024) -> DataFrame:
@@ -122,7 +120,8 @@ def token_counts(docs: DataFrame, vocabulary_path: str, limit: int = 1024) -> Da
 
     Whole texts count. Null texts count as empty: no bytes and no tokens. A special
     token's string inside a text counts as one token. Each row stands alone, so repeated
-    rows and repeated or null doc_ids give a row each; other columns are ignored.
+    rows and repeated or null doc_ids give a row each; other columns are ignored. An empty
+    table gives an empty result. Memory is bounded by a part of a batch and the longest text.
     """
 
     def columns(batch, texts, counts):

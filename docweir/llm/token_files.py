@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
-from docweir.llm.pieces import PieceTable, Vocabulary, in_slices
+from docweir.llm.batches import bounded
+from docweir.llm.pieces import PieceTable, Vocabulary
 
 #: Rows between two entries of the row index.
 INDEX_STRIDE = 1000
@@ -50,7 +51,10 @@ def write_token_files(docs: DataFrame, vocabulary_path: str, path: str, end_id:
     any order. Texts are range-partitioned before they are encoded, so that the range
     bounds come from the scan and each text is encoded once. Within a file the rows lie
     sorted, with row-index entries every ``INDEX_STRIDE`` rows and a Bloom filter on
-    doc_id, which let readers skip stripes and row groups.
+    doc_id, which let readers skip stripes and row groups. A null text counts as empty:
+    the end id alone. An empty table gives files without rows; repeated rows are written
+    as often as they come; other columns are ignored. Memory is bounded by a part of a
+    batch and the longest text.
     """
     spark = docs.sparkSession
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -60,21 +64,18 @@ def write_token_files(docs: DataFrame, vocabulary_path: str, path: str, end_id:
         table = library_table(vocabulary_path)
         end = np.array([end_id], dtype=np.int32)
         pos = 0
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in in_slices(texts):
-                rows = []
-                for codes in table.codes(texts[a:b]):
-                    rows += [table.ids(codes), end]
-                flat = np.concatenate(rows)
-                lengths = np.fromiter(map(len, rows), dtype=np.int64).reshape(-1, 2).sum(axis=1)
-                ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32)), pa.array(flat))
-                place = np.arange(pos, pos + len(lengths), dtype=np.int64)
-                pos += len(lengths)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.array(place), pa.array(lengths), ids],
-                    names=["doc_id", "pos", "n_tokens", "ids"],
-                )
+        for batch in bounded(batches):
+            rows = []
+            for codes in table.codes(batch.column("text").to_pylist()):
+                rows += [table.ids(codes), end]
+            flat = np.concatenate(rows)
+            lengths = np.fromiter(map(len, rows), dtype=np.int64).reshape(-1, 2).sum(axis=1)
+            ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32)), pa.array(flat))
+            place = np.arange(pos, pos + len(lengths), dtype=np.int64)
+            pos += len(lengths)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(place), pa.array(lengths), ids], names=["doc_id", "pos", "n_tokens", "ids"]
+            )
 
     (
         docs.select("doc_id", "text")

@@ -14,16 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from docweir.llm.batches import bounded
 from docweir.llm.labelled import is_held_out, training_documents
 from docweir.llm.lexicon import LexiconAutomaton, Term
 from docweir.storage import materialize
 
 #: Labelled documents that the lexicon and the weights are learned from, at most about.
 SAMPLE_BOUND = 16_000
-#: Terms that the lexicon may hold, the most telling first; near words that are known as ordinary.
-LEXICON_BOUND, CANDIDATE_BOUND = 1_000, 50_000
-#: Candidates for the lexicon: a guard of memory, far above the 68,178 of a full sample of `check_l`.
-COUNTED_BOUND = 1_000_000
 THRESHOLD = 0.3
 #: Toxic documents that must hold a term, whatever the size of the sample.
 MIN_POSITIVE = 5
@@ -48,8 +45,8 @@ _WORD = re.compile(r"[^\W_]+(?:[@$0-9*!][^\W_]+)*")
 # Characters that are written for letters.
 _FOLD = str.maketrans("@$013457", "asoieast")
 _MARKS = "\"«»“”„"
-_MARK, _BLACK = re.compile(f"[{_MARKS}]"), re.compile(r"\S")
-_OPEN, _CLOSE = "\"«“„", "\"»”“"
+_MARK = re.compile(f"[{_MARKS}]")
+_OPENING = frozenset("\"«“„':‘")
 
 
 def _last(places: list[int], before: int) -> int:
@@ -139,7 +136,7 @@ class TextReader:
 
     @staticmethod
     def _quoted(text: str, words: list[str], at: list[int]) -> np.ndarray:
-        """Which matches stand inside quotation marks of their line, or close after a reporting word with a mark near."""
+        """Which matches stand inside quotation marks of their line, or right after an opening mark that a reporting word leads to."""
         spans = [m.span() for m in _WORD.finditer(text.lower())]
         lowered = text if len(text.lower()) == len(text) else text.lower()
         out, line_end, marks = [], -1, {}
@@ -154,9 +151,11 @@ class TextReader:
                     marks[found[0]].append(found.start())
             straight = bisect_left(marks['"'], start) % 2 == 1 and marks['"'][-1] >= end
             curved = any(_last(marks[o], start) > _last(marks[c], start) and marks[c] and marks[c][-1] >= end for o, c in (("«", "»"), ("“", "”"), ("„", "“")))
-            before = lowered[max(line_start, start - 2) : start]
-            reported = any(w in REPORTING for w in words[max(0, k - 3) : k]) and before.strip()[-1:] in _OPEN + "':‘"
-            out.append(straight or curved or (reported and (bool(before.strip()) or bool(_BLACK.search(lowered, line_start, start)))))
+            before = start - 1
+            while before >= line_start and lowered[before].isspace():
+                before -= 1
+            marked = before >= line_start and lowered[before] in _OPENING
+            out.append(straight or curved or (marked and any(w in REPORTING for w in words[max(0, k - 3) : k])))
         return np.array(out, dtype=bool)
 
 
@@ -165,7 +164,7 @@ N_FEATURES = 6
 
 def _terms_in(text: str) -> set[tuple[str, bool]]:
     words = set(words_of(text))
-    return {(w, False) for w in words if 3 <= len(w) <= 30} | {
+    return {(w, False) for w in words if len(w) >= 3} | {
         (w[:n], True) for w in words if w.isalpha() for n in STEM_LENGTHS if n < len(w)
     }
 
@@ -175,7 +174,7 @@ def _count_terms(train: DataFrame, only: frozenset | None = None) -> DataFrame:
 
     def run(batches):
         seen: Counter = Counter()
-        for batch in batches:
+        for batch in bounded(batches):
             for text in batch.column("text").to_pylist():
                 terms = _terms_in(text or "")
                 seen.update(terms if only is None else terms & only)
@@ -231,7 +230,7 @@ def _lexicon(positive: dict, negative: dict, n_positive: int, n_negative: int) -
         if not stem and (_edits(t) or not t.startswith(tuple(kept_stems))):
             kept.append((positive[t, False], Term(t, max_edits=_edits(t))))
     kept.sort(key=lambda k: (-k[0], k[1].text))
-    return [term for _, term in kept[:LEXICON_BOUND]]
+    return [term for _, term in kept]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
@@ -250,9 +249,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = SAMPLE_BOUND) -> ToxicityModel:
     """Learn lexicon and weights from at most about ``bound`` labelled documents that are not held out.
 
-    Candidates are counted over partitions; those that several toxic documents hold, and
-    one row of six features for each sampled document, reach the driver. With no labelled
-    rows, or labels of one kind only, every text scores the share of label 1 (0.5 if none).
+    The sample is the only bound: every term that it shows to be telling enters the
+    lexicon, and every near word that its harmless documents hold is known as ordinary.
+    Candidates are counted over partitions; those that several toxic documents of the
+    sample hold, the near words, and one row of six features for each sampled document
+    reach the driver. With no labelled rows, or labels of one kind only, every text scores the share of label 1 (0.5 if none).
     """
     train = materialize(training_documents(docs, labels, label, bound), "toxicity-train")
     sizes = {r.y: r["count"] for r in train.groupBy("y").count().collect()}
@@ -260,7 +261,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound
     if not n_positive or not n_negative:
         return ToxicityModel(prior=float(n_positive > 0) if sizes else 0.5)
     frequent = _count_terms(train.where("y = 1")).where(F.col("n") >= MIN_POSITIVE - 1)
-    positive = {(r.term, r.stem): r.n for r in frequent.orderBy(F.desc("n"), "term", "stem").limit(COUNTED_BOUND).collect()}
+    positive = {(r.term, r.stem): r.n for r in frequent.collect()}
     negative = {(r.term, r.stem): r.n for r in _count_terms(train.where("y = 0"), frozenset(positive)).collect()}
     model = ToxicityModel(_lexicon(positive, negative, n_positive, n_negative), prior=n_positive / (n_positive + n_negative))
 
@@ -270,7 +271,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound
         def run(batches):
             reader = TextReader(terms, frozenset())
             seen: Counter = Counter()
-            for batch in batches:
+            for batch in bounded(batches):
                 for text in batch.column("text").to_pylist():
                     seen.update({(term, edits, word) for word, term, edits in reader.hits(text or "") if edits})
             rows = list(seen.items())
@@ -288,7 +289,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound
     while True:
         near = near_misses(terms)
         # Words of harmless documents that lie close to a term are words of their own, and no matches.
-        ordinary |= {r.word for r in near.orderBy(F.desc("n"), "word").limit(CANDIDATE_BOUND).collect()}
+        ordinary |= {r.word for r in near.select("word").distinct().collect()}
         # As many documents hold a word that is not known yet as hold one that no other holds.
         unknown = near.where("n = 1").groupBy("term", "edits").agg(F.count(F.lit(1)).alias("n")).collect()
         crowd = {(r.term, r.edits): r.n for r in unknown if r.n > MAX_NEAR_SHARE * n_negative}
@@ -301,7 +302,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound
 
     def described(batches):
         reader = TextReader(terms, ordinary)
-        for batch in batches:
+        for batch in bounded(batches):
             rows = np.array([reader.features(t) for t in batch.column("text").to_pylist()], dtype=np.float64)
             offsets = np.arange(0, rows.size + 1, N_FEATURES, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -320,7 +321,7 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, threshold: float = TH
 
     def run(batches):
         reader = model.reader()
-        for batch in batches:
+        for batch in bounded(batches):
             rows = np.array([reader.features(t) for t in batch.column("text").to_pylist()], dtype=np.float64)
             score = model.score(rows.reshape(-1, N_FEATURES))
             yield pa.RecordBatch.from_arrays(
@@ -335,8 +336,9 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, threshold: float = TH
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted.
 
-    Only the text is an input of a score. Null and empty texts have the score of a text
-    without matches. Each row stands alone: repeated rows, ties and null doc_ids give a
+    Only the text is an input of a score, and all of it, however long. Null and empty
+    texts have the score of a text without matches. Without labels every score is 0.5; an
+    empty table gives an empty result. Each row stands alone: repeated rows, ties and null doc_ids give a
     row each (a null doc_id is not held out). Other columns are ignored.
     """
     model = fit_toxicity(docs, labels)

@@ -5,10 +5,11 @@ import math
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from docweir.llm import embedding_dedup, golay, simhash, wide_simhash
+from docweir.llm import embedding_dedup, golay, simhash, similar_texts
 from docweir.llm.components import connected_components
 from docweir.llm.exact_dedup import content_hash, exact_dedup
 from docweir.llm.simhash import first_of_each_group, fingerprint, shingles, simhash_groups
@@ -136,9 +137,10 @@ def brute_embeddings(rows, least):
     return sorted((rows[k][0], n[k], first[root[k]], rows[k][0] == first[root[k]]) for k in range(len(rows)))
 
 
-@pytest.mark.parametrize("dim, tile", [(64, 1024), (8, 16), (3, 16)])
+@pytest.mark.parametrize("dim, tile", [(64, 8192), (8, 16), (3, 16)])
 def test_embeddings(spark, dim, tile, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "TILE", tile)
+    monkeypatch.setattr(embedding_dedup, "LOOKUP", 64)
     rng = np.random.default_rng(dim)
     rows = []
     for c in range(6):
@@ -153,24 +155,52 @@ def test_embeddings(spark, dim, tile, monkeypatch):
     assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == brute_embeddings(rows, 0.93)
 
 
+def unit_vectors(name):
+    table = pq.read_table(f"/root/testdata/{name}/embeddings.parquet").to_pandas()
+    return {label: np.stack(rows.embedding.to_list()).astype(np.float64) for label, rows in table.groupby("label")}
+
+
+def test_the_range_join_compares_few_pairs_and_loses_none():
+    pairs, compared, linked = 0, [], 0
+    for x in unit_vectors("sf0.1").values():
+        pairs += len(x) * (len(x) - 1) // 2
+        found = [(i, j) for a, b in embedding_dedup.linked_pairs(x, x, True, 4, 0.93, compared) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+        unit = x / np.linalg.norm(x, axis=1)[:, None]
+        expected = {(i, j) for i, j in zip(*np.nonzero(np.triu(unit @ unit.T >= 0.93, 1)), strict=True)}
+        assert set(found) == expected and len(found) == len(expected)
+        linked += len(found)
+    assert sum(compared) < 0.05 * pairs
+
+
+def test_range_index_equals_a_scan():
+    rng = np.random.default_rng(5)
+    x = np.round(rng.standard_normal((300, 6)), 1)
+    index = embedding_dedup.RangeIndex(x)
+    inside = index.inside(x[:40], 0.7, 64)
+    exact = (np.abs(x[:40, None] - x[None, 64:]) <= 0.7).all(axis=2)
+    assert inside.shape == exact.shape and not (exact & ~inside).any() and inside.sum() < 1.5 * exact.sum() + 40
+    assert embedding_dedup.RangeIndex(x[:1]).inside(x[:1], 0.1).tolist() == [[True]]
+
+
+def test_links_between_tiles_equal_links_within_one():
+    x = next(iter(unit_vectors("sf0.01").values()))
+    x = np.concatenate([x, x[:20] + np.random.default_rng(1).standard_normal((20, x.shape[1])) * 0.02])
+    whole = {(i, j) for a, b in embedding_dedup.linked_pairs(x, x, True, 4, 0.93) for i, j in zip(a.tolist(), b.tolist(), strict=True)}
+    cut = len(x) // 3
+    parts = {(i + s, j + t) for s, t, p, q in ((0, 0, x[:cut], x[:cut]), (cut, cut, x[cut:], x[cut:]), (0, cut, x[:cut], x[cut:])) for a, b in embedding_dedup.linked_pairs(p, q, s == t, 4, 0.93) for i, j in zip(a.tolist(), b.tolist(), strict=True)}
+    assert whole == parts and len(whole) >= 20
+
+
 def test_no_embeddings(spark):
     assert embedding_dedup.embedding_groups(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
-def test_wide_fingerprints():
-    text = " ".join(f"w{k}" for k in range(300))
-    bits = np.unpackbits(np.frombuffer(wide_simhash.wide_fingerprint(text, 5, 12), dtype=np.uint8))
-    assert len(bits) == 768 and 0.35 < bits.mean() < 0.65
-    assert wide_simhash.wide_fingerprint(text.upper(), 5, 12) == wide_simhash.wide_fingerprint(text, 5, 12)
+def test_bit_sums():
     rows = np.random.default_rng(1).integers(0, 256, (700, 16), dtype=np.uint8)
-    assert (wide_simhash.bit_sums(rows) == np.unpackbits(rows, axis=1).sum(axis=0)).all()
-    assert not any(wide_simhash.wide_fingerprint(None, 5, 2))
+    assert (simhash.bit_sums(rows) == np.unpackbits(rows, axis=1).sum(axis=0)).all()
 
 
-@pytest.mark.parametrize("tile, limit", [(1024, 32), (16, 2)])
-def test_similar_texts(spark, tile, limit, monkeypatch):
-    monkeypatch.setattr(wide_simhash, "TILE", tile)
-    monkeypatch.setattr(wide_simhash, "PAIRWISE_LIMIT", limit)
+def test_similar_texts(spark):
     rnd = random.Random(11)
     data, family = [(-1, None), (-2, ""), (-3, "two words"), (-4, "Two  WORDS")], {-1: "none", -2: "none", -3: "two", -4: "two"}
     for f in range(12):
@@ -185,7 +215,7 @@ def test_similar_texts(spark, tile, limit, monkeypatch):
         data.append((len(data), " ".join(f"w{rnd.randrange(4000)}" for _ in range(120))))
     data += data[10:12]
     frame = spark.createDataFrame([(i, t, 0) for i, t in data], "doc_id long, text string, wide int")
-    groups = wide_simhash.similar_groups(frame)
+    groups = similar_texts.similar_groups(frame)
     found = {}
     for r in groups.collect():
         found.setdefault(r.component, set()).add(r.doc_id)
@@ -194,22 +224,30 @@ def test_similar_texts(spark, tile, limit, monkeypatch):
         expected.setdefault(f, set()).add(i)
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, expected.values()))
     assert first_of_each_group(groups).count() == len(expected)
-    assert wide_simhash.similar_groups(frame.limit(0)).count() == 0
+    assert similar_texts.similar_groups(frame.limit(0)).count() == 0
 
 
-def test_recall_on_documents(spark):
+def test_components_on_documents_are_those_of_all_direct_links(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    texts_ = {r.doc_id: set(shingles(r.text, 5)) for r in docs.collect()}
-    component = {r.doc_id: r.component for r in wide_simhash.similar_groups(docs).collect()}
+    sets = {r.doc_id: frozenset(shingles(r.text, 5)) for r in docs.collect()}
+    component = {r.doc_id: r.component for r in similar_texts.similar_groups(docs).collect()}
     holders = {}
-    for i, s in texts_.items():
+    for i, s in sets.items():
         for h in s:
             holders.setdefault(h, []).append(i)
-    pairs = {p for ids in holders.values() if len(ids) < 40 for p in itertools.combinations(sorted(ids), 2)}
-    similarity = {(a, b): len(texts_[a] & texts_[b]) / len(texts_[a] | texts_[b]) for a, b in pairs}
-    near = [p for p, j in similarity.items() if j >= 0.85]
-    assert near and all(component[a] == component[b] for a, b in near)
-    assert not [p for p, j in similarity.items() if j < 0.5 and component[p[0]] == component[p[1]] and not (p[0] in {a for a, _ in near} or p[1] in {b for _, b in near})]
+    pairs = {p for ids in holders.values() for p in itertools.combinations(sorted(ids), 2)}
+    links = {(a, b) for a, b in pairs if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    assert links and all(component[a] == component[b] for a, b in links)
+    empty = [i for i, s in sets.items() if not s]
+    links |= {(empty[0], i) for i in empty[1:]}
+    root = {i: i for i in sets}
+    for a, b in sorted(links):
+        low, high = sorted((root[a], root[b]))
+        root = {i: low if r == high else r for i, r in root.items()}
+    groups = {}
+    for i, c in component.items():
+        groups.setdefault(c, set()).add(root[i])
+    assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(root.values()))
 
 
 def exact_links(texts_, least=(4, 5)):
@@ -239,21 +277,18 @@ def test_pairs_about_the_threshold(spark, n_edits, together):
         data |= {k: " ".join(base), k + 1: edited(base, n_edits, rnd)}
     linked = exact_links(data)
     assert all(linked(k, k + 1) == together for k in range(0, 120, 2))
-    component = {r.doc_id: r.component for r in wide_simhash.similar_groups(spark.createDataFrame(list(data.items()), "doc_id long, text string")).collect()}
+    component = {r.doc_id: r.component for r in similar_texts.similar_groups(spark.createDataFrame(list(data.items()), "doc_id long, text string")).collect()}
     assert all((component[k] == component[k + 1]) == together for k in range(0, 120, 2))
 
 
-@pytest.mark.parametrize("tile, limit", [(1024, 8), (16, 2)])
-def test_crowded_texts_against_brute_force(spark, tile, limit, monkeypatch):
-    monkeypatch.setattr(wide_simhash, "TILE", tile)
-    monkeypatch.setattr(wide_simhash, "PAIRWISE_LIMIT", limit)
+def test_crowded_texts_against_brute_force(spark):
     rnd = random.Random(5)
     base = [f"w{rnd.randrange(4000)}" for _ in range(400)]
     data = {k: edited(base, rnd.choice((2, 5, 9, 14)), rnd) for k in range(90)} | {90: "", 91: "one two"}
     data |= {100 + k: " ".join(f"w{rnd.randrange(4000)}" for _ in range(60)) + " " + " ".join(base[:90]) for k in range(20)}
     frame = spark.createDataFrame(list(data.items()), "doc_id long, text string")
     groups, expected = {}, {}
-    for r in wide_simhash.similar_groups(frame).collect():
+    for r in similar_texts.similar_groups(frame).collect():
         groups.setdefault(r.component, set()).add(r.doc_id)
     for i, root in brute_components(sorted(data), exact_links(data)).items():
         expected.setdefault(root, set()).add(i)

@@ -73,6 +73,8 @@ def test_held_out_accuracy(spark, name, module, column, least):
     assert all(r.predicted == (r.score >= threshold) for r in got.values())
     known = [(got[r.doc_id].predicted, r[column]) for r in labels.collect() if held_out(r.doc_id)]
     assert np.mean([a == b for a, b in known]) >= least
+    found = sum(a and b for a, b in known)
+    assert found >= 0.9 * sum(b for _, b in known) and found >= 0.95 * sum(a for a, _ in known)
 
 
 @pytest.mark.parametrize("module, column", [(quality, "quality"), (toxicity, "toxic")])
@@ -157,3 +159,68 @@ def test_rare_terms_enter_the_lexicon():
     assert [t.text for t in terms] == ["rareslur"]
     assert toxicity._lexicon({("rareslur", False): 12}, {("rareslur", False): 60}, 2_000, 14_000) == []
     assert toxicity._by_chance(3, 1, 0.25) == pytest.approx(4 * 0.25**3 * 0.75 + 0.25**4)
+
+
+def test_quotes_and_abuse():
+    """Each pair of sentences has the same terms, quoted in the first and meant in the second."""
+    reader = toxicity.TextReader([Term("idiot", max_edits=1), Term("worthless", max_edits=2)], frozenset())
+    pairs = [
+        ('The report quotes him: "you worthless idiot" was the phrase.', "Listen, you worthless idiot, that was the phrase."),
+        ("She said 'idiot' and left.", "She said you  idiot and left."),
+        ("The word: \t'idiot' is a slur.", "The word is out, you \t idiot."),
+        ("Er schrieb „idiot“ in das Heft.", "Er schrieb wie ein idiot in das Heft."),
+        ("Elle a écrit « worthless idiot » hier.", "Elle a écrit comme un worthless idiot hier."),
+        ("he called him 'idi0t' again", "he called you an  idi0t again"),
+    ]
+    for quoted, meant in pairs:
+        a, b = reader.features(quoted), reader.features(meant)
+        assert a[4] == 1.0 and b[4] == 0.0 and 0 < a[0] < b[0] and a[1] < b[1], quoted
+
+
+def test_long_words_are_terms():
+    word = "schimpf" * 6
+    assert (word, False) in toxicity._terms_in(f"ein {word} hier")
+    positive = {(word, False): 40} | {(f"term{k:05}x", False): 40 for k in range(1_500)}
+    assert len(toxicity._lexicon(positive, {}, 2_000, 14_000)) == 1_501
+
+
+def test_matches_equal_a_scan_with_edit_distance():
+    terms = [Term("idiot", max_edits=1), Term("worthless", max_edits=2), Term("scum")]
+    reader = toxicity.TextReader(terms, frozenset({"idioms"}))
+    rnd = random.Random(6)
+    words = []
+    for _ in range(800):
+        w = list(rnd.choice(("idiot", "worthless", "scum", "idioms", "plain", "words")))
+        for _ in range(rnd.randint(0, 3)):
+            w[(at := rnd.randrange(len(w) + 1)) : at + rnd.randint(0, 1)] = rnd.choice(["", "a", "e"])
+        words.append("".join(w))
+    text = " ".join(words)
+    expected = []
+    for w in toxicity.words_of(text):
+        close = [(distance(w, t.text), k) for k, t in enumerate(terms) if distance(w, t.text) <= t.max_edits]
+        if close and not (min(close)[0] and w == "idioms"):
+            expected.append((w, min(close)[0]))
+    assert [(w, e) for w, _, e in reader.hits(text)] == expected and len(expected) > 100
+
+
+def test_fourier_features_approximate_the_kernel():
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((40, quality.N_STATISTICS))
+    z = quality._fourier(x, np.zeros(quality.N_STATISTICS), np.ones(quality.N_STATISTICS))[:, :-1]
+    squared = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    assert np.abs(z @ z.T - np.exp(-squared / (2 * quality.N_STATISTICS))).max() < 0.3
+    assert np.abs(z @ z.T - np.exp(-squared / (2 * quality.N_STATISTICS))).mean() < 0.07
+
+
+def test_isotonic_levels_equal_the_minmax_formula():
+    rng = np.random.default_rng(2)
+    for _ in range(40):
+        n = int(rng.integers(1, 15))
+        counts, means = rng.uniform(0.5, 4, n), rng.uniform(0, 1, n)
+        got = quality._isotonic(means * counts, counts)
+
+        def mean(i, j):
+            return (means[i : j + 1] * counts[i : j + 1]).sum() / counts[i : j + 1].sum()
+
+        expected = [max(min(mean(i, j) for j in range(k, n)) for i in range(k + 1)) for k in range(n)]
+        assert np.allclose(got, expected)

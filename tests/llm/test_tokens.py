@@ -5,13 +5,15 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from docweir.llm.batches import bounded
 from docweir.llm.bpe import PairIndexEncoder, bpe_round_trip, decode
-from docweir.llm.pieces import PieceTable, Splitter, Vocabulary, flattened, in_slices
+from docweir.llm.pieces import PieceTable, Splitter, Vocabulary, flattened
 from docweir.llm.token_counts import CountTable, RankSynchronousCounter, token_counts
 from docweir.llm.token_files import library_table, read_token_files, token_file_digest, write_token_files
 
@@ -119,6 +121,25 @@ def test_files_have_bloom_filters(spark, tmp_path):
     assert library_table(WORD) is library_table(WORD)
 
 
-def test_slices_cover_a_batch():
-    assert list(in_slices(["a" * 5, None, "b" * 9, "c"], 6)) == [(0, 3), (3, 4)]
-    assert list(in_slices([], 6)) == []
+def test_parts_of_a_batch():
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4, 5]), pa.array(["a" * 5, None, "é" * 9, "c", ""])], names=["doc_id", "text"])
+    parts = [(p.column("doc_id").to_pylist(), p.column("text").to_pylist()) for p in bounded([batch, batch.slice(0, 0)], 6)]
+    assert parts == [([1, 2], ["a" * 5, None]), ([3], ["é" * 9]), ([4, 5], ["c", ""])]
+    assert [p.num_rows for p in bounded([batch.slice(1, 3)], 1000)] == [3]
+
+
+def test_whole_table_against_the_library(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts_ = {r.doc_id: r.text or "" for r in docs.collect()}
+    word, byte = (dict(zip(texts_, [e.ids for e in Tokenizer.from_file(p).encode_batch(list(texts_.values()), add_special_tokens=False)], strict=True)) for p in (WORD, BYTE))
+    for r in token_counts(docs, BYTE).collect():
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(texts_[r.doc_id].encode()), len(byte[r.doc_id]), len(byte[r.doc_id]) > 1024)
+    for r in bpe_round_trip(docs, WORD).collect():
+        assert (r.n_tokens, r.ids_sha256) == (len(word[r.doc_id]), hashlib.sha256(" ".join(map(str, word[r.doc_id])).encode()).hexdigest())
+    write_token_files(docs, WORD, str(tmp_path / "ids"))
+    start, got = 0, {r.doc_id: r for r in token_file_digest(spark, str(tmp_path / "ids")).collect()}
+    for i in sorted(word):
+        ids = [*word[i], 2]
+        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert len(got) == len(word)
