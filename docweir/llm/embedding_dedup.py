@@ -94,9 +94,11 @@ class RangeIndex:
     def inside(self, points: np.ndarray, radius: float, first: int = 0) -> np.ndarray:
         """For each point, which vectors from ``first`` (a multiple of 64) on are within ``radius`` in every coordinate, and maybe a few that are not."""
         found, skip = None, first // 64
+        # Room for the rounding of both ends, and of the difference that a scan would take.
+        reach = radius + 4 * np.finfo(np.float64).eps * (np.abs(points) + radius)
         for c, edges in enumerate(self.edges):
-            low = np.searchsorted(edges, points[:, c] - radius, side="right")
-            high = np.searchsorted(edges, points[:, c] + radius, side="right") + 1
+            low = np.searchsorted(edges, points[:, c] - reach[:, c], side="right")
+            high = np.searchsorted(edges, points[:, c] + reach[:, c], side="right") + 1
             band = self.below[c, high, skip:] & ~self.below[c, low, skip:]
             found = band if found is None else found & band
         return np.unpackbits(found.view(np.uint8), axis=1, bitorder="little")[:, : self.n - first].view(bool)
