@@ -281,15 +281,26 @@ def test_pairs_about_the_threshold(spark, n_edits, together):
     assert all((component[k] == component[k + 1]) == together for k in range(0, 120, 2))
 
 
-def test_crowded_texts_against_brute_force(spark):
+@pytest.mark.parametrize("bucket", [similar_texts.BUCKET, 16, 1])
+def test_crowded_texts_against_brute_force(spark, bucket):
+    # With small buckets those of the common shingles are crowded, and their rows are dealt to several tasks.
     rnd = random.Random(5)
     base = [f"w{rnd.randrange(4000)}" for _ in range(400)]
     data = {k: edited(base, rnd.choice((2, 5, 9, 14)), rnd) for k in range(90)} | {90: "", 91: "one two"}
     data |= {100 + k: " ".join(f"w{rnd.randrange(4000)}" for _ in range(60)) + " " + " ".join(base[:90]) for k in range(20)}
     frame = spark.createDataFrame(list(data.items()), "doc_id long, text string")
     groups, expected = {}, {}
-    for r in similar_texts.similar_groups(frame).collect():
+    for r in similar_texts.similar_groups(frame, bucket=bucket).collect():
         groups.setdefault(r.component, set()).add(r.doc_id)
     for i, root in brute_components(sorted(data), exact_links(data)).items():
         expected.setdefault(root, set()).add(i)
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values())) and 20 < len(expected) < len(data)
+
+
+def test_a_common_shingle_is_counted_in_several_tasks(spark):
+    texts_ = spark.createDataFrame([(k, f"a b c d e n{k}") for k in range(400)], "row_id long, text string").repartition(8)
+    crowded = similar_texts._crowded(texts_, 5, 100, 8).collect()
+    assert crowded and max(r.load for r in crowded) >= 400
+    held = {r.node: r.held for r in similar_texts._held(texts_, 5, 800, 8).collect()}
+    common = {h.hash for h in held[0]}.intersection(*({h.hash for h in held[k]} for k in range(400)))
+    assert len(held) == 400 and len(common) == 1 and len({h.df for k in held for h in held[k] if h.hash in common}) == 1
