@@ -35,8 +35,8 @@ def _groups(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def _mark() -> Column:
-    """The mark of a hash, from 1 on."""
-    return F.pmod(F.xxhash64("h"), F.lit(FILTER_BITS)) + 1
+    """The mark of a hash, from 1 on; never null by its form, so that no filter for nulls computes the hash of a text once more."""
+    return F.xxhash64("h").bitwiseAND(F.lit(FILTER_BITS - 1)) + 1
 
 
 def _possible_copies(texts: DataFrame, groups: DataFrame) -> DataFrame:
