@@ -304,3 +304,31 @@ def test_a_common_shingle_is_counted_in_several_tasks(spark):
     held = {r.node: r.held for r in similar_texts._held(texts_, 5, 800, 8).collect()}
     common = {h.hash for h in held[0]}.intersection(*({h.hash for h in held[k]} for k in range(400)))
     assert len(held) == 400 and len(common) == 1 and len({h.df for k in held for h in held[k] if h.hash in common}) == 1
+
+
+def test_parity_sketches(spark):
+    rng = random.Random(5)
+    base = [rng.getrandbits(64) - 2**63 for _ in range(300)]
+    sets = [(0, 0, []), (1, 3, base[:1])]
+    for node in range(2, 40):
+        n_changed = rng.randrange(0, 60)
+        sets.append((node, rng.randrange(0, 20), rng.sample(base, 300 - n_changed) + [rng.getrandbits(63) for _ in range(n_changed)]))
+    sketched = similar_texts._sketches(spark.createDataFrame(sets, "node long, alone long, hashes array<long>"))
+    found = {r.node: [r[f"s{i}"] for i in range(similar_texts.SKETCH)] for r in sketched.collect()}
+    for node, _, hashes in sets:
+        expected = [0] * similar_texts.SKETCH
+        for h in hashes:
+            expected[h % similar_texts.SKETCH] ^= 1 << (h % 2**64 // similar_texts.SKETCH % 64)
+        assert [s % 2**64 for s in found[node]] == expected
+    sizes = spark.createDataFrame([(n, alone + len(h)) for n, alone, h in sets], "node long, size long")
+    ends = [sketched.join(sizes, "node").select(*[F.col(c).alias(f"{c}_{e}") for c in (*sketched.columns, "size")]) for e in "ab"]
+    passed = ends[0].join(ends[1], F.col("node_a") < F.col("node_b")).where(similar_texts._near_enough(similar_texts.SIMILARITY))
+    passed = {(r.node_a, r.node_b) for r in passed.select("node_a", "node_b").collect()}
+    near = set()
+    for a, alone_a, ha in sets:
+        for b, alone_b, hb in sets:
+            common = len(set(ha) & set(hb))
+            if a < b and common * 5 >= 4 * (alone_a + alone_b + len(ha) + len(hb) - common):
+                near.add((a, b))
+    assert near and near <= passed
+    assert len(passed) < len(sets) * (len(sets) - 1) // 2
