@@ -25,7 +25,7 @@ _ODD = rf"[{_SPACES}\x00-\x03]|  | \n|\n[ \n]|\A[ \n]|[ \n]\z"
 
 
 @lru_cache(maxsize=2)
-def byte_table(vocabulary_path: str, limit: int = 400_000) -> PieceTable:
+def byte_table(vocabulary_path: str, limit: int = 700_000) -> PieceTable:
     """The table of a worker process, kept from task to task; the tokenizer library encodes new pieces, each as a word of one text."""
     vocabulary = Vocabulary(vocabulary_path)
     if vocabulary.lower:
@@ -65,7 +65,8 @@ def chunk_codes(table: PieceTable, texts: pa.Array) -> tuple[np.ndarray, np.ndar
         counts[k] = len(chunks)
         flat.append(np.fromiter(map(table.numbers.__getitem__, chunks), dtype=np.int32, count=len(chunks)))
     if table.new:
-        table.learn(list(map(table.splitter.pieces_of, table.new)))
+        # A chunk of ASCII letters alone is one piece, with the blank before it.
+        table.learn([[" " + c] if c.isalpha() and c.isascii() else table.splitter.pieces_of(c) for c in table.new])
         table.new = []
     order = np.concatenate([plain, full])
     starts = np.zeros(len(texts), dtype=np.int64)
