@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from docweir.storage import materialize
 
-#: A term: ASCII letters and all that is not ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: What stands between terms, which are runs of ASCII letters and all that is not ASCII.
+BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: A part in so many is one unit of a share.
 UNITS = 1_000_000_000
 #: What is added to every count, so that no share is zero.
@@ -19,24 +19,25 @@ PRIOR = 5
 SPREAD = 64
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences of a term, and documents that hold it; the term '' stands for a document.
+def _lowered(text: Column) -> Column:
+    """With A-Z in lower case and all else as it is; a text of ASCII characters alone takes the quick way."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, ascii_uppercase, ascii_lowercase))
 
-    The terms of a document lie sorted, so that its first of each is known without a shuffle.
-    """
 
-    def or_empty(column: str) -> Column:
-        return F.coalesce(F.col(column), F.lit(""))
+def term_counts(docs: DataFrame) -> DataFrame:
+    """(lang, source, term, n, docs): occurrences of a term, and documents that hold it; the term '' stands for the documents.
 
-    lowered = F.translate(or_empty("text"), ascii_uppercase, ascii_lowercase)
-    found = F.sort_array(F.regexp_extract_all(lowered, F.lit(TERM), F.lit(0)))
-    terms = docs.select(or_empty("lang").alias("lang"), or_empty("source").alias("source"), F.concat(F.array(F.lit("")), found).alias("terms"))
-    marked = F.transform("terms", lambda term, at: F.struct(term.alias("term"), (~F.get("terms", at - 1).eqNullSafe(term)).cast("int").alias("first")))
-    return (
-        terms.select("lang", "source", F.inline(marked))
-        .groupBy("lang", "source", "term")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("first").alias("docs"))
-    )
+    A document's terms lie sorted beside themselves, moved on by one, so that the first of
+    equal ones is known without a shuffle. The blank before a text gives every document an
+    empty term.
+    """
+    parts = [F.coalesce(F.col(c), F.lit("")) for c in ("lang", "source", "text")]
+    terms = F.sort_array(F.split(_lowered(F.concat(F.lit(" "), parts[2])), BETWEEN))
+    listed = docs.select(parts[0].alias("lang"), parts[1].alias("source"), terms.alias("terms"))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice("terms", F.lit(1), F.size("terms") - 1))
+    placed = listed.select("lang", "source", F.inline(F.arrays_zip("terms", before)).alias("term", "before"))
+    first = ~F.col("term").eqNullSafe(F.col("before"))
+    return placed.groupBy("lang", "source", "term").agg(F.count(F.lit(1)).alias("n"), F.sum(first.cast("int")).alias("docs"))
 
 
 def _share(n: str, total: str) -> Column:
@@ -51,20 +52,20 @@ def kept_terms(counts: DataFrame, min_docs: int) -> DataFrame:
     return kept.join(totals, "lang").select("lang", "term", _share("n", "total").alias("q"))
 
 
-def dense_shares(counts: DataFrame, kept: DataFrame) -> DataFrame:
+def dense_shares(groups: DataFrame, occurring: DataFrame, kept: DataFrame) -> DataFrame:
     """(lang, source, term, n, p, q): every group's share of every term that its language keeps.
 
-    A language may be that of most groups and terms, so both are dealt to parts of the
-    vocabulary before they meet.
+    ``occurring`` has the counts of kept terms. A language may be that of most groups and
+    terms, so both are dealt to parts of the vocabulary before they meet.
     """
-    sums = counts.join(kept, ["lang", "term"], "left_semi").groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    sums = occurring.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
-    groups = counts.where("term = ''").select("lang", "source").join(sums, ["lang", "source"], "left").join(sizes, "lang")
-    parts = groups.withColumn("total", F.coalesce("total", F.lit(0))).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    sized = groups.join(sums, ["lang", "source"], "left").join(sizes, "lang").withColumn("total", F.coalesce("total", F.lit(0)))
+    parts = sized.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
     return (
         kept.withColumn("part", F.pmod(F.xxhash64("term"), F.lit(SPREAD)).cast("int"))
         .join(parts, ["lang", "part"])
-        .join(counts.select("lang", "source", "term", "n"), ["lang", "source", "term"], "left")
+        .join(occurring, ["lang", "source", "term"], "left")
         .withColumn("n", F.coalesce("n", F.lit(0)))
         .select("lang", "source", "term", "n", _share("n", "total").alias("p"), "q")
     )
@@ -92,10 +93,12 @@ def source_divergence(docs: DataFrame, min_docs: int = 30, top: int = 50) -> Dat
     which is as many rows as the result needs summed.
     """
     counts = materialize(term_counts(docs), "divergence-counts")
+    groups = materialize(counts.where("term = ''").select("lang", "source"), "divergence-groups")
     kept = materialize(kept_terms(counts, min_docs), "divergence-terms")
-    dense = materialize(dense_shares(counts, kept), "divergence-shares")
+    occurring = materialize(counts.join(kept.select("lang", "term"), ["lang", "term"], "left_semi").select("lang", "source", "term", "n"), "divergence-occurring")
+    dense = materialize(dense_shares(groups, occurring, kept), "divergence-shares")
     # The empty term, the same to all, makes pairs in languages that keep no term.
-    shares = dense.select("lang", "term", "source", "p").union(counts.where("term = ''").select("lang", "term", "source", F.lit(0)))
+    shares = dense.select("lang", "term", "source", "p").union(groups.select("lang", F.lit(""), "source", F.lit(0)))
     left, right = (shares.select("lang", "term", F.col("source").alias(s), F.col("p").alias(p)) for s, p in (("a", "p_a"), ("b", "p_b")))
     apart = (
         left.join(right, ["lang", "term"])

@@ -67,6 +67,8 @@ def test_counts_that_a_long_product_cannot_hold(spark):
     from docweir.llm.source_divergence import dense_shares, kept_terms
 
     huge = 10**13
-    counts = spark.createDataFrame([("en", "s", "", 1, 1), ("en", "s", "a", huge, 40), ("en", "s", "b", 3 * huge + 7, 40)], "lang string, source string, term string, n long, docs long")
-    got = {r.term: r.p for r in dense_shares(counts, kept_terms(counts, 30)).collect()}
+    schema = "lang string, source string, term string, n long, docs long"
+    counts = spark.createDataFrame([("en", "s", "a", huge, 40), ("en", "s", "b", 3 * huge + 7, 40)], schema)
+    shares = dense_shares(counts.select("lang", "source").distinct(), counts.drop("docs"), kept_terms(counts, 30))
+    got = {r.term: r.p for r in shares.collect()}
     assert got == {t: 1 + 10**9 * (n + 5) // (4 * huge + 7 + 10) for t, n in (("a", huge), ("b", 3 * huge + 7))}
