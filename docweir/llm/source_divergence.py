@@ -35,7 +35,8 @@ def term_counts(docs: DataFrame) -> DataFrame:
     terms = F.sort_array(F.split(_lowered(F.concat(F.lit(" "), parts[2])), BETWEEN))
     listed = docs.select(parts[0].alias("lang"), parts[1].alias("source"), terms.alias("terms"))
     before = F.concat(F.array(F.lit(None).cast("string")), F.slice("terms", F.lit(1), F.size("terms") - 1))
-    placed = listed.select("lang", "source", F.inline(F.arrays_zip("terms", before)).alias("term", "before"))
+    # An outer generator: for others the engine filters rows by the size of their list, for which it makes all lists twice.
+    placed = listed.select("lang", "source", F.inline_outer(F.arrays_zip("terms", before)).alias("term", "before"))
     first = ~F.col("term").eqNullSafe(F.col("before"))
     return placed.groupBy("lang", "source", "term").agg(F.count(F.lit(1)).alias("n"), F.sum(first.cast("int")).alias("docs"))
 
