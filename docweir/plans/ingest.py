@@ -15,7 +15,8 @@ from docweir.operators.chunking import canonical_ids, chunk_segments, payload, p
 from docweir.operators.extraction import exploded, parsed_replies, typed_relations, valid_entities, valid_relations
 from docweir.operators.models import dense_vectors, model_replies
 from docweir.operators.ontology import Ontology, build_ontology, load_ontology
-from docweir.operators.upsert import last_wins, upsert
+from docweir.operators.keyed_table import KeyedTable
+from docweir.operators.upsert import last_wins
 from docweir.operators.vectors import ensure_collection, sparse_vectors
 from docweir.sources.files import EXTENSIONS, read_listed_files
 from docweir.sources.parsers import Parser, element_segments, parse_failures, parsed_elements
@@ -124,36 +125,17 @@ def run_ingest(
     return result
 
 
-#: Buckets of a new table; an upsert rewrites those that its keys fall into. Large tables want more.
-N_BUCKETS = 16
-_BUCKET = "key_bucket_of_"
-
-
 def save(spark: SparkSession, result: IngestResult, output_dir: str) -> None:
-    """Upsert a run's tables into Parquet tables under a folder, and state the contract of the vectors beside them."""
+    """Upsert a run's tables into keyed tables under a folder, and state the contract of the vectors beside them."""
     dims = result.vector_points.select(F.max(F.size("dense_text"))).first()[0]
     ensure_collection(spark, f"{output_dir}/vector_points.collection.json", dims or EMBEDDING_DIM)
     for name, df in {"vector_points": result.vector_points, **result.tables}.items():
         save_table(spark, df, f"{output_dir}/{name}", GRAPH_KEYS.get(name, ["chunk_id"]), graph.OPTIONAL if name == "g_entity" else None)
 
 
-def save_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str], sticky: list[str] | None = None, buckets: int = N_BUCKETS) -> None:
-    """Upsert ``incoming`` into a Parquet table that is partitioned by a hash of the keys.
-
-    The partition column's name ends in the number of buckets, which a table keeps for
-    good. Only buckets that incoming keys fall into are read and replaced, each by a
-    finished copy, after all copies have been written; the others stay as they are. If a
-    run ends half-way, buckets are old or new, and the same upsert again completes it.
-    """
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    there = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-    existing = spark.read.option("mergeSchema", True).parquet(path) if there else None
-    bucket = next(c for c in existing.columns if c.startswith(_BUCKET)) if there else f"{_BUCKET}{buckets}"
-    number = F.pmod(F.xxhash64(*keys), F.lit(int(bucket.removeprefix(_BUCKET)))).cast("int")
-    stamped = materialize(incoming.withColumns({"updated_at": F.current_timestamp(), bucket: number}), "upsert-incoming")
-    if there:
-        touched = [r[0] for r in stamped.select(bucket).distinct().collect()]
-        existing = existing.where(F.col(bucket).isin(touched)).withColumn("_seq_", F.lit(0))
-    merged = upsert(existing, stamped.withColumn("_seq_", F.lit(0)), [*keys, bucket], ["_seq_"], sticky).drop("_seq_")
-    done = materialize(merged, "upsert")
-    done.repartition(bucket).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(bucket).parquet(path)
+def save_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str], sticky: list[str] | None = None, writer: str | None = None, batch: int | None = None) -> None:
+    """Upsert ``incoming`` into the keyed table at a path: what is written is its rows, and ranges in which such rows have grown many."""
+    table = KeyedTable(spark, path, keys, sticky)
+    table.upsert(incoming.withColumn("updated_at", F.current_timestamp()), writer=writer, batch=batch)
+    table.compact()
+    table.vacuum()
