@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType
 
 from docweir.functions.text import extracted_confidence, extracted_id, strip, text_or_empty
 from docweir.operators.ontology import Ontology
+from docweir.storage import materialize
 
 #: Characters of an image's base64 text that a prompt holds at most.
 IMAGE_LIMIT = 1024
@@ -151,14 +152,42 @@ def valid_relations(raw: DataFrame, ontology: Ontology) -> DataFrame:
     ).where(F.col("type").isin(*ontology.relations) & (F.col("source") != "") & (F.col("target") != ""))
 
 
-def typed_relations(relations: DataFrame, entities: DataFrame) -> DataFrame:
+#: Entities of a chunk that are held in one row; a chunk with more is joined item by item.
+CROWDED = 10_000
+
+
+def typed_relations(relations: DataFrame, entities: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """Relations with type and text of their endpoints, where the same chunk has an entity of that identifier.
 
     Identifiers are as ``valid_entities`` and ``valid_relations`` give them. Of a chunk's
-    entities with one identifier the last counts. Entities are reduced to one row per
-    (chunk, identifier) first, so the two left joins add no rows, and both joins read the
-    one exchange of that reduction.
+    entities with one identifier the last counts, or the greatest by value. A chunk's
+    entities come together as one list, and relations meet it once, by their chunk: both
+    ends are looked up in it. A chunk of more than ``crowded`` entities, which no reply of
+    a model gives, would make too long a list; its relations are joined with entities by
+    chunk and identifier, once for either end, so no task holds a whole chunk.
     """
+    sizes = entities.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("_n"))
+    large = materialize(sizes.where(F.col("_n") > crowded).select("chunk_id"), "crowded-chunks")
+    if large.isEmpty():
+        return _typed_in_lists(relations, entities)
+    parts = [[df.join(large, "chunk_id", kind) for df in (relations, entities)] for kind in ("left_anti", "left_semi")]
+    return _typed_in_lists(*parts[0]).unionByName(_typed_by_item(*parts[1]))
+
+
+def _typed_in_lists(relations: DataFrame, entities: DataFrame) -> DataFrame:
+    item = F.struct("ord", "type", "text", "canonical_id")
+    lists = entities.groupBy("chunk_id").agg(F.sort_array(F.collect_list(item)).alias("_known"))
+
+    def last(end: str) -> Column:
+        same = F.filter("_known", lambda e: e["canonical_id"] == F.col(end))
+        return F.get(same, F.size(same) - 1)
+
+    met = relations.join(lists, "chunk_id", "left").withColumns({"_source": last("source"), "_target": last("target")})
+    typed = {f"{end}_{c}": F.nullif(F.col(f"_{end}.{c}"), F.lit("")) for end in ("source", "target") for c in ("type", "text")}
+    return met.select(*relations.columns, *[c.alias(n) for n, c in typed.items()])
+
+
+def _typed_by_item(relations: DataFrame, entities: DataFrame) -> DataFrame:
     known = (
         entities.where("canonical_id IS NOT NULL")
         .groupBy("chunk_id", "canonical_id")
