@@ -89,8 +89,9 @@ def chunk_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     cut = docs.select(F.col(key), words(F.col(text)).alias("_words")).withColumn("_k", window_count(F.size("_words"), size, overlap))
     part = F.slice("_words", F.col("chunk_index") * step + 1, size)
     return (
-        cut.where("_k > 0")
-        .withColumn("chunk_index", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+        # An outer generator: for others the engine filters rows by their number of words, for which it splits all texts twice.
+        cut.withColumn("chunk_index", F.explode_outer(F.when(F.col("_k") > 0, F.sequence(F.lit(0), F.col("_k") - 1))))
+        .where("chunk_index IS NOT NULL")
         .select(
             key,
             F.concat(F.col(key).cast("string"), F.lit("#t"), "chunk_index").alias("chunk_id"),

@@ -115,14 +115,14 @@ def mined_keywords(texts: DataFrame, ko: list[str] = HINTS_KO, en: list[str] = H
         F.transform(substring_keywords(F.col("text"), ko), lambda k: F.struct(F.lit("ko").alias("lang"), k.alias("keyword"))),
         F.transform(whole_keywords(F.col("text"), en), lambda k: F.struct(F.lit("en").alias("lang"), k.alias("keyword"))),
     )
-    return texts.select(F.explode(found).alias("k")).groupBy("k.lang", "k.keyword").agg(F.count(F.lit(1)).alias("n"))
+    return texts.select(F.explode_outer(found).alias("k")).where("k IS NOT NULL").groupBy("k.lang", "k.keyword").agg(F.count(F.lit(1)).alias("n"))
 
 
 def ranked_keywords(texts: DataFrame, seq: str, ko: list[str] = HINTS_KO, en: list[str] = HINTS_EN) -> DataFrame:
     """(lang, keyword, n, rank): by number, then by first occurrence in the order of ``seq``. Only distinct keywords are ranked."""
     first = None
     for lang, found in (("ko", substring_keywords(F.col("text"), ko)), ("en", whole_keywords(F.col("text"), en))):
-        one = texts.select(F.lit(lang).alias("lang"), F.col(seq).alias("_seq"), F.posexplode(found).alias("_at", "keyword"))
+        one = texts.select(F.lit(lang).alias("lang"), F.col(seq).alias("_seq"), F.posexplode_outer(found).alias("_at", "keyword")).where("keyword IS NOT NULL")
         first = one if first is None else first.union(one)
     counted = first.groupBy("lang", "keyword").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_seq", "_at")).alias("_first"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "_first"))

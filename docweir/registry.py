@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweir.functions import text as T
-from docweir.operators import chunking, graph, manifests, ontology, vectors
+from docweir.operators import chunking, graph, manifests, ontology, search, vectors
 from docweir.operators import extraction as X
+from docweir.operators.keyed_table import KeyedTable
 from docweir.operators.upsert import last_wins
 from docweir.plans import samples
 from docweir.plans.samples import table
-from docweir.storage import materialize
+from docweir.storage import materialize, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,7 +34,8 @@ def query(sql: str | None = None):
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    """Documents, dealt out: a small table may be one row group, which one task reads."""
+    return table(spark, sf_dir, "documents").repartition("doc_id")
 
 
 def _doc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,12 +279,13 @@ RELATIONS = """
                CASE l_returnflag WHEN 'A' THEN 'AFFECTS' ELSE 'REQUIRES' END AS type, l_tax AS confidence, l_linestatus AS evidence
         FROM lineitem WHERE l_returnflag IN ('A', 'R')
     )"""
-TYPED = f"""{ENTITIES}, {RELATIONS}, known AS (
-        SELECT chunk_id, canonical_id, arg_max(type, (ord, type, text)) AS type, arg_max(text, (ord, type, text)) AS text FROM entities GROUP BY ALL
+TYPED = f"""{ENTITIES}, {RELATIONS}, known AS MATERIALIZED (
+        SELECT chunk_id, map_from_entries(list(struct_pack(k := canonical_id, v := last))) AS found
+        FROM (SELECT chunk_id, canonical_id, max(struct_pack(ord := ord, type := type, text := text)) AS last FROM entities GROUP BY chunk_id, canonical_id) GROUP BY chunk_id
     ), typed AS (
-        SELECT r.*, s.type AS source_type, s.text AS source_text, t.type AS target_type, t.text AS target_text
-        FROM relations r LEFT JOIN known s ON r.chunk_id = s.chunk_id AND r.source = s.canonical_id
-                         LEFT JOIN known t ON r.chunk_id = t.chunk_id AND r.target = t.canonical_id
+        SELECT r.chunk_id, r.ord, r.source, r.target, r.type, r.confidence, r.evidence, found[source].type AS source_type, found[source].text AS source_text,
+               found[target].type AS target_type, found[target].text AS target_text
+        FROM relations r LEFT JOIN known k ON r.chunk_id = k.chunk_id
     )"""
 
 
@@ -314,7 +317,9 @@ def validate_relations(spark, sf_dir):
     return _relations(spark, sf_dir)
 
 
-@query(f"WITH {TYPED} SELECT * FROM typed")
+@query(
+    f"""WITH {TYPED} SELECT chunk_id, ord, source, target, type, confidence, evidence, source_type, source_text, target_type, target_text FROM typed"""
+)
 def typed_relations(spark, sf_dir):
     return _found(spark, sf_dir)[1]
 
@@ -518,3 +523,50 @@ def embedded_texts(spark, sf_dir):
 
     vectors_ = embedded(_docs(spark, sf_dir).select("text"), HashingEmbedder(dim=64))
     return vectors_.select("text_hash", F.posexplode("vector").alias("place", "value")).where("value != 0").withColumn("value", F.round("value", 9))
+
+
+@query(
+    r"""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+    scored AS (
+        SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(q.e, v.e) AS score FROM v AS q JOIN v ON len(q.e) = len(v.e) WHERE q.vec_id % 100 = 0
+    ) SELECT query_id, vec_id, round(score, 6) AS score, CAST(row_number() OVER w AS INT) AS rank FROM scored
+    WINDOW w AS (PARTITION BY query_id ORDER BY round(score, 9) DESC, vec_id) QUALIFY row_number() OVER w <= 10"""
+)
+def dense_search(spark, sf_dir):
+    """Every row whose id is a multiple of 100 as a query against all vectors."""
+    vectors_ = table(spark, sf_dir, "embeddings")
+    found = search.DenseIndex(vectors_, "vec_id", "embedding").nearest(vectors_.where("vec_id % 100 = 0"), 10, "vec_id", "embedding")
+    return found.select("query_id", F.col("item").alias("vec_id"), F.round("score", 6).alias("score"), "rank")
+
+
+@query(
+    f"""WITH {TERMS}, summed AS (SELECT chunk_id, slot, sum(weight) AS weight FROM terms GROUP BY ALL),
+    scales AS (SELECT slot, ln(1 + ((SELECT count(DISTINCT chunk_id) FROM summed) - count(*) + 0.5) / (count(*) + 0.5)) AS scale FROM summed GROUP BY slot),
+    asked AS (SELECT chunk_id AS query_id, slot, weight * scale AS q FROM summed JOIN scales USING (slot) WHERE CAST(string_split(chunk_id, '#')[1] AS BIGINT) % 100 = 0),
+    scored AS (SELECT query_id, s.chunk_id, sum(q * weight) AS score FROM asked JOIN summed s USING (slot) GROUP BY ALL)
+    SELECT query_id, chunk_id, round(score, 6) AS score, CAST(row_number() OVER w AS INT) AS rank FROM scored
+    WINDOW w AS (PARTITION BY query_id ORDER BY round(score, 9) DESC, chunk_id) QUALIFY row_number() OVER w <= 10"""
+)
+def sparse_search(spark, sf_dir):
+    """The chunks of every document whose id is a multiple of 100 as queries against all chunks, weighted by inverse document frequency."""
+    terms = materialize(vectors.sparse_terms(_doc_chunks(spark, sf_dir)).select("chunk_id", "slot", "weight"), "terms")
+    queries = terms.where(F.substring_index("chunk_id", "#", 1).cast("bigint") % 100 == 0).withColumnRenamed("chunk_id", "query_id")
+    found = search.SparseIndex(terms).nearest(queries, 10)
+    return found.select("query_id", F.col("item").alias("chunk_id"), F.round("score", 6).alias("score"), "rank")
+
+
+@query(
+    """WITH live AS (SELECT * FROM events WHERE event_id % 3 = 2 OR user_id % 10 <> 3)
+    SELECT user_id, arg_max(event_type, (event_id % 3, ts, event_id)) AS event_type, arg_max(value, (event_id % 3, ts, event_id)) FILTER (value > 50) AS large_value
+    FROM live GROUP BY user_id"""
+)
+def keyed_table_changes(spark, sf_dir):
+    """Events as three batches of changes to a table of users; before the last, every tenth user is deleted, and what deltas have grown is compacted."""
+    events = table(spark, sf_dir, "events").withColumn("large_value", F.when(F.col("value") > 50, F.col("value")))
+    users = KeyedTable(spark, new_path(spark, "users"), ["user_id"], ["large_value"])
+    for batch in range(3):
+        if batch == 2:
+            users.delete(events.where("user_id % 10 = 3"))
+            users.compact()
+        users.upsert(events.where(F.col("event_id") % 3 == batch).select("user_id", "event_type", "large_value", "ts", "event_id"), ["ts", "event_id"])
+    return users.read().select("user_id", "event_type", "large_value")

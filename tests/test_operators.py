@@ -7,7 +7,7 @@ from docweir.functions import text as T
 from docweir.operators import chunking, graph, ontology
 from docweir.operators.extraction import parse_reply, prompt, recovered_json
 from docweir.operators.upsert import last_wins, upsert
-from docweir.operators.vectors import sparse_terms, sparse_vectors
+from docweir.operators.vectors import sparse_summary, sparse_terms, sparse_vectors
 
 
 @pytest.mark.parametrize(
@@ -77,19 +77,22 @@ def test_numbering_shuffles_no_texts(spark, tmp_path):
     assert [below.apply(k).name() for k in range(below.size())] == ["path", "seg_ord", "_k"]
 
 
-def test_one_exchange_of_entities_serves_both_ends(spark):
+def test_relations_are_shuffled_once(spark):
     from docweir.operators.extraction import typed_relations
 
     conf = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(conf)
     spark.conf.set(conf, "-1")
     try:
-        entities = spark.range(50).selectExpr("'c' AS chunk_id", "id AS ord", "'t' AS text", "'Crop' AS type", "CAST(id % 7 AS string) AS canonical_id")
-        relations = spark.range(50).selectExpr("'c' AS chunk_id", "id AS ord", "CAST(id % 9 AS string) AS source", "CAST(id % 5 AS string) AS target", "'CAUSES' AS type")
+        entities = spark.range(50).selectExpr("CAST(id % 3 AS string) AS chunk_id", "id AS ord", "CAST(id AS string) AS text", "'Crop' AS type", "CAST(id % 7 AS string) AS canonical_id")
+        relations = spark.range(50).selectExpr("CAST(id % 4 AS string) AS chunk_id", "id AS ord", "CAST(id % 9 AS string) AS source", "CAST(id % 5 AS string) AS target", "'CAUSES' AS type")
         out = typed_relations(relations, entities)
-        assert out.count() == 50
-        out.collect()
-        assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(chunk_id") == plan.count("Exchange") == 2
+        # Chunks with many entities take another way to the same rows.
+        for crowded in (0, 16):
+            other = typed_relations(relations, entities, crowded)
+            assert other.columns == out.columns and sorted(map(str, other.collect())) == sorted(map(str, out.collect()))
     finally:
         spark.conf.set(conf, before)
 
@@ -124,8 +127,14 @@ def test_sparse(spark):
     assert got["b"].indices == [61348]
     assert got["c"].indices == [] and got["c"]["values"] == []
     assert got["d"].indices == [4097, 48353, 56062, 18737]
-    plan = sparse_terms(chunks)._jdf.queryExecution().toString()
-    assert plan.split("== Physical Plan ==")[1].count("Exchange hashpartitioning") == 1
+    for df in (sparse_terms(chunks), sparse_vectors(chunks), sparse_summary(chunks)):
+        assert "Exchange" not in df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert [tuple(r)[1:4] for r in sparse_summary(chunks.where("chunk_id IN ('a', 'c')")).collect()] == [(2, 3, 2)]
+    assert [(r.token, r.pos, r.tf) for r in sparse_terms(spark.createDataFrame([("x", "b a b c a b")], "chunk_id string, text string")).orderBy("pos").collect()] == [
+        ("b", 0, 3),
+        ("a", 1, 2),
+        ("c", 3, 1),
+    ]
 
 
 def test_upsert_is_idempotent(spark):
