@@ -14,6 +14,7 @@ from docweir.operators.keyed_table import KeyedTable
 from docweir.operators.upsert import last_wins
 from docweir.plans import samples
 from docweir.plans.samples import table
+from docweir.sources import graph_statements as statements
 from docweir.storage import materialize, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -570,3 +571,28 @@ def keyed_table_changes(spark, sf_dir):
             users.compact()
         users.upsert(events.where(F.col("event_id") % 3 == batch).select("user_id", "event_type", "large_value", "ts", "event_id"), ["ts", "event_id"])
     return users.read().select("user_id", "event_type", "large_value")
+
+
+_QUOTED = r"""'''' || replace(replace(replace(%s, '\', '\\'), '''', '\'''), chr(10), '\n') || ''''"""
+_SCOPED = r""", tier:''public''}"""
+
+
+@query(
+    rf"""WITH c AS (
+        SELECT 'order#t' || o_orderkey AS chunk_id, o_orderpriority || ' ''quoted'' \ ' || o_orderstatus || chr(10) || 'end' AS text, 'customer-' || o_custkey AS doc FROM orders
+    ), s AS (
+        SELECT 'MERGE (n:Chunk {{chunk_id:' || {_QUOTED % 'chunk_id'} || '{_SCOPED}) SET n.text=' || {_QUOTED % 'text'} || ', n.source_type=''document'', n.created_at=''2024-01-01T00:00:00+00:00''' AS statement FROM c
+        UNION ALL SELECT DISTINCT 'MERGE (n:Document {{doc_id:' || {_QUOTED % 'doc'} || '{_SCOPED}) SET n.source_doc=' || {_QUOTED % 'doc'} || ', n.created_at=''2024-01-01T00:00:00+00:00''' FROM c
+        UNION ALL SELECT 'MATCH (a:Document {{doc_id:' || {_QUOTED % 'doc'} || '{_SCOPED}), (b:Chunk {{chunk_id:' || {_QUOTED % 'chunk_id'}
+            || '{_SCOPED}) MERGE (a)-[r:HAS_CHUNK {{tier:''public''}}]->(b) SET r.created_at=''2024-01-01T00:00:00+00:00''' FROM c
+    ) SELECT md5(statement) AS statement_md5, CAST(length(statement) AS INT) AS length FROM s"""
+)
+def graph_statements(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    text = F.concat(F.col("o_orderpriority"), F.lit(" 'quoted' \\ "), F.col("o_orderstatus"), F.lit("\nend"))
+    texts = orders.select(F.concat(F.lit("order#t"), "o_orderkey").alias("chunk_id"), text.alias("text"))
+    chunks = samples.order_chunks(spark, sf_dir).drop("text").join(texts, "chunk_id")
+    g_chunk = graph.chunk_nodes(chunks, SCOPE)
+    tables = {"g_chunk": g_chunk, "g_document": graph.document_nodes(chunks, SCOPE), "g_has_chunk": graph.has_chunk_edges(chunks, g_chunk, SCOPE)}
+    made = statements.node_statements(tables).union(statements.edge_statements(tables))
+    return made.select(F.md5(F.col("statement").cast("binary")).alias("statement_md5"), F.char_length("statement").alias("length"))
