@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+from unittest import mock
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -332,3 +333,35 @@ def test_parity_sketches(spark):
                 near.add((a, b))
     assert near and near <= passed
     assert len(passed) < len(sets) * (len(sets) - 1) // 2
+
+
+def test_holders_of_a_template_meet_by_classes_only(spark):
+    """Texts that fill in one template too differently to link give no classes that meet, so no pairs are looked at."""
+    words = [f"w{k}" for k in range(40)]
+    found = []
+    whole = similar_texts._meeting
+
+    def meeting(classed, similarity):
+        out = whole(classed, similarity)
+        found.append((classed.count(), out.count()))
+        return out
+
+    for n in (200, 400):
+        rows = [(k, " ".join(f"own{k}" if i == k % 40 else w for i, w in enumerate(words))) for k in range(n)]
+        with mock.patch.object(similar_texts, "_meeting", meeting):
+            got = similar_texts.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+            by_component = {}
+            for r in got.collect():
+                by_component.setdefault(r.component, set()).add(r.doc_id)
+        # Brute force: words changed at either end of the text touch fewer shingles, so only such texts link.
+        shingles = [{tuple(t.split()[i : i + 5]) for i in range(36)} for _, t in rows]
+        root = list(range(n))
+        for a in range(n):
+            for b in range(a + 1, n):
+                if len(shingles[a] & shingles[b]) * 5 >= len(shingles[a] | shingles[b]) * 4:
+                    root = [root[a] if r == root[b] else r for r in root]
+        expected = {}
+        for k, r in enumerate(root):
+            expected.setdefault(r, set()).add(k)
+        assert sorted(map(sorted, by_component.values())) == sorted(map(sorted, expected.values()))
+    assert all(holders > 20 * classes for holders, classes in found)
