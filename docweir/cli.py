@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import shutil
 import sys
 from pathlib import Path
 
@@ -13,7 +14,7 @@ from docweir.config import EMBEDDING_MODEL, embedding_token, model_settings
 from docweir.operators.manifests import build_artifact_manifest, import_artifact_manifest, same_manifest
 from docweir.operators.ontology import load_ontology
 from docweir.plans.ingest import run_ingest
-from docweir.plans.repro import repro_run
+from docweir.plans.repro import write_repro_run
 from docweir.sources.parsers import CHAINS
 from docweir.sources.providers import Extractor, GazetteerExtractor, HashingEmbedder, HttpEmbedder, HttpExtractor
 
@@ -94,12 +95,13 @@ def repro_check(argv: list[str] | None = None) -> int:
     args = p.parse_args(argv)
     # Only a run that asks a model needs its settings.
     extractor = _extractor(args.offline, args.gazetteer) if args.include_extractor else None
-    manifest = repro_run(_session(), args.input_dir, args.parser, extractor, load_ontology(args.ontology))
-    written = json.dumps(manifest, ensure_ascii=False, indent=2)
     out = Path(args.out)
     out.parent.mkdir(parents=True, exist_ok=True)
-    out.write_text(written, encoding="utf-8")
-    print(written)
+    with out.open("w", encoding="utf-8") as f:
+        manifest = write_repro_run(_session(), args.input_dir, f, args.parser, extractor, load_ontology(args.ontology))
+    with out.open(encoding="utf-8") as f:
+        shutil.copyfileobj(f, sys.stdout)
+    print()
     agrees = not args.compare_manifest or same_manifest(manifest, args.compare_manifest)
     if not agrees:
         print(f"[FAIL] {args.input_dir} doesn't give what {args.compare_manifest} states", file=sys.stderr)

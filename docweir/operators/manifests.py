@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import json
 import os
 import shutil
 from datetime import datetime, timezone
 from pathlib import Path
+from typing import TextIO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from docweir.sources.files import list_files
+from docweir.storage import materialize
 
 BLOCK = 1 << 20
 MANIFEST_NAME = "artifact_manifest.json"
@@ -117,9 +120,9 @@ def copy_verified(spark: SparkSession, source: Path, target: Path, entries: list
             for name, expected in zip(pdf["path"], pdf["sha256"], strict=True):
                 src, dst = _inside(source, name), _inside(target, name)
                 if not src.is_file():
-                    raise FileNotFoundError(f"artifact file missing: {src}")
+                    raise FileNotFoundError(f"{src} is in the manifest, but there is no such file")
                 if verify and expected and (got := file_sha256(src)) != expected:
-                    raise ValueError(f"sha256 mismatch for {src}: expected {expected}, got {got}")
+                    raise ValueError(f"{src} has the checksum {got}, where the manifest states {expected}")
                 dst.parent.mkdir(parents=True, exist_ok=True)
                 shutil.copy2(src, dst)
                 sizes.append(dst.stat().st_size)
@@ -210,21 +213,55 @@ def repro_rollup(digests: DataFrame) -> DataFrame:
     )
 
 
-def repro_manifest(rollup: DataFrame, input_dir: str | Path, file_count: int, include_extractor: bool = False) -> dict:
-    """The manifest of a run, with its hash, and a hash that doesn't depend on where the input lies."""
-    files = {r.path: {"chunks": r.chunks, "entities": r.entities, "relations": r.relations, "chunk_digests": list(r.chunk_digests)} for r in rollup.collect()}
-    core = {
+def stream_repro_manifest(rollup: DataFrame, input_dir: str | Path, file_count: int, out: TextIO, include_extractor: bool = False) -> dict:
+    """Write the manifest of a run to ``out`` as indented JSON, and return it without its files.
+
+    The hash is that of the stable JSON, whose text is fed to it piece by piece in the
+    order of its keys, so files come to the driver one after the other, sorted by path,
+    and are never held together. Besides the hash with the place of the input there is
+    one without.
+    """
+    files = materialize(rollup, "repro-files")
+    sums = files.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("chunks", "entities", "relations")]).first()
+    head = {
         "input_dir": str(Path(input_dir).resolve()),
         "include_extractor": include_extractor,
         "file_count": file_count,
-        "chunk_total": sum(f["chunks"] for f in files.values()),
-        "entity_total": sum(f["entities"] for f in files.values()),
-        "relation_total": sum(f["relations"] for f in files.values()),
-        "files": dict(sorted(files.items())),
+        "chunk_total": sums.chunks,
+        "entity_total": sums.entities,
+        "relation_total": sums.relations,
     }
-    located = text_sha256(stable_json(core))
-    free = text_sha256(stable_json({k: v for k, v in core.items() if k != "input_dir"}))
-    return core | {"manifest_sha256": located, "content_sha256": free}
+    located, free = hashlib.sha256(), hashlib.sha256()
+
+    def hashed(text: str) -> None:
+        for h in (located, free):
+            h.update(text.encode("utf-8"))
+
+    def items(keys: list[str]) -> str:
+        return ",".join(f"{stable_json(k)}:{stable_json(head[k])}" for k in keys)
+
+    before, after = (sorted(k for k in head if (k < "files") is first) for first in (True, False))
+    out.write(json.dumps(head, ensure_ascii=False, indent=2)[:-2] + ',\n  "files": {')
+    hashed("{" + items(before) + ',"files":{')
+    n = 0
+    for row in files.orderBy("path").toLocalIterator():
+        entry = {"chunks": row.chunks, "entities": row.entities, "relations": row.relations, "chunk_digests": list(row.chunk_digests)}
+        hashed(f"{',' if n else ''}{stable_json(row.path)}:{stable_json(entry)}")
+        shown = json.dumps(entry, ensure_ascii=False, indent=2).replace("\n", "\n    ")
+        out.write(f"{',' if n else ''}\n    {json.dumps(row.path, ensure_ascii=False)}: {shown}")
+        n += 1
+    located.update(("}," + items(after) + "}").encode("utf-8"))
+    free.update(("}," + items([k for k in after if k != "input_dir"]) + "}").encode("utf-8"))
+    hashes = {"manifest_sha256": located.hexdigest(), "content_sha256": free.hexdigest()}
+    out.write(("\n  " if n else "") + "},\n" + json.dumps(hashes, indent=2)[2:])
+    return head | hashes
+
+
+def repro_manifest(rollup: DataFrame, input_dir: str | Path, file_count: int, include_extractor: bool = False) -> dict:
+    """The manifest of a run as a whole, for inputs of moderate size."""
+    out = io.StringIO()
+    stream_repro_manifest(rollup, input_dir, file_count, out, include_extractor)
+    return json.loads(out.getvalue())
 
 
 def same_manifest(ours: dict, other_path: str | Path) -> bool:

@@ -190,7 +190,7 @@ def test_export_and_import(spark, tmp_path):
     done = import_artifact_manifest(spark, path, {"vectors": tmp_path / "copy"}, verify_manifest=True)
     assert done["vectors"]["copied_files"] == 2 and (tmp_path / "copy/d/x.bin").read_bytes() == b"x" * 3_000_000
     (index / "d/x.bin").write_bytes(b"z")
-    with pytest.raises(Exception, match="sha256 mismatch"):
+    with pytest.raises(Exception, match="the manifest states"):
         import_artifact_manifest(spark, path, {"vectors": tmp_path / "copy"})
     import_artifact_manifest(spark, path, {"vectors": tmp_path / "copy"}, verify=False)
     with pytest.raises(FileNotFoundError):
@@ -280,3 +280,27 @@ def test_settings(monkeypatch):
     monkeypatch.setattr(config, "_warned", False)
     with pytest.warns(RuntimeWarning, match="EMBED_X"):
         config.warn_unknown_keys({"EMBED_X": "1", "HF_TOKEN": "t", "HOME": "/"})
+
+
+@pytest.mark.parametrize("names", [[], ["b.md"], ["b.md", "a/딸기.txt", "a-b.md", "a/b.md", "\U0001f600.md", "～.md"]])
+def test_streamed_manifest_is_that_of_the_whole(spark, tmp_path, names):
+    import hashlib
+    import io
+
+    from docweir.operators.manifests import stable_json, stream_repro_manifest
+
+    rows = [(n, k + 1, 2 * k, k, [f"{n}{i}" for i in range(k + 1)]) for k, n in enumerate(names)]
+    rollup = spark.createDataFrame(rows, "path string, chunks long, entities long, relations long, chunk_digests array<string>").repartition(3)
+    out = io.StringIO()
+    head = stream_repro_manifest(rollup, tmp_path, 9, out, True)
+    written = json.loads(out.getvalue())
+    core = {
+        "input_dir": str(tmp_path.resolve()), "include_extractor": True, "file_count": 9,
+        "chunk_total": sum(r[1] for r in rows), "entity_total": sum(r[2] for r in rows), "relation_total": sum(r[3] for r in rows),
+        "files": {r[0]: dict(zip(("chunks", "entities", "relations", "chunk_digests"), r[1:])) for r in sorted(rows)},
+    }
+    located = hashlib.sha256(stable_json(core).encode()).hexdigest()
+    free = hashlib.sha256(stable_json({k: v for k, v in core.items() if k != "input_dir"}).encode()).hexdigest()
+    whole = core | {"manifest_sha256": located, "content_sha256": free}
+    assert written == whole and list(written["files"]) == sorted(names) and out.getvalue() == json.dumps(whole, ensure_ascii=False, indent=2)
+    assert head == {k: v for k, v in whole.items() if k != "files"}
