@@ -38,11 +38,16 @@ def list_input_files(spark: SparkSession, root: str | Path) -> list[tuple[str, i
     return [f for e in EXTENSIONS for f in sorted(found) if f[0].endswith(f".{e}")]
 
 
-def read_files(spark: SparkSession, root: str | Path) -> DataFrame:
-    """(path, content) of input files that the engine's scan finds: neither empty nor hidden ones. Paths are relative."""
+def scanned_files(spark: SparkSession, root: str | Path) -> DataFrame:
+    """(path, modified, length, content) of input files that the engine's scan finds: neither empty nor hidden ones. Paths are relative; content that isn't selected isn't read."""
     base = _file_system(spark, str(root))[0].toString().rstrip("/") + "/"
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{{{','.join(EXTENSIONS)}}}").load(str(root))
-    return rows.select(F.expr(f"substring(path, {len(base) + 1})").alias("path"), "content")
+    return rows.select(F.expr(f"substring(path, {len(base) + 1})").alias("path"), F.col("modificationTime").alias("modified"), "length", "content")
+
+
+def read_files(spark: SparkSession, root: str | Path) -> DataFrame:
+    """(path, content) of the scanned files."""
+    return scanned_files(spark, root).select("path", "content")
 
 
 def _hidden(name: str) -> bool:
