@@ -3,44 +3,69 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweir.functions.text import strip, text_or_empty
 from docweir.operators.chunking import image_basis
 from docweir.operators.extraction import prompt
+from docweir.operators.keyed_table import KeyedTable
 from docweir.operators.ontology import Ontology
 from docweir.sources.providers import Embedder, Extractor
 from docweir.storage import materialize
 
 
-def embedded(texts: DataFrame, embedder: Embedder, cache: DataFrame | None = None) -> DataFrame:
+def embedding_cache(spark: SparkSession, path: str) -> KeyedTable:
+    """Vectors of earlier requests, by model and hash of the text."""
+    return KeyedTable(spark, path, ["model", "text_hash"])
+
+
+def embedded(texts: DataFrame, embedder: Embedder, cache: KeyedTable | DataFrame | None = None) -> DataFrame:
     """(text_hash, vector) of the distinct values of column ``text``.
 
-    ``cache`` holds such rows from earlier runs; only other texts are sent. The result is
-    written once, so that a lost executor repeats no request of a finished table. A vector
-    of another length than the embedder's fails the job.
+    A text that ``cache``, a table of such rows or a kept one, has a vector of isn't sent. The result is written once, so that a
+    lost executor repeats no request of a finished table. A request that fails, or gives a
+    vector of another length than the embedder's, ends the requests of its task, but not
+    the job: what was answered goes into the cache first, then the failure is raised. So
+    the same call again sends only what is missing.
     """
     distinct = texts.select(text_or_empty(F.col("text")).alias("text")).distinct().withColumn("text_hash", F.sha2("text", 256))
-    if cache is not None:
-        distinct = distinct.join(cache.select("text_hash"), "text_hash", "left_anti")
+    kept = cache if isinstance(cache, KeyedTable) else None
+    known = cache if kept is None else kept.read().where(F.col("model") == embedder.model) if kept.exists() else None
+    if known is not None:
+        known = known.select("text_hash", "vector")
+        asked = materialize(distinct.select("text_hash"), "embedding-hashes")
+        distinct = distinct.join(known.select("text_hash"), "text_hash", "left_anti")
 
     def run(batches):
+        error = None
         for pdf in batches:
-            vectors: list[list[float]] = []
+            vectors: list[list[float] | None] = []
             texts_ = pdf["text"].tolist()
             for k in range(0, len(texts_), max(1, embedder.batch_size)):
-                vectors += embedder.embed(texts_[k : k + max(1, embedder.batch_size)])
-            for v in vectors:
-                if len(v) != embedder.dim:
-                    raise RuntimeError(f"a vector has {len(v)} dimensions, not {embedder.dim}")
-            yield pd.DataFrame({"text_hash": pdf["text_hash"], "vector": vectors})
+                part = texts_[k : k + max(1, embedder.batch_size)]
+                try:
+                    found = None if error else embedder.embed(part)
+                    wrong = next((len(v) for v in found or [] if len(v) != embedder.dim), None)
+                    if wrong is not None:
+                        raise RuntimeError(f"a vector has {wrong} dimensions, not {embedder.dim}")
+                except Exception as failure:  # told below, when what was answered is safe
+                    found, error = None, f"{type(failure).__name__}: {failure}"
+                vectors += found or [None] * len(part)
+            yield pd.DataFrame({"text_hash": pdf["text_hash"], "vector": vectors, "error": [None if v is not None else error for v in vectors]})
 
-    new = materialize(distinct.mapInPandas(run, "text_hash string, vector array<double>"), "embeddings")
-    return new if cache is None else cache.select("text_hash", "vector").union(new)
+    answered = materialize(distinct.mapInPandas(run, "text_hash string, vector array<double>, error string"), "embeddings")
+    new = answered.where("error IS NULL").select("text_hash", "vector")
+    if kept is not None:
+        kept.upsert(new.withColumn("model", F.lit(embedder.model)))
+        kept.compact()
+    failed = answered.where("error IS NOT NULL").agg(F.count(F.lit(1)).alias("n"), F.min("error").alias("error")).first()
+    if failed.n:
+        raise RuntimeError(f"no vectors of {failed.n} texts: {failed.error}")
+    return new if known is None else known.join(asked, "text_hash", "left_semi").union(new)
 
 
-def dense_vectors(chunks: DataFrame, embedder: Embedder, cache: DataFrame | None = None) -> DataFrame:
+def dense_vectors(chunks: DataFrame, embedder: Embedder, cache: KeyedTable | DataFrame | None = None) -> DataFrame:
     """(chunk_id, dense_text, dense_image); an image's second vector is that of its reference and text."""
     basis = image_basis(F.col("modality"), F.col("asset_ref"), F.col("text"))
     named = chunks.select("chunk_id", text_or_empty(F.col("text")).alias("text"), text_or_empty(basis).alias("_basis"))

@@ -13,7 +13,7 @@ from docweir.config import EMBEDDING_DIM
 from docweir.operators import graph
 from docweir.operators.chunking import canonical_ids, chunk_segments, payload, payload_defaults
 from docweir.operators.extraction import exploded, parsed_replies, typed_relations, valid_entities, valid_relations
-from docweir.operators.models import dense_vectors, model_replies
+from docweir.operators.models import dense_vectors, embedding_cache, model_replies
 from docweir.operators.ontology import Ontology, build_ontology, load_ontology
 from docweir.operators.keyed_table import KeyedTable
 from docweir.operators.upsert import last_wins
@@ -63,12 +63,12 @@ def sequenced(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("seq", F.struct(rank.alias("kind"), F.col("path"), F.col("chunk_index")))
 
 
-def vector_points(chunks: DataFrame, embedder: Embedder, created_at: str) -> DataFrame:
-    """One row per chunk_id: payload and three vectors; of chunks with one id the last stays."""
+def vector_points(chunks: DataFrame, embedder: Embedder, created_at: str, cache: KeyedTable | None = None) -> DataFrame:
+    """One row per chunk_id: payload and three vectors; of chunks with one id the last stays. Vectors of texts that ``cache`` has aren't asked for."""
     points = payload_defaults(payload(chunks, created_at), embedder.model)
     points = canonical_ids(points.withColumn("raw_chunk_id", F.col("chunk_id")))
     unique = last_wins(points, ["chunk_id"], ["seq"]).drop("seq", "raw_chunk_id")
-    return unique.join(dense_vectors(unique, embedder), "chunk_id").join(sparse_vectors(unique), "chunk_id")
+    return unique.join(dense_vectors(unique, embedder, cache), "chunk_id").join(sparse_vectors(unique), "chunk_id")
 
 
 def graph_tables(chunks: DataFrame, entities: DataFrame, relations: DataFrame, ontology: Ontology, scope: graph.Scope) -> dict[str, DataFrame]:
@@ -117,7 +117,8 @@ def run_ingest(
         materialize(df.join(places, "chunk_id").withColumn("chunk_id", F.col("_id")).drop("_id"), name) for df, name in ((found, "entities"), (typed, "relations"))
     )
     tables = graph_tables(chunks, entities, relations, ontology, scope)
-    points = vector_points(chunks, embedder, created_at)
+    cache = embedding_cache(spark, f"{output_dir}/embedding_cache") if output_dir else None
+    points = vector_points(chunks, embedder, created_at, cache)
     merged = build_ontology(ontology_path, chunks, entities, relations)
     result = IngestResult(chunks, points, tables, entities, relations, merged, graph.run_totals(chunks, entities, relations).first().asDict(), parse_failures(elements))
     if output_dir:

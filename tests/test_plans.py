@@ -1,13 +1,14 @@
 """Files, providers, manifests, settings and whole runs."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from docweir import cli, config
 from docweir.operators.manifests import build_artifact_manifest, import_artifact_manifest, manifest_hash, source_root
-from docweir.operators.models import embedded
+from docweir.operators.models import embedded, embedding_cache
 from docweir.operators.vectors import ensure_collection
 from docweir.operators.keyed_table import KeyedTable
 from docweir.plans.ingest import run_ingest, save_table
@@ -252,6 +253,42 @@ def test_each_text_is_embedded_once(spark):
     assert embedded(texts.union(spark.createDataFrame([("c",)], "text string")), HashingEmbedder(8), got).count() == 4
 
 
+def test_answered_requests_outlive_a_failure(spark, tmp_path):
+    class BreakingEmbedder(HashingEmbedder):
+        """Notes what it is asked for, and fails on one text while a file is there."""
+
+        batch_size = 1
+
+        def __init__(self, dim, log, broken):
+            super().__init__(dim)
+            self.log, self.broken = str(log), str(broken)
+
+        def embed(self, texts):
+            if "bad" in texts and os.path.exists(self.broken):
+                raise OSError("the service is gone")
+            with open(self.log, "a") as f:
+                f.writelines(t + "\n" for t in texts)
+            return super().embed(texts)
+
+    texts = spark.createDataFrame([(f"t{k}",) for k in range(20)] + [("bad",)], "text string").repartition(3)
+    log, broken = tmp_path / "log", tmp_path / "broken"
+    log.write_text("")
+    broken.write_text("")
+    embedder = BreakingEmbedder(8, log, broken)
+    cache = embedding_cache(spark, str(tmp_path / "cache"))
+    with pytest.raises(RuntimeError, match="OSError: the service is gone"):
+        embedded(texts, embedder, cache)
+    first = log.read_text().split()
+    assert len(first) == len(set(first)) == cache.read().count() and "bad" not in first
+    broken.unlink()
+    got = embedded(texts, embedder, cache)
+    assert got.count() == 21 and cache.read().count() == 21
+    asked = log.read_text().split()
+    assert sorted(asked) == sorted({f"t{k}" for k in range(20)} | {"bad"})
+    # Another model has vectors of its own.
+    assert embedded(texts.limit(2), HashingEmbedder(8), cache).count() == 2 and len(log.read_text().split()) == 21
+
+
 def test_models_are_tried_in_turn():
     seen = []
 
