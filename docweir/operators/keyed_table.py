@@ -314,15 +314,21 @@ class KeyedTable:
 
         return self._committed(change)
 
-    def vacuum(self, keep_versions: int = 2, grace_ms: int = 3_600_000) -> list[str]:
-        """Delete all but the newest versions, and files that those don't name and that are older than ``grace_ms``; names of what went."""
+    def vacuum(self, keep_versions: int = 2, grace_ms: int = 86_400_000) -> list[str]:
+        """Delete versions that were replaced ``grace_ms`` ago, but not the newest ones, and files that no other version names; names of what went.
+
+        So a reader has that long to end, and a writer to commit what it has written.
+        """
         found = self.versions()
-        kept = found[-keep_versions:] if keep_versions else found[-1:]
+        now = self._jvm.java.lang.System.currentTimeMillis()
+        replaced = {v: self._fs.getFileStatus(self._path(f"log/{after:020d}.json")).getModificationTime() for v, after in zip(found, found[1:], strict=False)}
+        newest = set(found[-max(1, keep_versions) :])
+        kept = [v for v in found if v in newest or now - replaced[v] < grace_ms]
         named = {s.name for v in kept for s in self.state(v).segments}
         gone = []
-        for v in found[: -len(kept)] if kept else []:
+        for v in set(found) - set(kept):
             self._fs.delete(self._path(f"log/{v:020d}.json"), False)
-        data, now = self._path("data"), self._jvm.java.lang.System.currentTimeMillis()
+        data = self._path("data")
         for status in self._fs.listStatus(data) if self._fs.exists(data) else []:
             name = status.getPath().getName()
             if name not in named and now - status.getModificationTime() >= grace_ms:
