@@ -73,3 +73,13 @@ def test_private_rows_say_whose_they_are_and_files_hold_a_statement_a_line(spark
         assert (tmp_path / "out" / name / "_SUCCESS").exists()
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         statements.export_graph(tables, str(tmp_path / "out"))
+
+
+def test_parts_of_orders_have_a_bounded_number_of_rows(spark):
+    from unittest import mock
+
+    from docweir.plans import samples
+
+    with mock.patch.object(samples, "ORDER_ROWS", 100):
+        chunks = samples.order_chunks(spark, "/root/testdata/sf0.001")
+        assert chunks.rdd.getNumPartitions() == -(-chunks.count() // 100)
