@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweir.storage import drop_path, new_path
+from docweir.storage import drop_path, new_path, write_at
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -20,8 +20,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
         path = new_path(spark, name)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path), path
+        return write_at(df, path), path
 
     def star(pairs: DataFrame, large: bool) -> tuple[DataFrame, str]:
         """pairs (x, y) of neighbours; links the neighbours of each x to the smallest of them and x."""

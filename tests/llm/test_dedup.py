@@ -10,6 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from docweir import storage
 from docweir.llm import embedding_dedup, golay, simhash, similar_texts
 from docweir.llm.components import connected_components
 from docweir.llm.exact_dedup import content_hash, exact_dedup
@@ -307,6 +308,20 @@ def test_a_common_shingle_is_counted_in_several_tasks(spark):
     assert len(held) == 400 and len(common) == 1 and len({h.df for k in held for h in held[k] if h.hash in common}) == 1
 
 
+def test_written_tables_leave_no_shuffle_files(spark):
+    def shuffle_files():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+    setting = spark.conf.get(storage._CLEANUP)
+    before = shuffle_files()
+    table = storage.materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counted")
+    texts_ = spark.createDataFrame([(k, f"a b c d e n{k}") for k in range(400)], "row_id long, text string").repartition(8)
+    held = storage.materialize(similar_texts._held(texts_, 5, 800, 8), "held")
+    assert not {f for f in shuffle_files() - before if f.endswith(".data")} and spark.conf.get(storage._CLEANUP) == setting
+    assert table.count() == 7 and held.count() == 400
+
+
 def test_parity_sketches(spark):
     rng = random.Random(5)
     base = [rng.getrandbits(64) - 2**63 for _ in range(300)]
