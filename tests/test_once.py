@@ -1,11 +1,13 @@
 """Values of rows are computed once, and by cheap ways that give the same as the plain ones."""
 
+import hashlib
 import random
 
 from pyspark.sql import functions as F
 
+from docweir import registry
 from docweir.functions import text as T
-from docweir.operators import extraction, graph
+from docweir.operators import extraction, graph, vectors
 from docweir.operators.ontology import Ontology
 
 
@@ -41,3 +43,18 @@ def test_identifiers_and_confidences_are_as_by_the_plain_rules(spark):
     plain = F.format_number(T.clamped(filled), 4).cast("double")
     rows = spark.createDataFrame([(v,) for v in numbers], "v double").select(T.graph_confidence(F.col("v")).alias("a"), plain.alias("b")).collect()
     assert all(r.a == r.b for r in rows)
+
+
+def test_slot_collisions_stay_in_their_row(spark):
+    words = [f"t{k}" for k in range(20000)]
+    texts = [("a", " ".join(words + words[:50])), ("b", " ".join(words[::3])), ("c", "x X x"), ("d", ""), ("e", None)]
+    chunks = spark.createDataFrame(texts, "chunk_id string, text string")
+    expected = []
+    for key, text in texts:
+        slots = {}
+        for w in sorted(set((text or "").lower().split())):
+            slots.setdefault(int(hashlib.md5(w.encode()).hexdigest()[4:8], 16), []).append(w)
+        expected += [(key, s, len(ws), " ".join(ws)) for s, ws in slots.items() if len(ws) > 1]
+    assert sorted(map(tuple, vectors.slot_collisions(chunks).collect())) == sorted(expected) and max(n for _, _, n, _ in expected) > 2
+    found = registry.QUERIES["sparse_slot_collisions"](spark, "/root/testdata/sf0.001")
+    assert "Aggregate" not in plan(found)
