@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,22 +40,22 @@ def embedded(texts: DataFrame, embedder: Embedder, cache: KeyedTable | DataFrame
 
     def run(batches):
         error = None
-        for pdf in batches:
-            vectors: list[list[float] | None] = []
-            texts_ = pdf["text"].tolist()
-            for k in range(0, len(texts_), max(1, embedder.batch_size)):
-                part = texts_[k : k + max(1, embedder.batch_size)]
+        step = max(1, embedder.batch_size)
+        for batch in batches:
+            # A request at a time: texts and vectors of a whole batch are never Python objects at once.
+            for part in (batch.slice(k, step) for k in range(0, batch.num_rows, step)):
                 try:
-                    found = None if error else embedder.embed(part)
+                    found = None if error else embedder.embed(part.column("text").to_pylist())
                     wrong = next((len(v) for v in found or [] if len(v) != embedder.dim), None)
                     if wrong is not None:
                         raise RuntimeError(f"a vector has {wrong} dimensions, not {embedder.dim}")
                 except Exception as failure:  # told below, when what was answered is safe
                     found, error = None, f"{type(failure).__name__}: {failure}"
-                vectors += found or [None] * len(part)
-            yield pd.DataFrame({"text_hash": pdf["text_hash"], "vector": vectors, "error": [None if v is not None else error for v in vectors]})
+                vectors = pa.array(found or [None] * part.num_rows, pa.list_(pa.float64()))
+                errors = pa.array([None if found else error] * part.num_rows, pa.string())
+                yield pa.RecordBatch.from_arrays([part.column("text_hash"), vectors, errors], names=["text_hash", "vector", "error"])
 
-    answered = materialize(distinct.mapInPandas(run, "text_hash string, vector array<double>, error string"), "embeddings")
+    answered = materialize(distinct.mapInArrow(run, "text_hash string, vector array<double>, error string"), "embeddings")
     new = answered.where("error IS NULL").select("text_hash", "vector")
     if kept is not None:
         kept.upsert(new.withColumn("model", F.lit(embedder.model)))

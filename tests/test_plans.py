@@ -1,5 +1,6 @@
 """Files, providers, manifests, settings and whole runs."""
 
+import gc
 import json
 import os
 
@@ -253,6 +254,24 @@ def test_each_text_is_embedded_once(spark):
     assert embedded(texts.union(spark.createDataFrame([("c",)], "text string")), HashingEmbedder(8), got).count() == 4
 
 
+def test_vectors_leave_a_task_request_by_request(spark):
+    class Vector(list):
+        pass
+
+    class CountingEmbedder(HashingEmbedder):
+        """Fails if vectors of many requests are Python objects at once."""
+
+        def embed(self, texts):
+            alive = sum(type(x) is Vector for x in gc.get_objects())
+            if alive > 40:
+                raise MemoryError(f"{alive} vectors")
+            return [Vector(v) for v in super().embed(texts)]
+
+    texts = spark.createDataFrame([(f"a b{k}",) for k in range(995)], "text string").coalesce(1)
+    got = {r.text_hash: r.vector for r in embedded(texts, CountingEmbedder(8, batch_size=10)).collect()}
+    assert got == {r.text_hash: r.vector for r in embedded(texts, HashingEmbedder(8)).collect()} and len(got) == 995
+
+
 def test_answered_requests_outlive_a_failure(spark, tmp_path):
     class BreakingEmbedder(HashingEmbedder):
         """Notes what it is asked for, and fails on one text while a file is there."""
