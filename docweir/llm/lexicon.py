@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+#: Members of all states that are kept, about; a state itself counts as STATE members. Some 100 MB.
+STATE_BOUND, STATE = 1 << 20, 4
+
 
 @dataclass(frozen=True)
 class Term:
@@ -20,8 +23,10 @@ class LexiconAutomaton:
     A state is the set of (trie node, edits so far, edits allowed) that the characters
     read so far can reach: the product of the trie with the Levenshtein automata of all
     its terms. States are built when first met and kept, so that a word costs one table
-    lookup a character, and most words end in the empty state after a few. An allowance
-    of the term's length is part of the state: terms of one allowance share a trie.
+    lookup a character, and most words end in the empty state after a few. Beyond
+    ``STATE_BOUND`` all are forgotten and built anew, so that memory does not grow with
+    what is read. An allowance of the term's length is part of the state: terms of one
+    allowance share a trie.
     """
 
     def __init__(self, terms: list[Term]) -> None:
@@ -38,13 +43,18 @@ class LexiconAutomaton:
             if self.ends[node] is None or term.stem:
                 self.ends[node] = (k, term.stem)
         self.alphabet = {c for term in terms for c in term.text}
-        start = self._closed({(root, 0, allowed) for allowed, root in roots.items()})
+        self.first = self._closed({(root, 0, allowed) for allowed, root in roots.items()})
+        self._forget()
+
+    def _forget(self) -> None:
+        """No states but the first."""
         self.state_of: dict[frozenset, int] = {}
         self.members: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
         self.accepted: list[tuple[int, int] | None] = []  # (term, edits) for a word that ends here
         self.stem_found: list[tuple[int, int] | None] = []
-        self.start = self._state(start)
+        self.size = 0
+        self.start = self._state(self.first)
 
     def _node(self) -> int:
         self.children.append({})
@@ -72,6 +82,7 @@ class LexiconAutomaton:
         if members not in self.state_of:
             self.state_of[members] = len(self.members)
             self.members.append(members)
+            self.size += len(members) + STATE
             self.moves.append({})
             ends = [(edits, *self.ends[node]) for node, edits, _ in members if self.ends[node] is not None]
             best = min(((e, k) for e, k, _ in ends), default=None)
@@ -93,6 +104,8 @@ class LexiconAutomaton:
 
     def match(self, word: str) -> tuple[int, int] | None:
         """(index of the term, edits) of the best match, or None. Of as many edits a stem beats a whole word."""
+        if self.size > STATE_BOUND:
+            self._forget()
         state, stem, alphabet = self.start, None, self.alphabet
         for c in word:
             if c not in alphabet:

@@ -110,7 +110,7 @@ def count_table(vocabulary_path: str) -> CountTable:
 def count_batches(batches, vocabulary_path: str, extra):
     """Add token counts to Arrow batches; ``extra`` gives the rest of the columns from (batch, texts, counts)."""
     table = count_table(vocabulary_path)
-    for batch in bounded(batches, 4 << 20):
+    for batch in bounded(batches, 1 << 20):
         texts = batch.column("text").to_pylist()
         yield extra(batch, texts, table.counts(texts))
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from docweir.llm.batches import bounded
+from docweir.llm.exact_dedup import content_hash, normalized
 from docweir.llm.labelled import is_held_out, training_documents
 from docweir.llm.lexicon import LexiconAutomaton, Term
 from docweir.storage import materialize
@@ -246,16 +247,23 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
     return w
 
 
+def _each_once(sample: DataFrame) -> DataFrame:
+    """(y, text) of a bounded sample: texts that are equal without white space are one, with the largest of their labels."""
+    copies = sample.groupBy(content_hash(normalized(F.col("text"))).alias("h"))
+    return copies.agg(F.max("y").alias("y"), F.min("text").alias("text")).drop("h")
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = SAMPLE_BOUND) -> ToxicityModel:
     """Learn lexicon and weights from at most about ``bound`` labelled documents that are not held out.
 
-    The sample is the only bound: every term that it shows to be telling enters the
+    Copies of a text are one document, since a word that only copies hold tells nothing of
+    other texts. The sample is the only bound: every term that it shows to be telling enters the
     lexicon, and every near word that its harmless documents hold is known as ordinary.
     Candidates are counted over partitions; those that several toxic documents of the
     sample hold, the near words, and one row of six features for each sampled document
     reach the driver. With no labelled rows, or labels of one kind only, every text scores the share of label 1 (0.5 if none).
     """
-    train = materialize(training_documents(docs, labels, label, bound), "toxicity-train")
+    train = materialize(_each_once(training_documents(docs, labels, label, bound)), "toxicity-train")
     sizes = {r.y: r["count"] for r in train.groupBy("y").count().collect()}
     n_positive, n_negative = sizes.get(1, 0), sizes.get(0, 0)
     if not n_positive or not n_negative:

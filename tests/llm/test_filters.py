@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from docweir.llm import quality, toxicity
+from docweir.llm import lexicon, quality, toxicity
 from docweir.llm.lexicon import LexiconAutomaton, Term
 
 SF = "/root/testdata/sf0.1"
@@ -224,3 +224,39 @@ def test_isotonic_levels_equal_the_minmax_formula():
 
         expected = [max(min(mean(i, j) for j in range(k, n)) for i in range(k + 1)) for k in range(n)]
         assert np.allclose(got, expected)
+
+
+def test_copies_of_a_text_are_no_evidence(spark):
+    rnd = random.Random(9)
+    filler = [f"{a}{b}{c}" for a in ("ka", "lo", "mi", "nu") for b in ("ver", "tan", "sil") for c in ("do", "ra", "pex")]
+
+    def text(*more):
+        return " ".join(rnd.sample([*rnd.choices(filler, k=40), *more], 40 + len(more)))
+
+    # Each toxic text has a word of its own, and many copies that differ in white space.
+    toxic = [text("wretchedly", f"{a}{b}ownword") for a in "bcdfgh" for b in "jklmnp"]
+    harmless = [text() for _ in range(300)]
+    copies = [[t.replace(" ", " " * (1 + k % 2)) for k in range(12) for t in texts] for texts in (toxic, harmless)]
+    docs, labels = labelled(spark, *copies)
+    model = toxicity.fit_toxicity(docs, labels)
+    once = docs.selectExpr("doc_id", "replace(text, '  ', ' ') AS text").dropDuplicates(["text"])
+    single = toxicity.fit_toxicity(once, labels)
+    assert [t.text for t in model.terms] == ["wretchedly"] and model.terms == single.terms and model.ordinary == single.ordinary
+    assert np.allclose(model.weights, single.weights)
+
+
+def test_states_of_the_automaton_are_bounded(monkeypatch):
+    terms = [Term("idiot", max_edits=1), Term("worthless", max_edits=2), Term("achlich", True, 1)]
+    whole, words, rnd = LexiconAutomaton(terms), [], random.Random(10)
+    for _ in range(3000):
+        w = list(rnd.choice(("idiot", "worthless", "achlichkeit")))
+        for _ in range(rnd.randint(0, 3)):
+            w[(at := rnd.randrange(len(w) + 1)) : at + rnd.randint(0, 1)] = rnd.choice(["", "a", "e", "t", "é"])
+        words.append("".join(w))
+    expected, size = [whole.match(w) for w in words], whole.size
+    monkeypatch.setattr(lexicon, "STATE_BOUND", size // 8)
+    kept, sizes = LexiconAutomaton(terms), []
+    for word, found in zip(words, expected, strict=True):
+        assert kept.match(word) == found, word
+        sizes.append(kept.size)
+    assert max(sizes) < size // 4 and sizes != sorted(sizes)

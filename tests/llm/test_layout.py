@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from unittest import mock
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -295,3 +296,20 @@ def test_stages_without_labels(spark, tmp_path):
     spark.read.parquet("/root/testdata/sf0.001/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     assert [stage(spark, docs, str(tmp_path)).count() for _, stage in pipeline.STAGES[:2]] == [docs.count()] * 2
+
+
+def test_python_gets_small_batches_while_a_table_is_written(spark):
+    from docweir import storage
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, counted = spark.conf.get(name), spark.range(0, 9_000, 1, 1).mapInArrow(sizes, "n bigint")
+    assert max(r.n for r in storage.materialize(counted, "batch-sizes").collect()) <= storage.BATCH_ROWS and spark.conf.get(name) == before
+    try:
+        spark.conf.set(name, "500")
+        assert max(r.n for r in storage.materialize(counted, "batch-sizes").collect()) == 500 and spark.conf.get(name) == "500"
+    finally:
+        spark.conf.set(name, before)
